@@ -208,10 +208,10 @@ def evidence(df: DataFrame, line: Column, date: str, url: str, ordinal: str, sum
     """Evidence cells per CIK, newest first: all lines, and all distinct links first-seen."""
     size = {} if lines_per_part is None else {"lines_per_part": lines_per_part}
     rows = df.where(F.col("CIK").isNotNull()).withColumn("__line", line)
-    text = text_parts(rows.where("__line != ''"), "CIK", date, ordinal, "__line", summary, **size)
+    text = text_parts(rows.where("__line != ''"), ["CIK"], ordinal, "__line", summary, date, **size)
     seen = rows.withColumn("__url", strip(F.col(url))).where("__url != ''").withColumn("__at", F.col(ordinal))
     seen = top_rows(seen, ["CIK", "__url"], [F.desc_nulls_last(date), F.asc(ordinal)])
-    urls = text_parts(seen, "CIK", date, ordinal, "__url", links, **size)
+    urls = text_parts(seen, ["CIK"], ordinal, "__url", links, date, **size)
     return text.join(urls, ["CIK", "EvidencePart"], "full")
 
 

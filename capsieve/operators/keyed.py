@@ -119,34 +119,34 @@ def or_key_join(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix:
     return reduce(DataFrame.unionByName, branches)
 
 
-def text_parts(lines: DataFrame, key: str, day: str, ordinal: str, text: str, name: str,
+def text_parts(lines: DataFrame, keys: Sequence[str], ordinal: str, text: str, name: str, day: str | None = None,
                lines_per_part: int = LINES_PER_PART, separator: str = "\n") -> DataFrame:
-    """Join the lines of each key, newest day first, into cells of bounded length.
-
-    Returns ``(key, EvidencePart, name)``. A key with up to ``lines_per_part``
-    lines has exactly one cell, part 0. A bigger key gets several, and reading
-    the parts in order gives the whole text: nothing is cut off. The only
-    window runs over (key, day) counts, whose number per key is bounded by the
-    calendar; a single day that is itself too large is split along its ordinal.
-    ``ordinal`` must be unique within a key.
+    """Join the lines of each key into cells of bounded length.
+
+    Lines are ordered newest ``day`` first (undated last), then by ``ordinal``,
+    which must be unique within a key. Returns ``(*keys, EvidencePart, name)``.
+    A key with up to ``lines_per_part`` lines has exactly one cell, part 0. A
+    bigger key gets several, and reading the parts in order gives the whole
+    text: nothing is cut off. The only window runs over (key, day) counts, whose
+    number per key is bounded by the calendar; a single day that is itself too
+    large is split along its ordinal.
     """
-    before = Window.partitionBy(key).orderBy(F.desc_nulls_last(day)).rowsBetween(Window.unboundedPreceding, -1)
+    rows = lines.withColumn("__age", F.coalesce(-F.unix_date(day), F.lit(1 << 30)) if day else F.lit(0))
+    before = Window.partitionBy(*keys).orderBy("__age").rowsBetween(Window.unboundedPreceding, -1)
     days = (
-        lines.groupBy(key, day)
+        rows.groupBy(*keys, "__age")
         .agg(F.count("*").alias("__n"), F.min(ordinal).alias("__lo"), F.max(ordinal).alias("__hi"))
         .withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
         .withColumn("__k", F.ceil(F.col("__n") / F.lit(lines_per_part)))
-        .withColumnsRenamed({key: "__key", day: "__day"})
     )
-    span = (F.col("__hi") - F.col("__lo") + F.lit(1)).cast("double")
-    spot = (F.col(ordinal) - F.col("__lo")).cast("double") / span
+    span = F.col("__hi").cast("double") - F.col("__lo").cast("double") + F.lit(1.0)
+    spot = (F.col(ordinal).cast("double") - F.col("__lo").cast("double")) / span
     part = F.floor(F.col("__before") / F.lit(lines_per_part)) + F.floor(spot * F.col("__k"))
-    entry = F.struct(
-        F.coalesce(-F.unix_date(day), F.lit(1 << 30)).alias("age"), F.col(ordinal).alias("o"), F.col(text).alias("t"))
+    entry = F.struct(F.col("__age").alias("age"), F.col(ordinal).alias("o"), F.col(text).alias("t"))
     return (
-        lines.join(days, F.col(key).eqNullSafe(F.col("__key")) & F.col(day).eqNullSafe(F.col("__day")))
-        .groupBy(key, part.cast("bigint").alias("EvidencePart"))
+        rows.join(days, [*keys, "__age"])
+        .groupBy(*keys, part.cast("bigint").alias("EvidencePart"))
         .agg(F.array_sort(F.collect_list(entry)).alias("__cell"))
-        .select(key, "EvidencePart",
+        .select(*keys, "EvidencePart",
                 F.array_join(F.transform("__cell", lambda x: x["t"]), separator).alias(name))
     )
