@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from capsieve.catalog import base
 
-_MODULES = ("universe",)
+_MODULES = ("universe", "hydration", "events")
 
 
 def _load() -> None:

@@ -270,19 +270,30 @@ def filing_age(t: Tables) -> DataFrame:
                     dates.parse_date(written).cast("string").alias("Parsed"))
 
 
-@query("append_antijoin_purge", "v_filings", sql=f"""
+APPEND_SQL = """
 WITH old AS (SELECT * FROM v_filings WHERE filed_at < DATE '2000-06-01' OR filed_at IS NULL),
 new AS (SELECT * FROM v_filings WHERE filed_at >= DATE '2000-01-01'),
 added AS (SELECT n.* FROM new n ANTI JOIN old o ON o.cik = n.cik AND o.url = n.url),
 whole AS (SELECT *, FALSE AS IsNew FROM old UNION ALL SELECT *, TRUE FROM added)
-SELECT ord AS FilingId, cik AS CIK, IsNew, (SELECT count(*) FROM added) AS RowsAdded FROM whole
-WHERE filed_at IS NULL OR filed_at >= DATE '{FILINGS_AS_OF}' - 500
-""")
-def append_antijoin_purge(t: Tables) -> DataFrame:
+"""
+
+
+def appended(t: Tables) -> DataFrame:
+    """An accumulated table and an overlapping newer delivery."""
     f, day = t.filings(), F.col("FiledAt")
     old = f.where((day < "2000-06-01") | day.isNull()).withColumn("IsNew", F.lit(False))
     new = f.where(day >= "2000-01-01").withColumn("IsNew", F.lit(True))
-    whole = keyed.append_new(old, new, ["CIK", "URL"])
-    added = whole.where("IsNew").agg(F.count("*").alias("RowsAdded"))
-    kept = keyed.keep_days(whole, "FiledAt", fil.as_date(FILINGS_AS_OF), 500)
-    return kept.join(F.broadcast(added)).select(F.col("ord").alias("FilingId"), "CIK", "IsNew", "RowsAdded")
+    return keyed.append_new(old, new, ["CIK", "URL"])
+
+
+@query("append_antijoin_purge", "v_filings", sql=APPEND_SQL + f"""
+SELECT ord AS FilingId, cik AS CIK, IsNew FROM whole WHERE filed_at IS NULL OR filed_at >= DATE '{FILINGS_AS_OF}' - 500
+""")
+def append_antijoin_purge(t: Tables) -> DataFrame:
+    kept = keyed.keep_days(appended(t), "FiledAt", fil.as_date(FILINGS_AS_OF), 500)
+    return kept.select(F.col("ord").alias("FilingId"), "CIK", "IsNew")
+
+
+@query("rows_added", "v_filings", sql=APPEND_SQL + "SELECT count(*) AS RowsAdded FROM added")
+def rows_added(t: Tables) -> DataFrame:
+    return appended(t).where("IsNew").agg(F.count("*").alias("RowsAdded"))

@@ -53,8 +53,8 @@ def with_quotes(profiles: DataFrame, quotes: DataFrame, ordinal: str) -> DataFra
     return profiles.join(last, "Ticker", "left")
 
 
-def market_table(df: DataFrame) -> DataFrame:
-    """Ticker, CIK, Price, MarketCap, ADV20 from any table naming them in a known way."""
+def market_table(df: DataFrame, *keep: str) -> DataFrame:
+    """Ticker, CIK, Price, MarketCap, ADV20 from any table naming them in a known way, with the ``keep`` columns."""
     def pick(*names: str) -> Column:
         found = resolve_column(df.columns, names)
         return F.col(f"`{found}`") if found else F.lit(None)
@@ -65,6 +65,7 @@ def market_table(df: DataFrame) -> DataFrame:
         pick("Price", "Close", "Last", "LastPrice").cast("double").alias("Price"),
         pick("MarketCap", "Market_Cap", "MarketCapitalization").cast("double").alias("MarketCap"),
         pick("ADV20", "AverageVolume20", "AverageVolume20Day").cast("double").alias("ADV20"),
+        *keep,
     )
 
 

@@ -59,6 +59,23 @@ SELECT lpad(CAST(o_custkey AS STRING), 10, '0') AS cik, CASE WHEN o_orderkey % 2
     "v_txn": """
 SELECT l_suppkey AS filer, CASE l_returnflag WHEN 'A' THEN 'P' WHEN 'R' THEN 'S' ELSE 'M' END AS code,
   l_quantity AS shares, CAST(l_shipdate AS DATE) AS txn_date FROM lineitem""",
+    "v_fda": """
+SELECT lpad(CAST(user_id AS STRING), 10, '0') AS cik, event_type, CAST(ts AS DATE) AS decision_date,
+  concat('Device ', CAST(user_id AS STRING)) AS product, concat('https://www.fda.gov/d/', CAST(event_id AS STRING)) AS url,
+  event_id AS ord FROM events""",
+    "v_entities": """
+SELECT concat('ENT ', CAST(c_custkey - c_custkey % 3 AS STRING)) AS entity, concat('C', CAST(c_custkey AS STRING)) AS ticker,
+  lpad(CAST(c_custkey AS STRING), 10, '0') AS cik, CASE c_custkey % 5 WHEN 0 THEN 'low' WHEN 1 THEN 'medium' WHEN 2 THEN 'high' ELSE 'low' END AS confidence,
+  c_custkey AS ord FROM customer""",
+    "v_8k": """
+SELECT concat('C', CAST(user_id AS STRING)) AS ticker, CAST(user_id AS STRING) AS cik, '8-K' AS form, CAST(ts AS DATE) AS filed_at,
+  concat('https://www.sec.gov/e/', CAST(event_id - event_id % 2 AS STRING)) AS url,
+  CASE event_type
+    WHEN 'purchase' THEN '<p>Item 1.01 Material agreement.</p> A <b>purchase agreement</b> for the offering. Item 9.01 Exhibits.'
+    WHEN 'signup' THEN 'Item 8.01 Other Events. The FDA granted clearance.'
+    WHEN 'error' THEN 'ITEM 2.02 Results. Revenue was flat. Item 5.02 Changes.'
+    WHEN 'view' THEN 'Item 9.01 Exhibits only.' ELSE 'Nothing to report' END AS txt,
+  CASE WHEN value > 50 THEN 'Closing of a registered direct placement' END AS press, event_type AS kind, event_id AS ord FROM events""",
     "v_log": """
 SELECT ts, CASE event_type WHEN 'click' THEN concat('parse_q10 [INFO] T', CAST(user_id AS STRING), ' fetching 10-Q filed ', CAST(CAST(ts AS DATE) AS STRING))
   WHEN 'view' THEN concat('parse_q10 [INFO] T', CAST(user_id AS STRING), ' fetching 6-K filed ', CAST(CAST(ts AS DATE) AS STRING))
@@ -107,6 +124,18 @@ class Tables:
         return self.view("v_filings").withColumnsRenamed(
             {"cik": "CIK", "ticker": "Ticker", "form": "Form", "filed_at": "FiledAt", "url": "URL"})
 
+    def fda(self) -> DataFrame:
+        return self.view("v_fda").withColumnsRenamed({
+            "cik": "CIK", "event_type": "EventType", "decision_date": "DecisionDate", "product": "Product", "url": "URL"})
+
+    def entities(self) -> DataFrame:
+        return self.view("v_entities").withColumnsRenamed(
+            {"entity": "FDA_EntityName", "ticker": "Ticker", "cik": "CIK", "confidence": "Confidence"})
+
+    def eight_k(self) -> DataFrame:
+        return self.view("v_8k").withColumnsRenamed(
+            {"ticker": "Ticker", "cik": "CIK", "form": "Form", "filed_at": "FiledAt", "url": "URL", "txt": "Text"})
+
     def events8k(self) -> DataFrame:
         return self.view("v_events8k").withColumnRenamed("ticker", "Ticker")
 
