@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from capsieve.catalog import base
 
-_MODULES = ("universe", "hydration", "events")
+_MODULES = ("universe", "hydration", "events", "runway")
 
 
 def _load() -> None:

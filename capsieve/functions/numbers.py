@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from capsieve import rules as R
-from capsieve.functions.text import empty, col, squeeze
+from capsieve.functions.text import col, empty
 
 
 def _quote(marker: str) -> str:
@@ -14,11 +14,11 @@ def _quote(marker: str) -> str:
 
 
 _MARKERS = "|".join(_quote(m) for m in sorted(R.CURRENCY_MARKERS, key=len, reverse=True))
-_NUMBER = (
-    rf"(?i)[(\[]*(?:(?:{_MARKERS})\s*)?[-+]?\d[\d,. '’]*(?:[.,]\d+)?"
-    rf"(?:\s*(?:{_MARKERS}))?[)\]]?"
-)
-_GROUPED = r"^\d{1,3}([ ,.'’]\d{3})+([.,]\d+)?$"
+_RUN = r"\d[\d,. '’]*"
+_NUMBER = rf"(?i)[(\[]*(?:(?:{_MARKERS})\s*)?[-+]?{_RUN}(?:\s*(?:{_MARKERS}))?[)\]]?"
+_MINUS = rf"(?i)\(.*\)|^[(\[]*(?:(?:{_MARKERS})\s*)?-"
+_PLAIN = r"^\d+(?:\.\d{1,2})?$"
+_GROUPED = r"^\d{1,3}(?:[ ,.'’]\d{3})+"
 
 
 def parse_number(c: Column | str) -> Column:
@@ -30,38 +30,35 @@ def parse_number(c: Column | str) -> Column:
     """
     text = F.translate(F.coalesce(col(c).cast("string"), empty()), "\u2212\u00a0\u202f\u2009\u2007\u205f", "-     ")
     found = F.regexp_extract(text, _NUMBER, 0)
-    body = squeeze(F.regexp_replace(found, r"[()]", ""))
-    body = F.regexp_replace(body, rf"(?i)^(?:{_MARKERS})\s*", "")
-    body = F.regexp_replace(body, rf"(?i)\s*(?:{_MARKERS})$", "")
-    negative = (F.contains(found, F.lit("(")) & F.contains(found, F.lit(")"))) | body.startswith("-")
-    plain = F.regexp_replace(F.regexp_replace(body, r"^[^0-9]+", ""), r"[^0-9,.'’ ]+$", "")
-
-    mark = F.substring(F.regexp_extract(plain, _GROUPED, 2), 1, 1)
-    at = F.locate(".", plain)
-    at = F.when(mark == ",", F.locate(",", plain)).otherwise(at)
-    digits = F.regexp_replace(plain, "[^0-9]", "")
-    whole = F.regexp_replace(F.substr(plain, F.lit(1), at - F.lit(1)), "[^0-9]", "")
-    rest = F.regexp_replace(F.substr(plain, at + F.lit(1)), "[^0-9]", "")
-    grouped = F.when(mark == "", digits).otherwise(F.concat(whole, F.lit("."), rest))
-
-    compact = F.regexp_replace(plain, r"[ '’]", "")
-    commas = F.length(compact) - F.length(F.replace(compact, F.lit(","), F.lit("")))
-    dots = F.length(compact) - F.length(F.replace(compact, F.lit("."), F.lit("")))
-    no_commas, no_dots = F.replace(compact, F.lit(","), F.lit("")), F.replace(compact, F.lit("."), F.lit(""))
-    tail = F.length(F.substring_index(compact, ",", -1))
-    last_dot = F.length(compact) - F.length(F.substring_index(compact, ".", -1)) - F.lit(1)
-    loose = (
-        F.when((commas > 0) & (dots > 0), F.when(
-            F.length(F.substring_index(compact, ".", -1)) < tail, no_commas,
-        ).otherwise(F.replace(no_dots, F.lit(","), F.lit("."))))
-        .when(commas > 0, F.when((commas == 1) & tail.between(1, 3), F.replace(compact, F.lit(","), F.lit(".")))
-              .otherwise(no_commas))
-        .when(dots > 1, F.concat(F.substr(no_dots, F.lit(1), last_dot), F.lit("."),
-                                 F.substr(no_dots, last_dot + F.lit(1))))
-        .otherwise(compact)
-    )
-    value = F.when(plain.rlike(_GROUPED), grouped).otherwise(loose).try_cast("double")
-    return F.when(negative, -value).otherwise(value)
+    run = F.rtrim(F.regexp_extract(found, _RUN, 0))
+    tight = F.regexp_replace(run, "[ '’]", "")
+
+    def only(mark: str) -> Column:
+        """Digits with the first ``mark`` as the decimal point."""
+        kept = F.regexp_replace(run, f"[^0-9{mark}]", "")
+        return F.replace(F.regexp_replace(kept, rf"^([0-9]*)[{mark}]", "$1."), F.lit(","), empty())
+
+    value = (
+        F.when(run.rlike(_PLAIN), run)
+        .when(run.rlike(_GROUPED + "$"), F.regexp_replace(run, "[^0-9]", ""))
+        .when(run.rlike(_GROUPED + r",\d+$"), only(","))
+        .when(run.rlike(_GROUPED + r"\.\d+$"), F.regexp_replace(run, "[^0-9.]", ""))
+        # both marks: the later one is the decimal point
+        .when(run.rlike(r",.*\.[^,]*$"), F.replace(tight, F.lit(","), empty()))
+        .when(run.rlike(r"\..*,[^.]*$"), F.translate(tight, ",.", "."))
+        .when(run.rlike(r"^[^,]*,[ '’]*(?:\d[ '’]*){1,3}$"), F.replace(tight, F.lit(","), F.lit(".")))
+        .when(run.contains(","), F.replace(tight, F.lit(","), empty()))
+        .otherwise(_merge_dots(tight))
+    ).try_cast("double")
+    return F.when(found.rlike(_MINUS), -value).otherwise(value)
+
+
+def _merge_dots(tight: Column) -> Column:
+    """With several dots the digits are joined and a point is set at the position of the last dot."""
+    dots = tight.rlike(r"\..*\.")
+    digits = F.replace(tight, F.lit("."), empty())
+    at = F.length(tight) - F.length(F.substring_index(tight, ".", -1)) - F.lit(1)
+    return F.when(dots, F.concat(F.substr(digits, F.lit(1), at), F.lit("."), F.substr(digits, at + F.lit(1)))).otherwise(tight)
 
 
 def simple_number(c: Column | str) -> Column:
@@ -84,12 +81,12 @@ def half_up(c: Column | str, digits: int = 2) -> Column:
 
 def display_number(c: Column | str) -> Column:
     """Two decimals for reports, '' for null."""
-    return F.coalesce(F.format_string("%.2f", F.round(col(c), 2)), empty())
+    return F.when(col(c).isNotNull(), F.format_string("%.2f", F.round(col(c), 2))).otherwise("")
 
 
 def raw_number(c: Column | str) -> Column:
     """Six decimals for machine-read report columns, '' for null."""
-    return F.coalesce(F.format_string("%.6f", col(c)), empty())
+    return F.when(col(c).isNotNull(), F.format_string("%.6f", col(c))).otherwise("")
 
 
 def ratio(a: Column, b: Column) -> Column:

@@ -23,16 +23,23 @@ def any_of(conditions: Iterable[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions, F.lit(False))
 
 
+def quote(word: str) -> str:
+    """Literal text inside a regular expression."""
+    return "".join(ch if ch.isalnum() or ch in " _" or not ch.isascii() else "\\" + ch for ch in word)
+
+
 def contains_any(text: Column, words: Sequence[str]) -> Column:
-    return any_of(text.contains(w) for w in words)
+    """Does the text contain one of the words? One pattern, however many words there are."""
+    return text.rlike("|".join(quote(w) for w in words))
 
 
 def starts_any(text: Column, prefixes: Sequence[str]) -> Column:
-    return any_of(text.startswith(p) for p in prefixes)
+    return text.rlike("^(?:" + "|".join(quote(p) for p in prefixes) + ")")
 
 
 def string_array(values: Sequence[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+    """Constant array of texts (folded to a literal by the optimizer)."""
+    return F.split(F.lit("\x01".join(values)), "\x01")
 
 
 def strip(c: Column | str) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from capsieve import rules as R
 from capsieve.functions.dates import iso, parse_date
 from capsieve.functions.text import (
-    blank_to_null, cik, clean_text, col, contains_any, empty, first_nonblank, starts_any,
+    blank_to_null, cik, clean_text, col, contains_any, empty, first_nonblank, quote, starts_any,
     strip, strip_tags, ticker, upper_key, url_key, urls_in,
 )
 from capsieve.functions.urls import accession_token
@@ -24,7 +24,7 @@ ITEM = r"(?i)item\s+(\d+\.\d{2})"
 
 def _mentions(text: Column, words: Sequence[str], match: str) -> Column:
     if match == "word":
-        quoted = "|".join("".join(ch if ch.isalnum() or ch == " " else "\\" + ch for ch in w) for w in words)
+        quoted = "|".join(quote(w) for w in words)
         return text.rlike(rf"(?<![a-z0-9])(?:{quoted})(?![a-z0-9])")
     return contains_any(text, words)
 

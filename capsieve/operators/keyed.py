@@ -32,6 +32,16 @@ def top_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int
     return ranked if rank else ranked.drop(name)
 
 
+def evaluate_once(df: DataFrame, column: str) -> DataFrame:
+    """Keep a costly computed column from being copied into later filters.
+
+    The optimizer pushes a filter below the projection that defines its column
+    and so computes the column twice. A one-element generator stops that.
+    """
+    others = [F.col(f"`{c}`") for c in df.columns if c != column]
+    return df.select(*others, F.explode(F.array(F.col(f"`{column}`"))).alias(column)).select([F.col(f"`{c}`") for c in df.columns])
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], ordinal: str) -> DataFrame:
     return top_rows(df, keys, [F.asc(ordinal)])
 

@@ -17,7 +17,7 @@ from capsieve.functions.text import (
     unescape_entities, upper_key,
 )
 from capsieve.functions.urls import filing_ids, form_from_url, is_image, path, url_names_form, with_scheme
-from capsieve.operators.keyed import text_parts, top_rows
+from capsieve.operators.keyed import evaluate_once, text_parts, top_rows
 from capsieve.operators.runway_rules import (
     finalize, months_in_column, months_of_fact, quarterly, quarterly_tag, text_runway, valid_months,
 )
@@ -315,7 +315,7 @@ def extract_runway(companies: DataFrame, filings: DataFrame, results: DataFrame,
         F.coalesce(age_days(as_of, "__src.FiledAt").cast("string"), empty()).alias("RunwaySourceDaysAgo"),
         F.coalesce(v["complete"], F.lit(False)).alias("__complete"))
     if drop_if_incomplete:
-        out = out.where("__complete")
+        out = evaluate_once(out, "__complete").where("__complete")
     return out.drop("__complete")
 
 

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from capsieve import rules as R
 from capsieve.functions.numbers import parse_number
 from capsieve.functions.text import (
-    col, contains_any, empty, match_form, match_form_literal, string_array, strip, strip_tags, unescape_entities,
+    col, contains_any, empty, match_form, match_form_literal, quote, string_array, strip, strip_tags, unescape_entities,
 )
+from capsieve.operators.keyed import evaluate_once
 from capsieve.operators.runway_rules import months_in_text, scale_in, scale_in_lines
 
 TABLE = r"(?is)<table[^>]*>.*?</table>"
@@ -85,13 +86,12 @@ def _best_of(tokens: Column) -> Column:
 
     def read(t: Column, i: Column) -> Column:
         before, after, after2 = at(i - 1), at(i + 1), at(i + 2)
-        value = parse_number(t)
         opened = t.rlike(r"[(\[]") | before.rlike(r"^[(\[]")
         closed = t.rlike(r"[)\]]") | after.rlike(r"[)\]]$")
         group = F.regexp_replace(t, r"[^0-9,.'’]", "")
         return F.struct(
-            i.alias("i"), value.alias("v"), F.length(F.regexp_replace(t, "[^0-9]", "")).alias("digits"),
-            ((value < 0) | t.rlike(r"[-−]") | (opened & closed)).alias("neg"),
+            i.alias("i"), parse_number(t).alias("v"), F.length(F.regexp_replace(t, "[^0-9]", "")).alias("digits"),
+            (t.rlike(r"[-−]") | (opened & closed)).alias("neg"),
             t.rlike(r"[.,  '’]").alias("sep"), t.rlike("[$€£¥₹₩₽]").alias("cur"),
             group.rlike(r"^\d{1,3}([,.'’]\d{3})+").alias("grouped"),
             (wordy(before) & (wordy(after) | wordy(after2)) & ~(currency(before) | currency(after))).alias("prose"),
@@ -129,19 +129,18 @@ def _best_of(tokens: Column) -> Column:
 
 # ---------------------------------------------------------------- sections and scale
 
-def _quote(text: str) -> str:
-    return "".join(ch if ch.isalnum() or ch == " " else "\\" + ch for ch in text)
-
-
 def section(html: Column, headers: Sequence[str], window: int, patterns: Sequence[str] = ()) -> Column:
     """Text from the first heading that is followed by a table: ``window`` characters, and to the
-    end of that table when it is longer. Null without such a heading."""
-    regexes = [_quote(h) for h in headers] + list(patterns)
-    starts = [F.regexp_instr(html, F.lit(rf"(?is){p}(?=.*?<t(?:able|r))")) for p in regexes]
-    start = F.coalesce(*[F.when(s > 0, s) for s in starts])
-    rest = F.substr(html, start)
+    end of that table when it is longer. Null without such a heading.
+
+    A heading that contains an earlier one never decides, so it is left out.
+    """
+    decisive = [h for i, h in enumerate(headers) if not any(e in h for e in headers[:i])]
+    regexes = [quote(h) for h in decisive] + list(patterns)
+    rests = [F.regexp_extract(html, rf"(?is){p}(?=.*?<t(?:able|r)).*", 0) for p in regexes]
+    rest = F.coalesce(*[F.nullif(r, F.lit("")) for r in rests])
     closing = F.regexp_extract(rest, r"(?is)^.*?</table[^>]*>", 0)
-    return F.when(start.isNotNull(), F.substr(rest, F.lit(1), F.greatest(F.length(closing), F.lit(window))))
+    return F.substr(rest, F.lit(1), F.greatest(F.length(closing), F.lit(window)))
 
 
 def scale_near(fragment: Column, html: Column) -> Column:
@@ -193,21 +192,27 @@ def pick_column(numbers: Column, column: Column) -> Column:
     return F.when(column >= 0, F.array_min(near)["v"]).otherwise(F.try_element_at(numbers, F.lit(-1))["v"])
 
 
+def _labelled(rows: Column) -> Column:
+    """``array<struct(text, n)>``: normalised lower-case text and numbers of each row, computed once."""
+    return F.transform(rows, lambda r: F.struct(
+        F.lower(match_form(F.array_join(r, " "))).alias("text"), row_numbers(r).alias("n")))
+
+
 def _lower_literals(captions: Sequence[str]) -> list[str]:
     return list(dict.fromkeys(match_form_literal(c).lower() for c in captions))
 
 
 def cash_from_rows(rows: Column, column: Column) -> Column:
-    """End-of-period cash: the first cash row with a number; a label row may hand over to the next
+    """End-of-period cash from labelled rows: the first cash row with a number; a label row may hand over to the next
     row when that is the restricted-cash line."""
-    def facts(r: Column) -> Column:
-        text = F.lower(match_form(F.array_join(r, " ")))
+    def facts(x: Column) -> Column:
+        text = x["text"]
         ends = text.contains("end of") | text.contains("period end") | text.contains("end-of")
         skip = contains_any(text, ("net decrease", "net increase", "beginning", "start of", "opening"))
         known = contains_any(text, _lower_literals(R.CASH_CAPTIONS_FLOW))
         simple = text.contains("cash") & ends & ~text.contains("cash flows")
         label = ~skip & (known | text.contains("cash and cash equivalents") | simple)
-        value = pick_column(row_numbers(r), column)
+        value = pick_column(x["n"], column)
         return F.struct(
             label.alias("label"), (label & (ends | known | simple)).alias("closing"),
             (~skip & ~label & contains_any(text, ("cash & restricted cash", "cash and restricted cash"))).alias("restricted"),
@@ -223,35 +228,42 @@ def cash_from_rows(rows: Column, column: Column) -> Column:
 
 
 def cash_flow_from_rows(rows: Column, column: Column, sign: str = "reported") -> Column:
-    """``array<double>``: operating cash flow of every matching row in order.
+    """``array<double>``: operating cash flow of every matching labelled row in order.
 
     The printed sign is kept. ``sign='flip_provided'`` negates rows whose caption
     says "provided", as the published rule does.
     """
     burn, provided = _lower_literals(R.OCF_CAPTIONS_BURN), _lower_literals(R.OCF_CAPTIONS_PROVIDED)
 
-    def read(r: Column) -> Column:
-        text = F.lower(match_form(F.array_join(r, " ")))
-        spent = contains_any(text, burn)
-        value = pick_column(row_numbers(r), column)
-        flip = F.when(~spent, -value) if sign == "flip_provided" else F.lit(None).cast("double")
-        return F.when(spent | contains_any(text, provided), F.coalesce(flip, value))
+    matching = F.filter(rows, lambda x: contains_any(x["text"], [*burn, *provided]))
+
+    def read(x: Column) -> Column:
+        value = pick_column(x["n"], column)
+        return F.when(contains_any(x["text"], burn), value).otherwise(-value) if sign == "flip_provided" else value
 
-    return F.filter(F.transform(rows, read), lambda v: v.isNotNull())
+    return F.filter(F.transform(matching, read), lambda v: v.isNotNull())
+
+
+def _first_key(text: Column, keys: Column) -> Column:
+    """Position (1-based) of the first caption found in a text, 0 without one."""
+    return F.array_position(F.transform(keys, lambda k: F.contains(text, k)), True)
 
 
 def _read_tables(tables: Column, html: Column, sign: str) -> Column:
     """``array<struct(scale, cash, flows)>`` of a list of HTML tables."""
     def unpack(t: Column) -> Column:
         rows = table_rows(t)
-        return F.struct(scale_near(t, html).alias("scale"), rows.alias("rows"), latest_year_column(rows).alias("column"))
+        return F.struct(scale_near(t, html).alias("scale"), rows.alias("rows"))
+
+    def label(t: Column) -> Column:
+        return F.struct(t["scale"].alias("scale"), _labelled(t["rows"]).alias("rows"), latest_year_column(t["rows"]).alias("column"))
 
     def read(t: Column) -> Column:
         return F.struct(
             t["scale"].alias("scale"), (cash_from_rows(t["rows"], t["column"]) * t["scale"]).alias("cash"),
             F.transform(cash_flow_from_rows(t["rows"], t["column"], sign), lambda v: v * t["scale"]).alias("flows"))
 
-    return F.transform(F.transform(tables, unpack), read)
+    return F.transform(F.transform(F.transform(tables, unpack), label), read)
 
 
 def parse_statements(docs: DataFrame, html: str = "html", sign: str = "reported") -> DataFrame:
@@ -268,11 +280,16 @@ def parse_statements(docs: DataFrame, html: str = "html", sign: str = "reported"
     out = out.withColumns({
         "__balance": section(page, R.BALANCE_HEADERS, 60_000),
         "__flow": section(page, R.CASHFLOW_HEADERS, 120_000, [R.CASHFLOW_HEADER_PATTERN])})
-    out = out.withColumn("__in_section", F.coalesce(_all(F.col("__flow"), TABLE), F.array().cast("array<string>")))
-    out = out.withColumn("__balance_cash", F.when(
-        F.col("__balance").isNotNull(),
-        caption_number(strip_tags("__balance"), R.CASH_CAPTIONS_BALANCE) * scale_near(F.col("__balance"), page)))
-    out = out.withColumn("__read", _read_tables(F.col("__in_section"), page, sign))
+    flow_tables = F.coalesce(_all(F.col("__flow"), TABLE), F.array().cast("array<string>"))
+    known = F.transform(_all(page, TABLE), lambda t, i: F.struct(_first_key(F.lower(t), keys).alias("key"), i.alias("i"), t.alias("t")))
+    out = out.withColumns({"__inside": flow_tables, "__known": F.array_sort(F.filter(known, lambda x: x["key"] > 0))})
+    outside = F.filter(F.transform("__known", lambda x: x["t"]), lambda t: ~F.array_contains(F.col("__inside"), t))
+    out = out.withColumn("__read", _read_tables(F.concat("__inside", outside), page, sign))
+    balance_cash = caption_number(strip_tags("__balance"), R.CASH_CAPTIONS_BALANCE) * scale_near(F.col("__balance"), page)
+    flow_text = F.when(F.col("__flow").isNotNull(), strip_tags("__flow"))
+    out = out.withColumns({
+        "__own": F.slice("__read", 1, F.size("__inside")), "__balance_cash": F.when(F.col("__balance").isNotNull(), balance_cash),
+        "__text": flow_text, "__scale": F.when(F.col("__flow").isNotNull(), scale_near(F.col("__flow"), page))})
 
     def first_cash(c: str) -> Column:
         return F.try_element_at(F.filter(F.transform(c, lambda t: t["cash"]), lambda v: v.isNotNull()), F.lit(1))
@@ -280,21 +297,14 @@ def parse_statements(docs: DataFrame, html: str = "html", sign: str = "reported"
     def last_flow(c: str) -> Column:
         return F.try_element_at(F.flatten(F.transform(c, lambda t: t["flows"])), F.lit(-1))
 
-    missing = F.coalesce(F.col("__balance_cash"), first_cash("__read")).isNull() | last_flow("__read").isNull()
-    ranked = F.transform(_all(page, TABLE), lambda t, i: F.struct(
-        F.array_position(F.transform(keys, lambda k: F.contains(F.lower(t), k)), True).alias("key"), i.alias("i"), t.alias("t")))
-    others = F.array_sort(F.filter(ranked, lambda x: (x["key"] > 0) & ~F.array_contains(F.col("__in_section"), x["t"])))
-    none = F.array().cast("array<string>")
-    out = out.withColumn("__others", F.when(missing, F.transform(others, lambda x: x["t"])).otherwise(none))
-    out = out.withColumn("__more", F.when(F.size("__others") > 0, _read_tables(F.col("__others"), page, sign)))
-    flow_text = F.when(F.col("__flow").isNotNull(), strip_tags("__flow"))
-    spoken = caption_number(flow_text, flow_captions) * scale_near(F.col("__flow"), page)
-    spoken = F.when(F.col("__flow").isNotNull(), spoken)
+    # tables outside the section only count while something is missing inside it
+    found_inside = F.coalesce("__balance_cash", first_cash("__own")).isNotNull() & last_flow("__own").isNotNull()
+    out = out.withColumn("__used", F.when(found_inside, F.col("__own")).otherwise(F.col("__read")))
+    spoken = caption_number("__text", flow_captions) * F.col("__scale")
     out = out.withColumns({
-        "__cash": F.coalesce(F.col("__balance_cash"), first_cash("__read"), first_cash("__more")),
-        "__ocf": F.coalesce(last_flow("__more"), last_flow("__read"), spoken),
-        "__months": F.coalesce(months_in_text(flow_text), months_in_text(strip_tags(page))),
-        "__units": F.coalesce(F.when(F.col("__flow").isNotNull(), scale_near(F.col("__flow"), page)), F.lit(1)).cast("bigint")})
+        "__cash": F.coalesce("__balance_cash", first_cash("__used")), "__ocf": F.coalesce(last_flow("__used"), spoken),
+        "__months": F.coalesce(months_in_text("__text"), months_in_text(strip_tags(page))),
+        "__units": F.coalesce("__scale", F.lit(1)).cast("bigint")})
     evidence = F.concat_ws(
         "; ", F.when(F.col("__flow").isNotNull(), "cash flow table located"),
         F.concat(F.lit("cash="), F.col("__cash").cast("string")), F.concat(F.lit("ocf="), F.col("__ocf").cast("string")),
@@ -302,4 +312,4 @@ def parse_statements(docs: DataFrame, html: str = "html", sign: str = "reported"
     found = F.struct(
         F.col("__cash").alias("cash"), F.col("__ocf").alias("ocf"), F.col("__months").alias("months"),
         F.col("__units").alias("units"), F.col("__flow").isNotNull().alias("header"), evidence.alias("evidence"))
-    return out.withColumn("statement", found).select(*docs.columns, "statement")
+    return evaluate_once(out.withColumn("statement", found).select(*docs.columns, "statement"), "statement")

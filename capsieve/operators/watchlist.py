@@ -17,6 +17,7 @@ from capsieve.functions.urls import url_matches_form
 from capsieve.operators import evidence as ev
 from capsieve.operators.events import candidate_links, catalyst_label, match_events, tier1_trigger
 from capsieve.operators.gates import watchlist_market_gate
+from capsieve.operators.keyed import evaluate_once
 from capsieve.operators.market import merge_market
 from capsieve.operators.runway_rules import bucket, runway_days
 from capsieve.rules import RULES, Rules
@@ -191,7 +192,7 @@ def check_research(research: DataFrame, market: DataFrame, events: DataFrame, as
     latest_date = F.coalesce("latest.date", parse_date(F.col("FiledAt").cast("string")) if "FiledAt" in given else F.lit(None).cast("date"))
     keep = F.col("has_runway")
     blank = empty()
-    return rows.select(
+    checked = rows.select(
         "Ticker", *(["EvidencePart"] if "EvidencePart" in given else []),
         text("Company").alias("Company"), text("Sector").alias("Sector"), cik("CIK").alias("CIK"), "Price", "MarketCap", "ADV20",
         latest_form.alias("LatestForm"), iso(latest_date).alias("LatestFiledAt"),
@@ -226,6 +227,7 @@ def check_research(research: DataFrame, market: DataFrame, events: DataFrame, as
         F.when(strong, first_nonblank(event["Tier1Trigger"], F.when(trigger != "None", "Detected")))
         .when(on_catalyst, "").otherwise(F.when(trigger != "None", "Detected").otherwise("")).alias("Tier1Trigger"),
         reason.alias("DropReason"))
+    return evaluate_once(checked, "DropReason")
 
 
 def watchlist(checked: DataFrame) -> DataFrame:
