@@ -40,9 +40,8 @@ def form_name(c: Column | str) -> Column:
 
 def form_key(c: Column | str) -> Column:
     """Letters and digits only, without a leading 'FORM' and a trailing '/A'."""
-    name = F.regexp_replace(form_name(c), "^FORM ", "")
-    name = F.regexp_replace(F.regexp_replace(name, " ", ""), "/A$", "")
-    return F.regexp_replace(F.lower(name), "[^a-z0-9]", "")
+    name = F.regexp_replace(F.coalesce(col(c), empty()), r"(?i)^\s*(?:FORM\s+|nan\s*$)|\s*/\s*A\s*$", "")
+    return F.lower(F.regexp_replace(name, "[^A-Za-z0-9]", ""))
 
 
 def progress_form(c: Column | str) -> Column:
@@ -64,7 +63,7 @@ def form_family(canonical: Column) -> Column:
 
 
 def is_manager_form(c: Column | str) -> Column:
-    return starts_any(form_name(c), R.MANAGER_FORMS)
+    return starts_any(F.upper(F.ltrim(col(c))), R.MANAGER_FORMS)
 
 
 def is_dilution_only_form(c: Column | str) -> Column:

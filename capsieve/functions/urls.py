@@ -115,21 +115,26 @@ def accession_token(c: Column | str) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(col(c), empty()), r"(?i)/edgar/data/\d+/([^/?#]+)/", 1))
 
 
+_DOC_VALUES = r"(?:^|&)(?:doc|filename|file|document)=([^&]+)"
+_KNOWN_KEY = "^(?:" + "|".join(prefix for prefix, _ in R.FORM_URL_PATTERNS) + ")"
+_OWN_LINK = "^(?:" + "|".join(f"{prefix}[a-z0-9]* .*{pattern}" for prefix, pattern in R.FORM_URL_PATTERNS) + ")"
+_ANY_LINK = "|".join(pattern for _, pattern in R.FORM_URL_PATTERNS)
+
+
 def url_matches_form(form: Column | str, url: Column | str) -> Column:
-    """Does the link fit the form? Unknown forms and blanks count as fitting."""
+    """Does the link fit the form? Unknown forms and blanks count as fitting.
+
+    A link that names its form fits, one that names another form does not, and
+    any other link fits when it is an archive or viewer link.
+    """
     key, link = form_key(form), F.coalesce(col(url), empty())
-    docs = [F.lower(query_value(link, k)) for k in ("doc", "filename", "file", "document")]
-    text = F.concat_ws(" ", F.lower(link), *docs)
-    own = F.lit(None).cast("boolean")
-    for prefix, pattern in reversed(R.FORM_URL_PATTERNS):
-        own = F.when(key.startswith(prefix), text.rlike(pattern)).otherwise(own)
-    other = any_of(text.rlike(p) for _, p in R.FORM_URL_PATTERNS)
-    low_path = F.lower(path(link))
-    archive = is_sec(link) & (
-        low_path.contains(ARCHIVE) | low_path.rlike("^(/ix|/cgi-bin/ix|/cgi-bin/viewer)")
-        | any_of(d.contains(ARCHIVE) for d in docs)
+    docs = F.transform(F.regexp_extract_all(query(link), F.lit(_DOC_VALUES), F.lit(1)), lambda v: F.coalesce(F.try_url_decode(v), empty()))
+    text = F.lower(F.when(link.contains("?"), F.concat_ws(" ", link, F.array_join(docs, " "))).otherwise(link))
+    archive = is_sec(link) & (text.contains(ARCHIVE) | F.lower(path(link)).rlike("^(/ix|/cgi-bin/ix|/cgi-bin/viewer)"))
+    return (
+        F.when((link == "") | ~key.rlike(_KNOWN_KEY), True)
+        .when(F.concat_ws(" ", key, text).rlike(_OWN_LINK), True).when(text.rlike(_ANY_LINK), False).otherwise(archive)
     )
-    return F.when((key == "") | (link == "") | own.isNull(), True).when(own, True).when(other, False).otherwise(archive)
 
 
 def url_names_form(form: Column | str, url: Column | str) -> Column:

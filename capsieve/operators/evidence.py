@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from capsieve import rules as R
 from capsieve.functions.dates import age_days, iso, parse_date
-from capsieve.functions.forms import form_name, is_dilution_only_form, is_manager_form
+from capsieve.functions.forms import is_dilution_only_form, is_manager_form
 from capsieve.functions.text import (
     clean_text, col, contains_any, empty, first_url, squeeze, starts_any, string_array, strip, urls_in,
 )
@@ -34,10 +34,10 @@ def entries(cell: Column | str) -> Column:
         after = F.regexp_extract(raw, r"(?s)20\d{2}-\d{2}-\d{2}[ |]*(.*)$", 1)
         rest = F.when(after != "", after).otherwise(raw)
         head = strip(F.regexp_replace(strip(F.regexp_extract(rest, r"^([^|]*)", 1)), "(?is)http.*$", ""))
-        form = form_name(F.regexp_extract(head, r"^([A-Za-z0-9./-]+(?:\s+[A-Za-z0-9.-]+)?)", 1))
+        form = squeeze(F.upper(F.regexp_extract(head, r"^([A-Za-z0-9./-]+(?:\s+[A-Za-z0-9.-]+)?)", 1)))
         leading = parse_date(F.regexp_extract(head, r"^(\S+)", 1))
         return F.struct(
-            raw.alias("raw"), F.coalesce(parse_date(day), leading).alias("date"), form.alias("form"),
+            raw.alias("raw"), F.coalesce(day.try_cast("date"), leading).alias("date"), form.alias("form"),
             first_url(raw).alias("url"), F.lower(raw).alias("lower"))
 
     pieces = F.filter(F.transform(F.split(F.coalesce(col(cell), empty()), r"[;\n]+"), strip), lambda x: x != "")

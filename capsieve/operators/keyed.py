@@ -151,7 +151,8 @@ def text_parts(lines: DataFrame, keys: Sequence[str], ordinal: str, text: str, n
     )
     span = F.col("__hi").cast("double") - F.col("__lo").cast("double") + F.lit(1.0)
     spot = (F.col(ordinal).cast("double") - F.col("__lo").cast("double")) / span
-    part = F.floor(F.col("__before") / F.lit(lines_per_part)) + F.floor(spot * F.col("__k"))
+    within = F.least(F.floor(spot * F.col("__k")), F.col("__k") - F.lit(1))
+    part = F.floor(F.col("__before") / F.lit(lines_per_part)) + within
     entry = F.struct(F.col("__age").alias("age"), F.col(ordinal).alias("o"), F.col(text).alias("t"))
     return (
         rows.join(days, [*keys, "__age"])

@@ -234,7 +234,8 @@ def deep_research(shortlist: DataFrame, filings: DataFrame, events: DataFrame, a
         *[F.bool_or((F.col("Kind") == k) & primary).alias(f"__has_{k}") for k in _KINDS])
     cells = _evidence_cells(links, keys)
 
-    out = shortlist
+    # the shortlist's own catalyst is the latest one; research scores the earliest Tier-1 event instead
+    out = shortlist.drop("PrimaryCatalystDate", "PrimaryCatalystType", "PrimaryCatalystURL")
     for part in (scores, runway, catalyst, proven, cells):
         out = out.join(part, keys, "left")
     out = out.withColumns({f"__has_{k}": F.coalesce(f"__has_{k}", F.lit(False)) for k in _KINDS})
