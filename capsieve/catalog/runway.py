@@ -361,7 +361,7 @@ def exhibit_follow(t: Tables) -> DataFrame:
     candidates = ranked_exhibits(t)
     pages = filing_pages(t).withColumn("html", statement_html())
     good = pages.select(F.regexp_replace("url", "main", "ex99-1").alias("exhibit_url"), "html")
-    bad = pages.limit(1).select(F.lit("https://www.sec.gov/files/x_ex99-2.htm").alias("exhibit_url"), F.lit("<p>nothing</p>").alias("html"))
+    bad = pages.select(F.lit("https://www.sec.gov/files/x_ex99-2.htm").alias("exhibit_url"), F.lit("<p>nothing</p>").alias("html")).distinct()
     best = rw.follow_exhibits(candidates, good.unionByName(bad), "url", F.col("form"))
     best = rw.exhibit_verdict(best.join(candidates.select("url", "k", "form").distinct(), "url"), F.col("form"))
     return best.select(F.col("k").alias("SupplierId"), F.col("exhibit_url").alias("Link"), F.col("cash").alias("Cash"), F.col("ocf").alias("OCF"),
@@ -491,7 +491,8 @@ def extracted(t: Tables, drop: bool) -> DataFrame:
     f = f.withColumn("URL", F.concat("URL", F.lit("?form="), "Form"))
     cash = F.when(F.col("ord") % 3 != 0, (F.col("ord") % 50 + 1) * F.lit(1000.0))
     ocf = F.when(F.col("ord") % 5 != 0, F.lit(-800.0))
-    results = f.where(F.col("ord") % 7 != 0).select("URL", rr.finalize(cash, ocf, F.lit(3), F.col("Form"), ocf).alias("result"))
+    verdict = rr.finalize(cash, ocf, F.lit(3), F.col("Form"), ocf)
+    results = f.select("URL", F.when(F.col("ord") % 7 != 0, verdict).alias("result"))
     return rw.extract_runway(t.profiles().select("Ticker", "CIK"), f, results, FILINGS_AS_OF, "ord", drop)
 
 

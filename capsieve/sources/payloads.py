@@ -27,8 +27,7 @@ _PROFILES = (
     " country:string, currency:string, sector:string, industry:string, mktCap:double, marketCap:double, price:double>>")
 _QUOTES = (
     "array<struct<symbol:string, ticker:string, bidPrice:double, askPrice:double, bidSize:double, askSize:double,"
-    " volume:double, timestamp:double, error:string, Error:string, message:string, `Error Message`:string,"
-    " `error message`:string>>")
+    " volume:double, timestamp:double, error:string, message:string, `Error Message`:string>>")
 _FILINGS = (
     "array<struct<symbol:string, cik:string, companyName:string, type:string, form:string, filingDate:string,"
     " fillingDate:string, finalLink:string, linkToFilingDetails:string, reportUrl:string, link:string, items:string,"
@@ -84,7 +83,7 @@ def profiles(payloads: DataFrame, rules: Rules = RULES, updated_at: Column | Non
 def quotes(payloads: DataFrame, requested: DataFrame, ordinal: str) -> DataFrame:
     """One row per requested ticker: its last quote, or nulls. Error objects give no quote."""
     rows = payloads.select(ordinal, F.explode(_records(_QUOTES)).alias("r"))
-    failed = F.coalesce(*[blank_to_null(f"r.`{c}`") for c in ("error", "Error", "message", "Error Message", "error message")])
+    failed = F.coalesce(*[blank_to_null(f"r.`{c}`") for c in ("error", "message", "Error Message")])
     rows = rows.where(failed.isNull()).select(
         ordinal, ticker(first_nonblank("r.symbol", "r.ticker"), True).alias("Ticker"), F.col("r.bidPrice").alias("BidPrice"),
         F.col("r.askPrice").alias("AskPrice"), F.col("r.bidSize").alias("BidSize"), F.col("r.askSize").alias("AskSize"),

@@ -16,6 +16,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from capsieve import rules as R
 from capsieve.functions.forms import progress_form
 from capsieve.functions.text import blank_to_null, strip
+from capsieve.operators.keyed import evaluate_once
 
 UNSPECIFIED, EIGHT_K = "Unspecified", "8-K Events"
 
@@ -28,7 +29,7 @@ def parse_log(log: DataFrame, message: str = "message") -> DataFrame:
     text = strip(F.coalesce(F.regexp_extract(message, r"(?s)^[^|]*\|(.*)$", 1), F.lit("")))
     text = F.when(F.col(message).contains("|"), text).otherwise(strip(F.col(message)))
     text = F.regexp_replace(text, r"(?i)^(INFO|WARN|ERROR)\s+", "")
-    rows = log.withColumn("__t", text).where(F.col("__t").rlike("^(parse_q10|eight_k|dr_forms)"))
+    rows = evaluate_once(log.withColumn("__t", text), "__t").where(F.col("__t").rlike("^(parse_q10|eight_k|dr_forms)"))
     body = F.regexp_extract("__t", r"^(?:parse_q10|dr_forms)\s*\[[^\]]+\]\s*(.*)$", 1)
     rows = rows.withColumn("__b", body)
     b = F.col("__b")
@@ -39,7 +40,7 @@ def parse_log(log: DataFrame, message: str = "message") -> DataFrame:
         .when(b.contains(" fetching "), "fetch").when(b.startswith("compute_runway:"), "compute")
         .when(b.contains(" runway status "), "status").when(b.contains(" form status "), "form_status")
         .when(b.contains(" incomplete:"), "incomplete").when(b.rlike(r"\brunway\b.*\bqtrs\b"), "done"))
-    rows = rows.withColumn("kind", kind).where("kind IS NOT NULL")
+    rows = evaluate_once(rows.withColumn("kind", kind), "kind").where("kind IS NOT NULL")
     k = F.col("kind")
     first = F.when(k == "compute", F.regexp_extract(b, r"^compute_runway:\s*(\S+)", 1)).otherwise(F.regexp_extract(b, r"^(\S+)", 1))
     raw = (
@@ -64,22 +65,42 @@ def parse_log(log: DataFrame, message: str = "message") -> DataFrame:
     return rows.where((F.col("ticker") != "") | k.isin("eight_k", "start")).drop("__t", "__b")
 
 
-def carry_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, bin_column: str,
-               inclusive: bool = True) -> DataFrame:
-    """Last non-null ``value`` per key so far, in two levels.
+def carry_state(rows: DataFrame, order: Sequence[str], bin_column: str) -> DataFrame:
+    """Add the form (``__form``) and the counted key (``__key``) in force at each line of a ticker.
 
-    Inside a time bin a window carries the value; across bins only one row per
-    (key, bin) is carried. A key with a large share of the log is spread over its bins.
+    A line's form is its own or the ticker's last one. Fetch and compute lines
+    set the key (form, day); before the first of them the first other line naming
+    a form sets it. Both are carried in two levels: windows inside a time bin, and
+    one summary row per (ticker, bin) across bins, so a ticker with a large share
+    of the log is spread over its bins.
     """
     place = F.struct(*order)
-    inside = Window.partitionBy(*keys, bin_column).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, 0 if inclusive else -1)
-    earlier = Window.partitionBy(*keys).orderBy(bin_column).rowsBetween(Window.unboundedPreceding, -1)
-    last = df.groupBy(*keys, bin_column).agg(
-        F.max_by(value, F.when(F.col(value).isNotNull(), place)).alias("__last"))
-    last = last.withColumn("__before", F.last("__last", ignorenulls=True).over(earlier)).drop("__last")
-    out = df.withColumn("__in", F.last(value, ignorenulls=True).over(inside))
-    return out.join(last, [*keys, bin_column], "left").withColumn(name, F.coalesce("__in", "__before")).drop("__in", "__before")
+    inside = Window.partitionBy("ticker", bin_column).orderBy(*order)
+    sets = F.col("kind").isin("fetch", "compute")
+    rows = rows.withColumn("__f", F.last("form", ignorenulls=True).over(inside))
+    rows = rows.withColumn("__set", F.when(sets, F.struct(F.col("__f").alias("form"), F.coalesce("day", F.lit("")).alias("day"))))
+    rows = rows.withColumn("__k", F.last("__set", ignorenulls=True).over(inside))
+
+    weak = F.col("kind").isin("form_status", "incomplete")
+    bins = rows.groupBy("ticker", bin_column).agg(
+        F.max_by("__f", place).alias("__lf"), F.max_by("__k", place).alias("__lk"),
+        F.min(F.when(weak, F.struct(place.alias("at"), F.col("form").alias("form")))).alias("__w"))
+    earlier = Window.partitionBy("ticker").orderBy(bin_column).rowsBetween(Window.unboundedPreceding, -1)
+    until = Window.partitionBy("ticker").orderBy(bin_column).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    bins = bins.withColumn("__pf", F.last("__lf", ignorenulls=True).over(earlier))
+    # a key set by a compute line without a form takes the form in force there
+    closed = F.when(F.col("__lk").isNotNull(), F.struct(
+        F.coalesce("__lk.form", "__pf", F.lit(UNSPECIFIED)).alias("form"), F.col("__lk.day").alias("day")))
+    bins = bins.withColumn("__lk", closed).withColumn("__pk", F.last("__lk", ignorenulls=True).over(earlier))
+    bins = bins.withColumn("__w", F.min("__w").over(until)).select("ticker", bin_column, "__pf", "__pk", "__w")
+
+    out = rows.join(bins, ["ticker", bin_column])
+    form = F.coalesce("__f", "__pf", F.lit(UNSPECIFIED))
+    here = F.when(F.col("__k").isNotNull(), F.struct(
+        F.coalesce("__k.form", "__pf", F.lit(UNSPECIFIED)).alias("form"), F.col("__k.day").alias("day")))
+    set_before = F.when(F.col("__w.at") <= place, F.col("__w.form"))
+    weakest = F.struct(F.coalesce(set_before, form).alias("form"), F.lit("").alias("day"))
+    return out.withColumns({"__form": form, "__key": F.coalesce(here, F.col("__pk"), weakest)}).drop("__f", "__set", "__k", "__pf", "__pk", "__w")
 
 
 def _after_last(rows: DataFrame, restarts: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -94,17 +115,8 @@ def progress(log: DataFrame, ts: str = "ts", ordinal: str = "ord", bin_seconds:
     parsed = parse_log(log).withColumn("__bin", F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(bin_seconds * 1_000_000)))
     rows = _after_last(parsed.where("kind NOT IN ('eight_k', 'start')"), parsed.where("kind = 'start'"), order)
 
-    # the form of a line: its own, else the last one of the ticker
-    rows = carry_last(rows, ["ticker"], order, "form", "__form", "__bin")
-    rows = rows.withColumn("__form", F.coalesce("__form", F.lit(UNSPECIFIED)))
-    own_key = F.when(F.col("kind").isin("fetch", "compute"), F.struct(F.col("__form").alias("form"), F.coalesce("day", F.lit("")).alias("day")))
-    rows = carry_last(rows.withColumn("__set", own_key), ["ticker"], order, "__set", "__key", "__bin")
-    weak = F.col("kind").isin("form_status", "incomplete")
+    rows = carry_state(rows, order, "__bin")
     place = F.struct(*order)
-    default = rows.groupBy("ticker").agg(F.min_by("__form", F.when(weak, place)).alias("__default"))
-    rows = rows.join(default, "ticker", "left")
-    fallback = F.struct(F.coalesce("__default", "__form").alias("form"), F.lit("").alias("day"))
-    rows = rows.withColumn("__key", F.coalesce("__key", fallback))
 
     # each key counts once: its first outcome, and its first compute unless an outcome came before
     is_outcome, is_compute = F.col("ok").isNotNull(), F.col("kind") == "compute"
@@ -130,7 +142,10 @@ def progress(log: DataFrame, ts: str = "ts", ordinal: str = "ord", bin_seconds:
         F.sum("valid").alias("valid"), F.sum("missing").alias("missing"))
 
     zero = F.lit(0).cast("bigint")
-    touched = rows.select(F.col("__form").alias("form"), zero.alias("parsed"), zero.alias("valid"), zero.alias("missing"))
+    named = _after_last(parsed.where("form IS NOT NULL"), parsed.where("kind = 'start'"), order)
+    touched = named.select("form").distinct().unionByName(
+        per_key.where(F.col("__key.form") == UNSPECIFIED).select(F.col("__key.form").alias("form")).distinct())
+    touched = touched.select("form", zero.alias("parsed"), zero.alias("valid"), zero.alias("missing"))
     labels = F.explode(F.array(*[F.lit(p) for p in R.PROGRESS_PLACEHOLDERS]))
     holders = log.sparkSession.range(1).select(
         labels.alias("form"), F.lit("NI").alias("note"), zero.alias("parsed"), zero.alias("valid"), zero.alias("missing"))
