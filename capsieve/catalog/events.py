@@ -239,7 +239,8 @@ SELECT ord AS FilingId, CASE WHEN one THEN form ELSE '8-K' END AS Form, CASE WHE
 def evidence_parse_summary(t: Tables) -> DataFrame:
     twice = F.concat("line1", F.lit("\n"), "line2", F.lit(";"), "line2")
     rows = cells(t).withColumn("e", ev.without_manager_forms(ev.entries(twice)))
-    rows = rows.withColumn("s", ev.summary_of(ev.primary_entry(F.col("e")), CELLS_AS_OF))
+    rows = rows.withColumn("p", ev.primary_entry(F.col("e")))
+    rows = rows.withColumn("s", ev.summary_of(F.col("p"), CELLS_AS_OF))
     return rows.select(
         F.col("ord").alias("FilingId"), F.col("s.form").alias("Form"), F.col("s.date").alias("Date"), F.col("s.days_ago").alias("DaysAgo"),
         F.col("s.url").alias("Url"), F.col("s.text").alias("Text"), ev.format_entries(F.col("e")).alias("Formatted"),

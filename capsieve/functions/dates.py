@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from capsieve.functions.text import clean_text, col
+from capsieve.functions.text import col, empty, strip
 
 
 def as_date(as_of: dt.date | str | Column) -> Column:
@@ -17,17 +17,19 @@ def as_date(as_of: dt.date | str | Column) -> Column:
 
 def parse_date(c: Column | str) -> Column:
     """Day of a date text: ISO, ISO with a time, else day-first; null when unreadable."""
-    text = clean_text(c, ("nan", ""))
-    iso = F.regexp_extract(text, r"^(\d{4}-\d{2}-\d{2})(?:[ T]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?Z?)?$", 1)
-    day_first = F.regexp_replace(F.regexp_extract(text, r"^(\d{1,2}[/.-]\d{1,2}[/.-]\d{4})$", 1), "[.-]", "/")
-    named = F.regexp_extract(text, r"^(\d{1,2} [A-Za-z]{3} \d{4})$", 1)
+    text = strip(F.coalesce(col(c).cast("string"), empty()))
+    iso_day = F.regexp_extract(text, r"^(\d{4}-\d{2}-\d{2})(?:[ T]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?Z?)?$", 1)
+    # only texts of the right shape reach a parser: a failed parse is costly
+    day_first = F.translate(F.regexp_extract(text, r"^(\d{1,2}[/.-]\d{1,2}[/.-]\d{4})$", 1), ".-", "//")
     year_first = F.regexp_extract(text, r"^(\d{4}/\d{1,2}/\d{1,2})$", 1)
+    named = F.regexp_extract(text, r"^(\d{1,2} [A-Za-z]{3} \d{4})$", 1)
+
+    def read(shaped: Column, pattern: str) -> Column:
+        return F.when(shaped != "", F.to_date(F.try_to_timestamp(shaped, F.lit(pattern))))
+
     return F.coalesce(
-        F.to_date(F.try_to_timestamp(iso, F.lit("yyyy-MM-dd"))),
-        F.to_date(F.try_to_timestamp(day_first, F.lit("d/M/yyyy"))),
-        F.to_date(F.try_to_timestamp(year_first, F.lit("yyyy/M/d"))),
-        F.to_date(F.try_to_timestamp(named, F.lit("d MMM yyyy"))),
-    )
+        F.when(iso_day != "", iso_day.try_cast("date")), read(day_first, "d/M/yyyy"), read(year_first, "yyyy/M/d"),
+        read(named, "d MMM yyyy"))
 
 
 def age_days(as_of: dt.date | str | Column, c: Column | str) -> Column:
@@ -37,7 +39,7 @@ def age_days(as_of: dt.date | str | Column, c: Column | str) -> Column:
 
 def iso(c: Column | str) -> Column:
     """ISO text of a date, '' for null."""
-    return F.coalesce(F.date_format(col(c), "yyyy-MM-dd"), F.lit(""))
+    return F.coalesce(col(c).cast("date").cast("string"), F.lit(""))
 
 
 def is_iso(c: Column | str) -> Column:

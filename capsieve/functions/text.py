@@ -42,13 +42,16 @@ def string_array(values: Sequence[str]) -> Column:
     return F.split(F.lit("\x01".join(values)), "\x01")
 
 
+WHITE = " \t\n\r\f\x0b\u00a0"
+
+
 def strip(c: Column | str) -> Column:
     """Trim all white space (not only blanks) on both sides."""
-    return F.regexp_replace(col(c), r"^[\s\u00A0]+|[\s\u00A0]+$", "")
+    return F.btrim(col(c), F.lit(WHITE))
 
 
 def squeeze(c: Column | str) -> Column:
-    return strip(F.regexp_replace(col(c), r"[\s\u00A0]+", " "))
+    return F.trim(F.regexp_replace(col(c), r"[\s\u00A0]+", " "))
 
 
 def blank_to_null(c: Column | str) -> Column:
