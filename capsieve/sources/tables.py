@@ -140,7 +140,7 @@ def stage_counts(tables: dict[str, DataFrame | None], spark: SparkSession) -> Da
 def read_text_files(spark: SparkSession, path: str) -> DataFrame:
     """``(URL, Text)`` of filing files; undecodable bytes are dropped."""
     files = spark.read.format("binaryFile").load(path)
-    text = F.replace(F.decode("content", F.lit("UTF-8")), F.lit("\ufffd"), F.lit(""))
+    text = F.replace(F.make_valid_utf8(F.col("content").cast("string")), F.lit("\ufffd"), F.lit(""))
     return files.select(F.regexp_replace("path", "^file:/+", "file:///").alias("URL"), text.alias("Text"))
 
 
