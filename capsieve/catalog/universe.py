@@ -113,11 +113,14 @@ _GROUP_VALUES = ", ".join(
 _LISTED = ", ".join(f"('{f}')" for f in RULES.whitelist)
 
 
-@query("lookback_per_form", sql=f"""
-SELECT f AS Form, max(d) AS LookbackDays FROM (VALUES {_GROUP_VALUES}) g(f, d) GROUP BY f
+@query("lookback_per_form", "v_filings", sql=f"""
+WITH g AS (SELECT f, max(d) AS d FROM (VALUES {_GROUP_VALUES}) g(f, d) GROUP BY f)
+SELECT v.ord AS FilingId, v.form AS Form, g.d AS LookbackDays FROM v_filings v JOIN g ON g.f = v.form
 """)
 def lookback_table(t: Tables) -> DataFrame:
-    return lookback_per_form(RULES.form_group_table(t.spark))
+    """Every filing of a grouped form with the longest lookback any group gives that form."""
+    table = lookback_per_form(RULES.form_group_table(t.spark))
+    return t.filings().join(table, "Form").select(F.col("ord").alias("FilingId"), "Form", "LookbackDays")
 
 
 LOOKBACK_SQL = f"""

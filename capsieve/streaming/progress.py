@@ -206,8 +206,11 @@ def _count_ticker(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
 def progress_changes(log_stream: DataFrame, ts: str = "ts", ordinal: str = "ord") -> DataFrame:
     """Stream of counter changes, to be summed per form by the sink.
 
-    State per ticker: last form and key, and the keys already counted. A compute
-    or outcome adds to ``parsed`` once per key.
+    State per ticker: last form and key, and the keys already counted, which grow
+    with the filings of that ticker only. The lines of a ticker in one micro-batch
+    are sorted together, so bound the batch at the source (``maxFilesPerTrigger``);
+    :func:`progress` is the form for a whole log. A compute or outcome adds to
+    ``parsed`` once per key.
     """
     lines = parse_log(log_stream).where("kind NOT IN ('eight_k', 'start')").select(
         "ticker", F.col(ts).cast("timestamp").alias("ts"), F.col(ordinal).alias("ord"), "kind", "form", "day", "ok")
