@@ -320,7 +320,7 @@ def filing_pages(t: Tables) -> DataFrame:
     first = F.when(F.col("k") % 3 == 1, "Interim condensed consolidated financial statements").otherwise("Press release")
     html = F.concat(
         lit("<table>"), row(lit("Annual report"), "main.htm", "20-F"), row(first, "ex99-1.htm", "EX-99.1"),
-        row(lit("Audited Financial Statements"), "/files/x_ex99-2.htm", "EX-99.2"), row(lit("Logo"), "ex99-3.jpg", "EX-99.3"), lit("</table>"))
+        F.replace(row(lit("Audited Financial Statements"), "/files/@/x_ex99-2.htm", "EX-99.2"), lit("@"), k), row(lit("Logo"), "ex99-3.jpg", "EX-99.3"), lit("</table>"))
     form = F.when(F.col("k") % 3 == 0, "40-F").when(F.col("k") % 3 == 1, "6-K").otherwise("20-F")
     return companies(t).withColumns({
         "url": F.concat(lit("https://www.sec.gov/Archives/edgar/data/"), k, lit("/acc"), k, lit("/main.htm")), "index_html": html, "form": form})
@@ -329,7 +329,7 @@ def filing_pages(t: Tables) -> DataFrame:
 EXHIBIT_SQL = """
 e AS (SELECT k, 1 AS seq, 'EX-99.1' AS doc_type, 'https://www.sec.gov/Archives/edgar/data/' || k || '/acc' || k || '/ex99-1.htm' AS link,
     CASE k % 3 WHEN 1 THEN 50 + 8 + 40 + 10 + 900 ELSE 58 END AS score FROM c
-  UNION ALL SELECT k, 2, 'EX-99.2', 'https://www.sec.gov/files/x_ex99-2.htm', CASE k % 3 WHEN 0 THEN 1090 WHEN 1 THEN 90 ELSE 890 END FROM c)
+  UNION ALL SELECT k, 2, 'EX-99.2', 'https://www.sec.gov/files/' || k || '/x_ex99-2.htm', CASE k % 3 WHEN 0 THEN 1090 WHEN 1 THEN 90 ELSE 890 END FROM c)
 """
 
 
@@ -361,7 +361,7 @@ def exhibit_follow(t: Tables) -> DataFrame:
     candidates = ranked_exhibits(t)
     pages = filing_pages(t).withColumn("html", statement_html())
     good = pages.select(F.regexp_replace("url", "main", "ex99-1").alias("exhibit_url"), "html")
-    bad = pages.select(F.lit("https://www.sec.gov/files/x_ex99-2.htm").alias("exhibit_url"), F.lit("<p>nothing</p>").alias("html")).distinct()
+    bad = pages.select(F.concat(F.lit("https://www.sec.gov/files/"), "k", F.lit("/x_ex99-2.htm")).alias("exhibit_url"), F.lit("<p>nothing</p>").alias("html"))
     best = rw.follow_exhibits(candidates, good.unionByName(bad), "url", F.col("form"))
     best = rw.exhibit_verdict(best.join(candidates.select("url", "k", "form").distinct(), "url"), F.col("form"))
     return best.select(F.col("k").alias("SupplierId"), F.col("exhibit_url").alias("Link"), F.col("cash").alias("Cash"), F.col("ocf").alias("OCF"),

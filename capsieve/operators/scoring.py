@@ -128,20 +128,26 @@ def insider_score(form: Column, ordinal: Column) -> Column:
     return F.coalesce(F.max_by(F.when(is_insider_form(form), value), F.when(is_insider_form(form), ordinal)), F.lit("TBD"))
 
 
-def scores_per_key(rows: DataFrame, keys: list[str], form: str, date: str, ordinal: str,
-                   text: str | None = None) -> DataFrame:
-    """Dilution, governance and insider scores and dates per key, in one map-side-combined aggregation."""
+def score_columns(form: str, date: str, ordinal: str, text: str | None = None) -> list[Column]:
+    """Aggregates: dilution, governance and insider scores with their dates, and the going-concern flag."""
     name, o, d = upper_key(form), F.col(ordinal), F.col(date)
     dilutive = starts_any(name, R.WEEKLY_DILUTION_FORMS)
     concern = F.lit(False) if text is None else F.coalesce(
         is_governance_form(name) & F.col(text).rlike("(?i)going concern"), F.lit(False))
-    return rows.groupBy(*keys).agg(
+    return [
         dilution_score(name).alias("DilutionScore"),
         F.max_by(F.when(dilutive, d), F.when(dilutive & d.isNotNull(), o)).alias("LastDilutionEventDate"),
         governance_score(name).alias("GovernanceScore"),
         F.when(F.bool_or(concern), "Y").otherwise("N").alias("GoingConcernFlag"),
         insider_score(name, o).alias("InsiderScore"),
-        F.max(F.when(is_insider_form(name), d)).alias("LastInsiderBuyDate"))
+        F.max(F.when(is_insider_form(name), d)).alias("LastInsiderBuyDate"),
+    ]
+
+
+def scores_per_key(rows: DataFrame, keys: list[str], form: str, date: str, ordinal: str,
+                   text: str | None = None) -> DataFrame:
+    """Scores per key in one map-side-combined aggregation."""
+    return rows.groupBy(*keys).agg(*score_columns(form, date, ordinal, text))
 
 
 def runway_filing(rows: DataFrame, keys: list[str], form: str, date: str, as_of: AsOf, ordinal: str,
@@ -159,22 +165,24 @@ def runway_filing(rows: DataFrame, keys: list[str], form: str, date: str, as_of:
 _KINDS = ("Runway", "Dilution", "Catalyst", "Governance", "Insider")
 
 
-def _evidence_cells(links: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct links per candidate and list as bounded cells, one row per (candidate, part).
+def _link_kinds(form: Column) -> dict[str, Column]:
+    return {"Dilution": starts_any(form, R.WEEKLY_DILUTION_FORMS), "Governance": is_governance_form(form), "Insider": is_insider_form(form)}
+
 
-    ``links`` has the keys, Kind, Link and Seq. Besides its own list a link also
-    goes to the list of primary or of secondary sources.
+def _evidence_cells(hits: DataFrame, keys: list[str], form: Column, link: str, ordinal: str) -> DataFrame:
+    """Distinct filing links per candidate as bounded cells, one row per (candidate, part).
+
+    Besides the three lists, ``__Rest`` holds the governance and insider links that
+    are no dilution links, in this order.
     """
-    order = reduce(lambda acc, i: F.when(F.col("Kind") == _KINDS[i], F.lit(i)).otherwise(acc), range(5), F.lit(5))
-    source = F.when(is_primary_source(F.col("Link")), "Primary").otherwise("Secondary")
-    rows = links.where(F.coalesce("Link", empty()) != "").select(
-        *keys, F.col("Link"), (order.cast("bigint") * F.lit(1 << 59) + F.col("Seq")).alias("Seq"),
-        F.explode(F.array("Kind", source)).alias("List"))
-    first = rows.groupBy(*keys, "List", "Link").agg(F.min("Seq").alias("Seq"))
-    cells = text_parts(first, [*keys, "List"], "Seq", "Link", "Cell", separator=";")
-    lists = [*_KINDS, "Primary", "Secondary"]
-    return cells.groupBy(*keys, "EvidencePart").agg(
-        *[F.max(F.when(F.col("List") == n, F.col("Cell"))).alias(f"__{n}") for n in lists])
+    seq = F.col(ordinal)
+    first = hits.where(F.coalesce(link, empty()) != "").groupBy(*keys, F.col(link).alias("Link")).agg(
+        *[F.min(F.when(cond, seq)).alias(kind) for kind, cond in _link_kinds(form).items()])
+    rest = F.when(F.col("Dilution").isNull(), F.coalesce("Governance", F.lit(1 << 60) + F.col("Insider")))
+    lists = [(kind, F.col(kind)) for kind in ("Dilution", "Governance", "Insider")] + [("Rest", rest)]
+    rows = first.select(*keys, "Link", F.inline(F.array(*[F.struct(F.lit(n).alias("List"), v.alias("Seq")) for n, v in lists])))
+    cells = text_parts(rows.where("Seq IS NOT NULL"), [*keys, "List"], "Seq", "Link", "Cell", separator=";")
+    return cells.groupBy(*keys, "EvidencePart").agg(*[F.max(F.when(F.col("List") == n, F.col("Cell"))).alias(f"__{n}") for n, _ in lists])
 
 
 def deep_research(shortlist: DataFrame, filings: DataFrame, events: DataFrame, as_of: AsOf, ordinal: str = "ord",
@@ -195,17 +203,23 @@ def deep_research(shortlist: DataFrame, filings: DataFrame, events: DataFrame, a
            if c in filings.columns]
     hits = or_key_join(cand, filings.select(*keys, *own), keys, "f_")
     form, seq = upper_key("f_Form"), f"f_{ordinal}"
-    scores = scores_per_key(hits, keys, "f_Form", "f_FiledAt", seq, "f_FilingText" if "FilingText" in own else None)
-
-    picked = runway_filing(hits, keys, "f_Form", "f_FiledAt", as_of, seq,
-                           "f_Age" if "Age" in own else None, "f_RunwayQuarters")
+    # one pass over the filings: scores, the filing that speaks for the runway, and proven subscores
+    quarters = F.col("f_RunwayQuarters").cast("double")
+    age = F.coalesce(*([F.col("f_Age")] if "Age" in own else []), age_days(as_of, "f_FiledAt"), F.lit(1_000_000))
     source = first_nonblank(*[F.col(f"f_{c}") for c in ("RunwaySourceURL", "URL") if c in own])
-    runway = picked.select(*keys, F.col("f_RunwayQuarters").cast("double").alias("__q"), source.alias("__runway_url"))
+    young = F.struct(quarters.isNull().alias("none"), age.alias("age"), F.col(seq).alias("seq"))
+    proof = is_primary_source(F.coalesce("f_URL", empty()))
+    per_company = hits.groupBy(*keys).agg(
+        *score_columns("f_Form", "f_FiledAt", seq, "f_FilingText" if "FilingText" in own else None),
+        F.min_by(F.struct(quarters.alias("q"), source.alias("url")), F.when(starts_any(form, R.RUNWAY_FORMS), young)).alias("__run"),
+        *[F.bool_or(cond & proof).alias(f"__has_{kind}") for kind, cond in _link_kinds(form).items()])
+    per_company = per_company.withColumns({
+        "RunwayQuarters": F.col("__run.q"), "__runway_url": F.coalesce("__run.url", empty())}).drop("__run")
     if documents is not None:
         read = documents.select(F.col("URL").alias("__runway_url"), text_runway("Text").alias("__from_text"))
         read = read.where("__from_text IS NOT NULL").groupBy("__runway_url").agg(F.max("__from_text").alias("__from_text"))
-        runway = runway.join(read, "__runway_url", "left").withColumn("__q", F.coalesce("__q", "__from_text"))
-    runway = runway.select(*keys, F.col("__q").alias("RunwayQuarters"), "__runway_url")
+        per_company = per_company.join(read, "__runway_url", "left").withColumn(
+            "RunwayQuarters", F.coalesce("RunwayQuarters", "__from_text")).drop("__from_text")
 
     dates = [c for c in ("EventDate", "event_date", "FilingDate") if c in events.columns]
     hit_events = or_key_join(cand, events, keys, "e_").withColumnsRenamed(
@@ -220,25 +234,17 @@ def deep_research(shortlist: DataFrame, filings: DataFrame, events: DataFrame, a
     catalyst = best.select(*keys, "CatalystScore", first_text(dates).alias("PrimaryCatalystDate"),
                            first_text(kinds).alias("PrimaryCatalystType"), first_text(urls).alias("PrimaryCatalystURL"))
 
-    flags = F.array_compact(F.array(
-        F.when(starts_any(form, R.WEEKLY_DILUTION_FORMS), "Dilution"),
-        F.when(is_governance_form(form), "Governance"), F.when(is_insider_form(form), "Insider")))
-    links = hits.select(*keys, F.explode(flags).alias("Kind"), F.col("f_URL").alias("Link"), F.col(seq).alias("Seq"))
-    links = links.unionByName(runway.select(
-        *keys, F.lit("Runway").alias("Kind"), F.col("__runway_url").alias("Link"), F.lit(0).cast("bigint").alias("Seq")))
-    links = links.unionByName(catalyst.select(
-        *keys, F.lit("Catalyst").alias("Kind"), F.col("PrimaryCatalystURL").alias("Link"),
-        F.lit(0).cast("bigint").alias("Seq")))
-    primary = is_primary_source(F.coalesce("Link", empty()))
-    proven = links.groupBy(*keys).agg(
-        *[F.bool_or((F.col("Kind") == k) & primary).alias(f"__has_{k}") for k in _KINDS])
-    cells = _evidence_cells(links, keys)
+    cells = _evidence_cells(hits, keys, form, "f_URL", seq)
 
     # the shortlist's own catalyst is the latest one; research scores the earliest Tier-1 event instead
     out = shortlist.drop("PrimaryCatalystDate", "PrimaryCatalystType", "PrimaryCatalystURL")
-    for part in (scores, runway, catalyst, proven, cells):
+    for part in (per_company, catalyst, cells):
         out = out.join(part, keys, "left")
-    out = out.withColumns({f"__has_{k}": F.coalesce(f"__has_{k}", F.lit(False)) for k in _KINDS})
+    out = out.withColumns({
+        "__runway_url": F.coalesce("__runway_url", empty()), "__catalyst_url": F.coalesce("PrimaryCatalystURL", empty())})
+    out = out.withColumns({
+        "__has_Runway": is_primary_source(F.col("__runway_url")), "__has_Catalyst": is_primary_source(F.col("__catalyst_url")),
+        **{f"__has_{k}": F.coalesce(f"__has_{k}", F.lit(False)) for k in ("Dilution", "Governance", "Insider")}})
     out = out.withColumns({
         "EvidencePart": F.coalesce("EvidencePart", F.lit(0)),
         **{c: F.coalesce(c, F.lit("TBD")) for c in ("DilutionScore", "GovernanceScore", "InsiderScore")},
@@ -275,6 +281,20 @@ def deep_research(shortlist: DataFrame, filings: DataFrame, events: DataFrame, a
     def cell(name: str) -> Column:
         return F.coalesce(f"__{name}", empty())
 
+    def listed(name: str, *known: str) -> Column:
+        """Links of a cell without the ones already named."""
+        return F.filter(F.split(cell(name), ";"), lambda x: (x != "") & ~x.isin(*[F.col(c) for c in known]))
+
+    start = F.col("EvidencePart") == 0
+    later_dilution = F.when(start, listed("Dilution", "__runway_url")).otherwise(listed("Dilution", "__runway_url", "__catalyst_url"))
+    single = {c: F.when(start, F.array(F.col(c))).otherwise(F.array().cast("array<string>")) for c in ("__runway_url", "__catalyst_url")}
+    every = F.array_distinct(F.concat(
+        single["__runway_url"], later_dilution, single["__catalyst_url"], listed("Rest", "__runway_url", "__catalyst_url")))
+    out = out.withColumn("__links", F.filter(every, lambda x: x != ""))
+    out = out.withColumns({
+        "__Primary": F.array_join(F.filter("__links", is_primary_source), ";"),
+        "__Secondary": F.array_join(F.filter("__links", lambda x: ~is_primary_source(x)), ";")})
+
     return out.select(
         "Ticker", "EvidencePart", "Company", "CIK", given("Sector").alias("Sector"), given("Industry").alias("Industry"),
         price.alias("Price"), given("MarketCap").cast("double").alias("MarketCap"),
@@ -283,8 +303,8 @@ def deep_research(shortlist: DataFrame, filings: DataFrame, events: DataFrame, a
         "DilutionScore", F.col("DilutionScore").alias("Dilution"), "CatalystScore", "Catalyst",
         "GovernanceScore", F.col("GovernanceScore").alias("Governance"), "InsiderScore",
         F.col("InsiderScore").alias("Insider"),
-        cell("Runway").alias("RunwayEvidencePrimary"), cell("Dilution").alias("DilutionEvidencePrimary"),
-        cell("Catalyst").alias("CatalystEvidencePrimary"), cell("Governance").alias("GovernanceEvidencePrimary"),
+        F.col("__runway_url").alias("RunwayEvidencePrimary"), cell("Dilution").alias("DilutionEvidencePrimary"),
+        F.col("__catalyst_url").alias("CatalystEvidencePrimary"), cell("Governance").alias("GovernanceEvidencePrimary"),
         cell("Insider").alias("InsiderEvidencePrimary"),
         cell("Primary").alias("Evidence (Primary links)"), cell("Secondary").alias("Evidence (Secondary links)"),
         cell("Primary").alias("EvidencePrimary"), cell("Secondary").alias("EvidenceSecondary"),
