@@ -438,7 +438,7 @@ def research_bundle(hydrated: DataFrame) -> DataFrame:
         F.array_join("__d.forms", "; ").alias("DilutionForms"), F.array_join("__d.links", "; ").alias("DilutionLinks"),
         F.col("__d.notes").alias("DilutionNotes"),
         *[empty().alias(c) for c in ("RunwayCash", "RunwayQuarterlyBurn", "RunwayQuarters")],
-        F.lit("TODO: parse 10-Q/10-K to compute runway").alias("RunwayNotes"),
+        F.lit("TODO: parse 10-Q/10-K to compute runway").alias("RunwayNotes"),  # fixed value: the next step fills it
         text("LatestForm").alias("LatestForm"), text("FiledAt").alias("FiledAt"), text("FilingURL").alias("FilingURL"),
         text("FilingsSummary").alias("FilingsSummary"), F.array_join(filing_urls, "; ").alias("FilingURLsAll"),
         fda.alias("FDA_EventType"), text("FDA_Date").alias("FDA_Date"), text("FDA_URL").alias("FDA_URL"),

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from capsieve.operators.filings import coverage, fill_company, fill_ticker, keep_eligible, purge, with_age
 from capsieve.operators.keyed import new_rows
 from capsieve.rules import RULES, Rules
+from capsieve.session import work_dir
 from capsieve.sources.tables import swap, table_exists
 
 KEYS = ("CIK", "URL")
@@ -35,9 +36,14 @@ def store_batch(batch: DataFrame, batch_id: int, target: str, rules: Rules, as_o
     fresh.write.mode("overwrite").parquet(os.path.join(target, f"batch={batch_id}"))
 
 
-def ingest(stream: DataFrame, target: str, checkpoint: str, as_of: dt.date | str, rules: Rules = RULES,
+def ingest(stream: DataFrame, target: str, checkpoint: str | None, as_of: dt.date | str, rules: Rules = RULES,
            dedupe: bool = False, once: bool = True) -> StreamingQuery:
-    """Start the append of a filings stream; ``once`` drains what is there and stops."""
+    """Start the append of a filings stream; ``once`` drains what is there and stops.
+
+    Without a ``checkpoint`` the offsets go to the shared work folder of the session.
+    """
+    if checkpoint is None:
+        checkpoint = os.path.join(work_dir(stream.sparkSession), "ingest", os.path.basename(target.rstrip("/")))
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
         lambda batch, batch_id: store_batch(batch, batch_id, target, rules, as_of, dedupe=dedupe))
     return (writer.trigger(availableNow=True) if once else writer).start()
