@@ -37,10 +37,10 @@ def work_dir(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables and stream checkpoints.
 
     ``spark.checkpoint.dir`` names it on a cluster. Where that is unset (tests,
-    a laptop) a fresh local folder is used and recorded in the session.
+    a laptop) a fresh local folder becomes the checkpoint folder of the session.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="spark-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", folder)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir=os.environ.get("TMPDIR", "/tmp")))
+        folder = spark.sparkContext.getCheckpointDir()
     return folder

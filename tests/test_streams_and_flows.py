@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from capsieve.plans import flows
 from capsieve.rules import Rules
+from capsieve.session import work_dir
 from capsieve.sources import tables
 from capsieve.streaming import call_rate, ingest, progress
 
@@ -175,6 +176,11 @@ def test_tables(spark):
     assert tables.newest(spark, folder, "01_profiles", "absent").count() == 0
 
 
+def test_work_dir_is_stable(spark):
+    folder = work_dir(spark)
+    assert folder and work_dir(spark) == folder
+
+
 def test_text_files(spark):
     folder = tempfile.mkdtemp(prefix="spark-")
     with open(os.path.join(folder, "a.htm"), "wb") as handle:
