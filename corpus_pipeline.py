@@ -20,7 +20,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on the labels of the folder, does not reject."""
-    trees = quality.train(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    trees = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.with_scores(docs, trees).where("predicted = 1").select("row.*")
 
 
