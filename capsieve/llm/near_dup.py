@@ -183,12 +183,14 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80) -> DataF
 
     # classes of equal sets; only those of several documents need to be looked up
     several = known.groupBy("n", "h1", "h2").agg(F.min("id").alias("rep"), F.max("id").alias("other")).where("rep != other").drop("other")
+    several = written(several, "classes")  # here and below: a join with a written table can split skewed keys
     members = written(known.join(several, ["n", "h1", "h2"], "left").select("id", F.coalesce("rep", "id").alias("rep"), "n", "bands", "signature"), "members")
     reps = members.where("id = rep")
 
     # buckets with several classes, each member beside the smallest
     banded = reps.select("id", F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("other")).where("hub != other").drop("other")
+    buckets = written(buckets, "buckets")
     placed = written(banded.join(buckets, "key"), "placed")
     stars = placed.where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     wanted = placed.select("id").distinct()
@@ -205,9 +207,10 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80) -> DataF
 
     # what is left: members of one bucket in different components
     labelled = (placed.join(label, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")))
+    labelled = written(labelled, "labelled")
     mixed = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size")).where("x != y")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    sides = (labelled.join(mixed.select("key", blocks.alias("blocks")), "key")
+    mixed = written(mixed.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "mixed")
+    sides = (labelled.join(mixed, "key")
              .join(reps.select("id", "n", "signature").distinct(), "id")
              .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

@@ -211,7 +211,8 @@ def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("id"), F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"), "text")
     named = docs.where("id IS NOT NULL")
     anchors = named.select("id", "text").mapInArrow(_anchors, "anchor long, id long, at int")
-    several = anchors.groupBy("anchor").count().where("count > 1").select("anchor")
+    # written, so that the joins below have two plain sides and skewed anchors are split
+    several = written(anchors.groupBy("anchor").count().where("count > 1").select("anchor"), "anchors")
     marks = anchors.join(several, "anchor").groupBy("id").agg(F.array_sort(F.collect_set("at")).alias("marks"))
 
     schema = T.StructType([docs.schema["id"], docs.schema["row"], T.StructField("z", T.BinaryType())])
@@ -221,10 +222,11 @@ def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     first = F.min(F.struct("id", "s1"))
     factors = written(touched.mapInArrow(_contexts, "anchor long, block long, id long, s1 int")
                       .groupBy("anchor", "block").agg(first.alias("f")).select("anchor", "f.*"), "factors")
-    differing = factors.groupBy("anchor").count().where("count > 1").select("anchor")
+    differing = written(factors.groupBy("anchor").count().where("count > 1").select("anchor"), "anchors")
     edges = factors.join(differing, "anchor").groupBy("id").agg(F.collect_set("s1").alias("edges"))
     windows = written(touched.join(edges, "id").mapInArrow(_windows, "anchor long, window long, id long, s int"), "windows")
     earliest = windows.groupBy("anchor", "window").agg(F.min(F.struct("id", "s")).alias("f"), F.max(F.struct("id", "s")).alias("l")).where("f != l").drop("l")
+    earliest = written(earliest, "earliest")
     late = windows.join(earliest, ["anchor", "window"]).where("struct(id, s) > f").groupBy("id").agg(F.collect_set("s").alias("late"))
     firsts = factors.groupBy("id").agg(F.collect_set("s1").alias("firsts"))
 

@@ -195,6 +195,7 @@ def write_archives(pages: DataFrame) -> list[tuple[str, str]]:
     rows = pages.select(page.alias("page_id"), F.col("url"), html.alias("html"), F.sha2(html, 256).alias("digest"), capture_key(F.col("url"), page).alias("key"))
     digests = written(rows.select("page_id", "digest", F.octet_length("html").alias("size")).where(F.col("size") >= LEAST_PAYLOAD), "digests")
     several = digests.groupBy("digest").agg(F.min("page_id").alias("first"), F.max("page_id").alias("last")).where("first != last").drop("last")
+    several = written(several, "several")
     revisits = written(digests.join(several, "digest").where("page_id != first").select("page_id", "digest", "first").distinct(), "revisits")
     schema = "key string, file string, offset long, length long"
     captures = written(rows.join(revisits, ["page_id", "digest"], "left").select("page_id", "url", "html", "digest", "first", "key")
