@@ -7,7 +7,8 @@ there, the others are confirmed on the full sets.
 
 Equal sets are first collapsed into classes. Buckets are never expanded into all pairs: members are compared with the
 smallest member of their bucket (a star), and after the components of those links are known, only members of one bucket
-that are still in different components are compared, in blocks of bounded size. A pair at similarity s shares a band
+that are still in different components are compared, in blocks of bounded size that return a spanning forest of the links
+found in them. A pair at similarity s shares a band
 with probability 1 - (1 - s^4)^32, which at 0.8 is 1 - 5e-8; the estimate's margin is five standard deviations.
 
 Defined results: null or empty text and text without words is an empty set, linked with nothing; rows without doc_id are
@@ -33,7 +34,7 @@ from capsieve.llm.store import written
 HASHES, BAND_ROWS, BITS = 128, 4, 4
 BANDS = HASHES // BAND_ROWS
 MARGIN = 0.18  # five standard deviations of the estimate at 0.8
-BLOCK = 1024  # members of a bucket that one task compares with as many others
+BLOCK = 512  # members of a bucket that one task compares with as many others
 _MULTIPLIERS = W.mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)) | np.uint64(1)
 _LOW_OF_EACH = np.uint64(0x1111111111111111)
 
@@ -132,35 +133,92 @@ def _confirm(k: int, percent: int):
     return run
 
 
-def _between_components(percent: int):
-    """Members of buckets, sorted by (key, bi, bj) -> likely pairs of different components, once for each block pair."""
-    def of_group(g: dict[str, np.ndarray], lo: int, hi: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each set on the left with each on the right, by products of 0/1 matrices over shared values."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    shared = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)), assume_unique=True)
+    for at in range(0, len(shared), 4096):
+        values = shared[at : at + 4096]
+        sides = []
+        for sets in (left, right):
+            flat, sizes = np.concatenate(sets), [len(s) for s in sets]
+            column = np.minimum(np.searchsorted(values, flat), len(values) - 1)
+            hit = values[column] == flat
+            side = np.zeros((len(sets), len(values)), np.float32)
+            side[np.repeat(np.arange(len(sets)), sizes)[hit], column[hit]] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Links of a spanning forest of a symmetric link matrix: at most one for each node, whatever the number of links."""
+    todo, out = np.ones(len(linked), bool), []
+    for root in range(len(linked)):
+        if not todo[root]:
+            continue
+        todo[root] = False
+        waiting = [root]
+        while waiting:
+            node = waiting.pop()
+            new = np.flatnonzero(linked[node] & todo)
+            todo[new] = False
+            out += [(node, int(i)) for i in new]
+            waiting += new.tolist()
+    return out
+
+
+def _between_components(k: int, percent: int):
+    """Members of buckets, sorted by (key, bi, bj) -> links between different components, confirmed on the full sets.
+
+    Within a block pair, likely pairs are found with the signatures and counted on the full sets; of the links found, a
+    spanning forest is returned, so that the rows grow with the members and not with the pairs.
+    """
+    def of_group(g: dict[str, np.ndarray], lo: int, hi: int) -> list[tuple[int, int]]:
         bi, bj = g["bi"][lo], g["bj"][lo]
         block, rows = g["block"][lo:hi], np.arange(lo, hi)
         left, right = rows[block == bi], rows[block == bj]
-        for at in range(0, len(left), 256):
-            x = left[at : at + 256, None]
-            y = right[None, :]
+        if not len(left) or not len(right):
+            return []
+        likely = np.zeros((len(left), len(right)), bool)
+        for at in range(0, len(left), 128):
+            x, y = left[at : at + 128, None], right[None, :]
             ok = g["component"][x] != g["component"][y]
-            if bi == bj:
-                ok &= g["id"][x] < g["id"][y]
             nx, ny = g["n"][x], g["n"][y]
             ok &= 100 * np.minimum(nx, ny) >= percent * np.maximum(nx, ny)
             i, j = np.nonzero(ok)
-            i, j = x[i, 0], right[j]
-            good = estimate(g["signature"][i], g["signature"][j]) >= percent / 100 - MARGIN
-            yield g["id"][i[good]], g["id"][j[good]]
+            good = estimate(g["signature"][x[i, 0]], g["signature"][right[j]]) >= percent / 100 - MARGIN
+            likely[at + i[good], j[good]] = True
+        i, j = np.flatnonzero(likely.any(axis=1)), np.flatnonzero(likely.any(axis=0))
+        if not len(i):
+            return []
+        open_ = zstandard.ZstdDecompressor()
+        members = np.unique(np.concatenate([left[i], right[j]]))
+        texts = [open_.decompress(g["z"][m]) for m in members]
+        offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+        value, bounds = W.shingles(W.find(np.frombuffer(b"".join(texts), np.uint8), offsets), k)
+        sets = [value[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        place_i, place_j = np.searchsorted(members, left[i]), np.searchsorted(members, right[j])
+        both = _common([sets[m] for m in place_i], [sets[m] for m in place_j])
+        sizes = np.diff(bounds)
+        linked = likely[np.ix_(i, j)] & (100 * both >= percent * (sizes[place_i][:, None] + sizes[place_j][None, :] - both))
+        matrix = np.zeros((len(members), len(members)), bool)
+        matrix[np.ix_(place_i, place_j)] = linked
+        ids = g["id"][members]
+        return [(ids[a], ids[b]) for a, b in _forest(matrix | matrix.T)]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest: pd.DataFrame | None = None
+
         def pairs(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
-            g = {c: frame[c].to_numpy() for c in ("key", "bi", "bj", "block", "id", "component", "n")}
+            g = {c: frame[c].to_numpy() for c in ("key", "bi", "bj", "block", "id", "component", "n", "z")}
             g["signature"] = np.frombuffer(b"".join(frame["signature"]), np.uint64).reshape(-1, HASHES // 16)
             new = np.flatnonzero((g["key"][1:] != g["key"][:-1]) | (g["bi"][1:] != g["bi"][:-1]) | (g["bj"][1:] != g["bj"][:-1])) + 1
-            out = [p for lo, hi in zip([0, *new], [*new, len(frame)], strict=True) for p in of_group(g, lo, hi) if len(p[0])]
+            out = [p for lo, hi in zip([0, *new], [*new, len(frame)], strict=True) for p in of_group(g, lo, hi)]
             if out:
-                a, b = (np.concatenate(x) for x in zip(*out, strict=True))
+                a, b = np.array(out, np.int64).T
                 yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+
         for frame in frames:
             frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
             if not len(frame):
@@ -211,13 +269,12 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80) -> DataF
     mixed = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size")).where("x != y")
     mixed = written(mixed.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "mixed")
     sides = (labelled.join(mixed, "key")
-             .join(reps.select("id", "n", "signature").distinct(), "id")
+             .join(texts, "id")
              .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("key", "id", "component", "n", "signature", "block", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj")))
-    more = (sides.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
-            .mapInPandas(_between_components(percent), "a long, b long").distinct())
-    second = written(confirmed(more), "links")
+             .select("key", "id", "component", "n", "signature", "z", "block", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj")))
+    second = written(sides.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
+                     .mapInPandas(_between_components(words, percent), "a long, b long").distinct(), "links")
     if not second.isEmpty():
         label = components(first.unionByName(second))
 
