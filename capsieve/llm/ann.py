@@ -2,7 +2,7 @@
 
 The tree is grown on at most `sample` vectors, those with the smallest hash of their id, on the driver; every vector is
 indexed, by descending to a leaf. A query visits leaves best first: a priority queue holds tree nodes by the closeness of
-their centre. How many leaves it visits is calibrated: the number is doubled until queries from the sample, whose true
+their centre. How many leaves it visits is calibrated: the number is widened by a quarter until queries from the sample, whose true
 neighbours in the sample are known, reach the target recall.
 
 Leaves are compared with their queries in blocks: a leaf of many vectors, or with many queries, is split into blocks of
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from capsieve.llm.store import written
 
-SAMPLE, BRANCHES, LEAF, RECALL, CALIBRATION = 20_000, 12, 48, 0.98, 300
+SAMPLE, BRANCHES, LEAF, RECALL, CALIBRATION = 20_000, 12, 48, 0.95, 400
 VECTOR_BLOCK, QUERY_BLOCK = 4096, 512
 
 
@@ -104,7 +104,7 @@ def grow(unit: np.ndarray) -> Tree:
 
 
 def calibrated(tree: Tree, unit: np.ndarray, k: int, target: float) -> int:
-    """Leaf visits, doubled until queries from the sample find `target` of their k nearest in the sample."""
+    """Leaf visits, widened by a quarter until queries from the sample find `target` of their k nearest in the sample."""
     if len(unit) < 2:
         return tree.leaves
     queries = np.unique(np.linspace(0, len(unit) - 1, CALIBRATION).astype(int))
@@ -119,7 +119,7 @@ def calibrated(tree: Tree, unit: np.ndarray, k: int, target: float) -> int:
         found = sum(min(k, int((near[i][np.isin(of, order[i][:visits])] >= least[i]).sum())) for i in range(len(queries)))
         if found >= target * k * len(queries):
             break
-        visits *= 2
+        visits += max(1, visits // 4)
     return min(visits, tree.leaves)
 
 
@@ -140,37 +140,28 @@ def _usable(frames: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[np.nd
         yield part.column("vec_id").to_numpy()[fine], x[fine]
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k largest scores, ties to the smaller id, each id once."""
-    order = np.lexsort((ids, -scores))
-    _, first = np.unique(ids[order], return_index=True)
-    return order[np.sort(first)[:k]]
-
-
 def _compared(k: int):
+    """A block of vectors and a block of queries -> the k best of each query, ties to the smaller id."""
     def run(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
+        vectors, queries = (f.sort_values(["vec_id", "x"]).drop_duplicates("vec_id") for f in (vectors, queries))
         if not len(vectors) or not len(queries):
-            return none
-        queries = queries.drop_duplicates("vec_id")
+            return pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
         x, q = (np.frombuffer(b"".join(f["x"]), np.float64).reshape(len(f), -1) for f in (vectors, queries))
         ids, query_ids = vectors["vec_id"].to_numpy(), queries["vec_id"].to_numpy()
-        length = np.sqrt(np.einsum("ij,ij->i", x, x))
-        query_length = np.sqrt(np.einsum("ij,ij->i", q, q))
+        length, query_length = (np.sqrt(np.einsum("ij,ij->i", m, m)) for m in (x, q))
         near = (q / query_length[:, None]) @ (x / length[:, None]).T
-        out = []
-        for i, own in enumerate(query_ids):
-            other = np.flatnonzero(ids != own)
-            if not len(other):
-                continue
-            row = near[i, other]
-            # what the fast product puts within rounding of the k-th, computed again in one fixed order
-            kth = np.partition(row, -k)[-k] if len(np.unique(ids[other])) == len(other) > k else -np.inf
-            some = other[row >= kth - 1e-9]
-            scores = np.einsum("ij,ij->i", x[some], np.broadcast_to(q[i], x[some].shape).copy()) / (length[some] * query_length[i])
-            best = _best(scores, ids[some], k)
-            out.append(pd.DataFrame({"query_id": own, "vec_id": ids[some][best], "score": scores[best]}))
-        return pd.concat(out) if out else none
+        near[query_ids[:, None] == ids[None, :]] = -np.inf
+        # what the fast product puts within rounding of the k-th is computed again in one fixed order
+        kth = np.partition(near, -k, axis=1)[:, -k] if len(ids) >= k else np.full(len(q), -np.inf)
+        i, j = np.nonzero((near >= kth[:, None] - 1e-9) & np.isfinite(near))
+        scores = np.empty(len(i))
+        for at in range(0, len(i), 20_000):
+            a, b = i[at : at + 20_000], j[at : at + 20_000]
+            scores[at : at + 20_000] = np.einsum("ij,ij->i", q[a], x[b]) / (query_length[a] * length[b])
+        order = np.lexsort((ids[j], -scores, i))
+        i, j, scores = i[order], j[order], scores[order]
+        best = np.arange(len(i)) - np.searchsorted(i, i) < k
+        return pd.DataFrame({"query_id": query_ids[i[best]], "vec_id": ids[j[best]], "score": scores[best]})
     return run
 
 
