@@ -28,7 +28,7 @@ from capsieve.llm import words as W
 
 FAR = np.int32(2**31 - 1)
 SHORT = 64
-CACHED_WORDS = 1_500_000
+CACHED_WORDS = 500_000
 VOCABULARY = "word_bpe_49k.json"
 
 
@@ -284,7 +284,7 @@ def _digests(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
         for batch in batches:
-            for lo, hi, found in W.chunks(batch.column("text")):
+            for lo, hi, found in W.chunks(batch.column("text"), 1 << 20):
                 ids, bounds = coder.encode(found)
                 digests = [pa.array([hashlib.sha256(t).hexdigest() for t in texts]) for texts in (coder.decimal(ids, bounds), coder.decode(ids, bounds))]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array(np.diff(bounds)), *digests],
@@ -296,7 +296,7 @@ def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
         for batch in batches:
-            for lo, hi, found in W.chunks(batch.column("text")):
+            for lo, hi, found in W.chunks(batch.column("text"), 1 << 20):
                 ids, bounds = coder.encode(found)
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32())),

@@ -33,7 +33,7 @@ def _pieces(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
         for batch in batches:
-            for lo, hi, found in W.chunks(batch.column("text")):
+            for lo, hi, found in W.chunks(batch.column("text"), 1 << 20):
                 ids, bounds = coder.encode(found)
                 flat = np.insert(ids, bounds[1:], END).astype("<u4")
                 bounds = bounds + np.arange(len(bounds))
