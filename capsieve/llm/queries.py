@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from capsieve.llm import ann, bpe, fingerprints, licenses, near_dup, packing, pii, quality, substring_dedup, warc
+from capsieve.llm.store import text_batches
 
 VOCABULARY = public_tokenizers.path(bpe.VOCABULARY)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    text_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

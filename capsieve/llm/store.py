@@ -28,3 +28,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Arrow batches of 1000 rows where the session has the default of 10000: rows hold whole texts, and JVM and worker hold copies of a batch."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, "1000")
