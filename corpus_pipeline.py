@@ -13,25 +13,28 @@ from pyspark.sql import functions as F
 
 from capsieve.llm import near_dup, packing, pii, quality, substring_dedup
 from capsieve.llm.queries import VOCABULARY
-from capsieve.llm.store import written
+from capsieve.llm.store import text_batches, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on the labels of the folder, does not reject."""
+    text_batches(spark)
     trees = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.with_scores(docs, trees).where("predicted = 1").select("row.*")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each near-duplicate group (five-word shingles, similarity 0.8)."""
+    text_batches(spark)
     lost = near_dup.near_duplicates(docs, words=5).where("NOT kept").select(F.col("doc_id").alias("_lost")).distinct()
     return docs.join(lost, F.col("doc_id") == F.col("_lost"), "left_anti")
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages of 20 words or more that stand earlier."""
+    text_batches(spark)
     found = substring_dedup.remove_repeats(docs)
     return found.select(*[F.col("kept_text").alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])
 
@@ -43,6 +46,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of 2048 tokens: the pieces of the documents and their places."""
+    text_batches(spark)
     return packing.pack(docs, VOCABULARY)
 
 
