@@ -30,11 +30,11 @@ def quote(word: str) -> str:
 
 def contains_any(text: Column, words: Sequence[str]) -> Column:
     """Does the text contain one of the words? One pattern, however many words there are."""
-    return text.rlike("|".join(quote(w) for w in words))
+    return text.rlike("|".join(quote(w) for w in words)) if words else F.lit(False)
 
 
 def starts_any(text: Column, prefixes: Sequence[str]) -> Column:
-    return text.rlike("^(?:" + "|".join(quote(p) for p in prefixes) + ")")
+    return text.rlike("^(?:" + "|".join(quote(p) for p in prefixes) + ")") if prefixes else F.lit(False)
 
 
 def string_array(values: Sequence[str]) -> Column:

@@ -76,3 +76,9 @@ def test_dates(spark):
 def test_column_resolver():
     assert text.resolve_column(["cik", "Market_Cap"], ["MarketCap"]) == "Market_Cap"
     assert text.resolve_column(["cik"], ["Price"]) is None
+
+
+def test_empty_lists_match_nothing(spark):
+    from capsieve.functions import text
+    row = spark.range(1).select(text.contains_any(F.lit("x"), ()).alias("a"), text.starts_any(F.lit("x"), ()).alias("b")).first()
+    assert (row.a, row.b) == (False, False)
