@@ -273,16 +273,16 @@ FROM (SELECT *, lpad(CAST(ord AS VARCHAR), 18, '0') AS a FROM v_filings) q
 def sec_url_and_accession(t: Tables) -> DataFrame:
     k, url = F.col("ord") % 3, F.col("URL")
     written = (F.when(k == 0, F.regexp_replace(url, "^https://www", "http://")).when(k == 1, F.concat(
-        F.lit("https://www.sec.gov/ix?doc="), F.substring(url, 20, 1000)))
+        F.lit("https://www.sec.gov/ix?doc="), F.substr(url, F.lit(20))))
         .otherwise(F.concat(F.lit("https://sec.gov/Archives/edgar/data/x/"), "ord", F.lit("-index.htm"))))
     written = F.when(k == 0, F.regexp_replace(url, "^https://www\\.", "http://")).otherwise(written)
     rows = t.filings().withColumns({"ids": urls.filing_ids("URL")})
-    viewer = F.concat(F.lit("https://www.sec.gov/ix?doc="), F.substring("URL", 20, 1000))
+    viewer = F.concat(F.lit("https://www.sec.gov/ix?doc="), F.substr("URL", F.lit(20)))
     return rows.select(
         F.col("ord").alias("FilingId"), urls.sec_url(written).alias("SecUrl"), F.col("ids.cik").alias("Cik"),
         F.col("ids.accession").alias("Accession"), urls.accession_token("URL").alias("Folder"),
         urls.viewer_document(viewer).alias("Document"),
-        F.regexp_replace(urls.with_scheme(F.substring("URL", 9, 1000)), "^https://", "").alias("Bare"))
+        F.regexp_replace(urls.with_scheme(F.substr("URL", F.lit(9))), "^https://", "").alias("Bare"))
 
 
 @query("page_links", sql=r"""

@@ -12,6 +12,7 @@ from capsieve.catalog.universe import ADV_SQL, LOOKBACK_SQL
 from capsieve.operators import events as evt
 from capsieve.operators import scoring, watchlist
 from capsieve.plans.standins import EVENTS_AS_OF, FILINGS_AS_OF, Tables
+from capsieve.session import stored_once
 
 # ---------------------------------------------------------------- decision tables
 
@@ -146,9 +147,10 @@ dr AS (SELECT *, CASE WHEN NOT must THEN 'FAIL - mandatory subscore missing' WHE
 RESEARCH_VIEWS = (*CAND_VIEWS, "v_filings")
 
 
-def research(t: Tables) -> DataFrame:
+def research(t: Tables, picked: DataFrame | None = None) -> DataFrame:
     f = t.filings().withColumn("RunwayQuarters", F.when(F.col("ord") % 3 != 0, (F.col("ord") % 40) / F.lit(4.0)))
-    return scoring.deep_research(shortlist(t), f, weekly_events(t), FILINGS_AS_OF, "ord")
+    picked = stored_once(shortlist(t), "shortlist") if picked is None else picked
+    return scoring.deep_research(picked, f, weekly_events(t), FILINGS_AS_OF, "ord")
 
 
 @query("deep_research", *RESEARCH_VIEWS, sql=RESEARCH_SQL + """
@@ -181,7 +183,8 @@ vr AS (SELECT *, concat_ws('; ', CASE WHEN NOT ok1 THEN 'Mandatory subscore miss
 
 
 def selections(t: Tables) -> DataFrame:
-    return scoring.validate(scoring.complete_research(research(t), t.profiles().select("Ticker", "CIK", "Sector", "Country"), shortlist(t)))
+    picked = stored_once(shortlist(t), "shortlist")
+    return scoring.validate(scoring.complete_research(research(t, picked), t.profiles().select("Ticker", "CIK", "Sector", "Country"), picked))
 
 
 @query("validated_selections", *RESEARCH_VIEWS, sql=SPLIT_SQL + """

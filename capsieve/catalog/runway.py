@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from capsieve.catalog.base import query
@@ -345,8 +345,7 @@ WITH c AS ({COMPANY}), {EXHIBIT_SQL}
 SELECT k AS SupplierId, doc_type AS DocType, link AS Link, CAST(score AS INTEGER) AS Score, row_number() OVER (PARTITION BY k ORDER BY score DESC, doc_type DESC) AS Place FROM e
 """.replace("AS Place", "AS BigPlace").replace("row_number() OVER", "CAST(row_number() OVER").replace("doc_type DESC) AS BigPlace", "doc_type DESC) AS INTEGER) AS Place"))
 def exhibit_rank(t: Tables) -> DataFrame:
-    from capsieve.operators.keyed import top_rows
-    ranked = top_rows(ranked_exhibits(t), ["url"], rw.exhibit_rank_order(), 10, rank="Place")
+    ranked = ranked_exhibits(t).withColumn("Place", F.row_number().over(Window.partitionBy("url").orderBy(*rw.exhibit_rank_order())))
     return ranked.select(F.col("k").alias("SupplierId"), F.col("doc_type").alias("DocType"), F.col("exhibit_url").alias("Link"),
                          F.col("score").alias("Score"), "Place")
 

@@ -5,8 +5,8 @@ Two rules keep them safe for keys that hold a large share of all rows:
 * "first", "last" and "top n" per key are a ranked window with a filter on the
   rank. Spark turns that into a per-task group limit *before* the shuffle, so a
   hot key sends at most ``n`` rows per map task.
-* lists per key are cut into parts of bounded length (:func:`text_parts`); no
-  task ever holds a whole unbounded group.
+* lists per key are cut into parts of at most twice a given number of lines
+  (:func:`text_parts`). Parts are for printing; decisions are aggregations.
 """
 
 from __future__ import annotations
@@ -63,14 +63,19 @@ def new_rows(old: DataFrame, new: DataFrame, keys: Sequence[str], dedupe: bool =
     """Rows of ``new`` whose key is not in ``old``; keys compare as text, null equals null.
 
     Repeated keys inside ``new`` are kept unless ``dedupe`` asks for one row per
-    key (the last one by ``ordinal`` when that is given).
+    key (the last one by ``ordinal``, else the greatest row).
     """
-    seen = old.select(*[F.col(k).cast("string").alias(f"__old_{k}") for k in keys]).distinct()
+    seen = old.select(*[F.col(k).cast("string").alias(f"__old_{k}") for k in keys])
     same = reduce(lambda a, b: a & b, [F.col(k).cast("string").eqNullSafe(F.col(f"__old_{k}")) for k in keys])
     fresh = new.join(seen, same, "left_anti")
-    if not dedupe:
-        return fresh
-    return last_per_key(fresh, keys, ordinal) if ordinal else fresh.dropDuplicates(list(keys))
+    return one_per_key(fresh, keys, ordinal) if dedupe else fresh
+
+
+def one_per_key(df: DataFrame, keys: Sequence[str], ordinal: str | None = None) -> DataFrame:
+    """The last row per key by ``ordinal``; without one the greatest row, so that the choice never depends on the layout."""
+    if ordinal:
+        return last_per_key(df, keys, ordinal)
+    return top_rows(df, keys, [F.desc(f"`{c}`") for c in df.columns if c not in keys] or [F.asc(keys[0])])
 
 
 def append_new(old: DataFrame, new: DataFrame, keys: Sequence[str], dedupe: bool = False,
@@ -136,26 +141,25 @@ def text_parts(lines: DataFrame, keys: Sequence[str], ordinal: str, text: str, n
     Lines are ordered newest ``day`` first (undated last), then by ``ordinal``,
     which must be unique within a key. Returns ``(*keys, EvidencePart, name)``.
     A key with up to ``lines_per_part`` lines has exactly one cell, part 0. A
-    bigger key gets several, and reading the parts in order gives the whole
-    text: nothing is cut off. The only window runs over (key, day) counts, whose
-    number per key is bounded by the calendar; a single day that is itself too
-    large is split along its ordinal.
+    bigger key gets several of at most twice as many lines, and reading the parts
+    in order gives the whole text: nothing is cut off.
+
+    Lines are counted in bins of ``lines_per_part`` consecutive ordinals of a day,
+    which cannot hold more lines than that; a part is a run of whole bins. The
+    windows run over the counts only: bins of a (key, day), and days of a key.
     """
     rows = lines.withColumn("__age", F.coalesce(-F.unix_date(day), F.lit(1 << 30)) if day else F.lit(0))
-    before = Window.partitionBy(*keys).orderBy("__age").rowsBetween(Window.unboundedPreceding, -1)
-    days = (
-        rows.groupBy(*keys, "__age")
-        .agg(F.count("*").alias("__n"), F.min(ordinal).alias("__lo"), F.max(ordinal).alias("__hi"))
-        .withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-        .withColumn("__k", F.ceil(F.col("__n") / F.lit(lines_per_part)))
-    )
-    span = F.col("__hi").cast("double") - F.col("__lo").cast("double") + F.lit(1.0)
-    spot = (F.col(ordinal).cast("double") - F.col("__lo").cast("double")) / span
-    within = F.least(F.floor(spot * F.col("__k")), F.col("__k") - F.lit(1))
-    part = F.floor(F.col("__before") / F.lit(lines_per_part)) + within
+    rows = rows.withColumn("__bin", F.call_function("div", F.col(ordinal), F.lit(lines_per_part)))
+    counts = rows.groupBy(*keys, "__age", "__bin").agg(F.count("*").alias("__n"))
+    in_day = Window.partitionBy(*keys, "__age").orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
+    in_key = Window.partitionBy(*keys).orderBy("__age").rowsBetween(Window.unboundedPreceding, -1)
+    days = counts.groupBy(*keys, "__age").agg(F.sum("__n").alias("__n")).withColumn(
+        "__days", F.coalesce(F.sum("__n").over(in_key), F.lit(0))).drop("__n")
+    bins = counts.withColumn("__bins", F.coalesce(F.sum("__n").over(in_day), F.lit(0))).drop("__n").join(days, [*keys, "__age"])
+    part = F.floor((F.col("__days") + F.col("__bins")) / F.lit(lines_per_part))
     entry = F.struct(F.col("__age").alias("age"), F.col(ordinal).alias("o"), F.col(text).alias("t"))
     return (
-        rows.join(days, [*keys, "__age"])
+        rows.join(bins, [*keys, "__age", "__bin"])
         .groupBy(*keys, part.cast("bigint").alias("EvidencePart"))
         .agg(F.array_sort(F.collect_list(entry)).alias("__cell"))
         .select(*keys, "EvidencePart",

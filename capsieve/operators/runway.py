@@ -22,6 +22,7 @@ from capsieve.operators.runway_rules import (
     finalize, months_in_column, months_of_fact, quarterly, quarterly_tag, text_runway, valid_months,
 )
 from capsieve.operators.statements import CELL, ROW, parse_statements
+from capsieve.session import stored_once
 
 AsOf = dt.date | str | Column
 
@@ -184,10 +185,11 @@ def exhibit_rank_order() -> list[Column]:
 def follow_exhibits(candidates: DataFrame, exhibits: DataFrame, url: str, form: Column) -> DataFrame:
     """Per filing the best-ranked exhibit with cash, cash flow and a period.
 
-    ``exhibits (exhibit_url, html)``. Every exhibit is parsed once, however many filings name it.
+    ``exhibits (exhibit_url, html)``. Every exhibit is parsed where it is read and only its small
+    statement is shuffled. Of differing copies the one with the greatest SHA-256 counts.
     """
-    wanted = exhibits.join(candidates.select("exhibit_url").distinct(), "exhibit_url", "left_semi")
-    parsed = parse_statements(wanted.dropDuplicates(["exhibit_url"])).drop("html")
+    parsed = parse_statements(exhibits.select("exhibit_url", "html", F.sha2(F.coalesce("html", empty()), 256).alias("__copy"))).drop("html")
+    parsed = parsed.groupBy("exhibit_url").agg(F.max_by("statement", "__copy").alias("statement"))
     found = candidates.withColumn("__form", form).join(parsed, "exhibit_url")
     months = F.coalesce(F.when(valid_months(F.col("statement.months")), F.col("statement.months")), default_months(F.col("__form")))
     found = found.withColumn("months", months)
@@ -211,11 +213,14 @@ def exhibit_verdict(best: DataFrame, form: Column) -> DataFrame:
 # ---------------------------------------------------------------- filings <- runway
 
 def runway_by_url(filings: DataFrame, documents: DataFrame) -> DataFrame:
-    """``(URL, Quarters)``: the text rule, once per distinct link of a filing that can carry a runway."""
+    """``(URL, Quarters)``: the text rule, for the distinct links of filings that can carry a runway.
+
+    Texts are read where they are stored and only the number is shuffled; of differing copies the largest number counts.
+    """
     name = upper_key("Form")
     links = filings.where(starts_any(name, R.RUNWAY_FORMS)).select("URL").where("URL != ''").distinct()
-    pages = documents.groupBy("URL").agg(F.max("Text").alias("Text"))
-    return links.join(pages, "URL").select("URL", text_runway("Text").alias("Quarters"))
+    read = documents.select("URL", text_runway("Text").alias("Quarters")).groupBy("URL").agg(F.max("Quarters").alias("Quarters"))
+    return links.join(read, "URL")
 
 
 def attach_runway(filings: DataFrame, by_url: DataFrame) -> DataFrame:
@@ -270,6 +275,7 @@ def extract_runway(companies: DataFrame, filings: DataFrame, results: DataFrame,
         .otherwise(first_nonblank(verdict["note"], verdict["status"], F.lit("OK"))))
     rows = rows.withColumns({"__v": verdict, "__status": status, "__note": note})
     rows = rows.withColumn("__place", F.struct(F.col("FiledAt").alias("d"), (-F.col("priority")).alias("p"), (-F.col("ord")).alias("o")))
+    rows = stored_once(rows.select("CIK", "FiledAt", "form", "URL", "priority", "ord", "__v", "__status", "__note", "__place"), "runway-rows")
     info = F.struct("FiledAt", "form", "URL", F.col("__v").alias("v"))
     complete = F.coalesce(F.col("__v.complete"), F.lit(False))
     usable = F.col("__v").isNotNull() & ~complete

@@ -17,7 +17,7 @@ from capsieve.functions.urls import is_primary_source
 from capsieve.operators.events import catalyst_by_form, catalyst_event, primary_event, tier_rank
 from capsieve.operators.evidence import research_dilution
 from capsieve.operators.filings import fda_line, latest_per_cik, within_retention
-from capsieve.operators.keyed import backfill, or_key_join, text_parts, top_rows
+from capsieve.operators.keyed import backfill, one_per_key, or_key_join, text_parts, top_rows
 from capsieve.operators.runway_rules import text_runway
 from capsieve.rules import RULES, Rules
 
@@ -571,10 +571,10 @@ def usable_entities(entities: DataFrame, ordinal: str = "ord") -> DataFrame:
     return top_rows(named, ["FDA_EntityName"], [F.asc(ordinal)])
 
 
-def upsert_entities(current: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Add the pairs (entity, ticker) not stored yet."""
+def upsert_entities(current: DataFrame, incoming: DataFrame, ordinal: str | None = None) -> DataFrame:
+    """Add the pairs (entity, ticker) not stored yet; of repeated ones the last by ``ordinal``, else the greatest row."""
     keys = ["FDA_EntityName", "Ticker"]
-    fresh = incoming.dropDuplicates(keys).join(current.select(*keys), keys, "left_anti")
+    fresh = one_per_key(incoming, keys, ordinal).join(current.select(*keys), keys, "left_anti")
     return current.unionByName(fresh.select(*current.columns))
 
 

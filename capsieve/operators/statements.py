@@ -163,7 +163,7 @@ def scale_near(fragment: Column, html: Column) -> Column:
 def latest_year_column(rows: Column) -> Column:
     """Value column (0-based, after the label) of the latest year in the first row naming years, else -1."""
     def years(r: Column) -> Column:
-        cells = F.transform(F.slice(r, 2, 1 << 20), lambda c, i: F.struct(
+        cells = F.transform(F.slice(r, 2, F.greatest(F.size(r) - 1, F.lit(0))), lambda c, i: F.struct(
             F.regexp_extract(match_form(c), r"((?:19|20)\d{2})", 1).try_cast("int").alias("y"), (-i).alias("i")))
         return F.filter(cells, lambda c: c["y"].isNotNull())
 
@@ -173,7 +173,7 @@ def latest_year_column(rows: Column) -> Column:
 
 def row_numbers(row: Column) -> Column:
     """``array<struct(i, v)>`` of the value cells; brackets split over neighbouring cells count as minus."""
-    cells = F.slice(row, 2, 1 << 20)
+    cells = F.slice(row, 2, F.greatest(F.size(row) - 1, F.lit(0)))
 
     def read(c: Column, i: Column) -> Column:
         before, after = strip(F.coalesce(F.get(cells, i - 1), empty())), strip(F.coalesce(F.get(cells, i + 1), empty()))

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str | int = 8, app: str = "capsieve", **conf: str) -> SparkSession:
@@ -36,11 +37,22 @@ def local_session(cores: str | int = 8, app: str = "capsieve", **conf: str) -> S
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables and stream checkpoints.
 
-    ``spark.checkpoint.dir`` names it on a cluster. Where that is unset (tests,
-    a laptop) a fresh local folder becomes the checkpoint folder of the session.
+    ``spark.checkpoint.dir`` names it on a cluster. Where that is unset a local
+    master gets a fresh local folder; any other one is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir=os.environ.get("TMPDIR", "/tmp")))
         folder = spark.sparkContext.getCheckpointDir()
     return folder
+
+
+def stored_once(df: DataFrame, name: str) -> DataFrame:
+    """`df` written to the work folder and read back, for tables used several times in one plan."""
+    spark = df.sparkSession
+    path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

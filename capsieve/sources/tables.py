@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from capsieve.operators.keyed import align, append_new, keep_days
+from capsieve.operators.keyed import align, append_new, keep_days, one_per_key
 from capsieve.schemas import schema
 
 
@@ -78,7 +78,7 @@ def append_table(spark: SparkSession, new: DataFrame, folder: str, name: str, ke
     if table_exists(spark, folder, name):
         merged = append_new(spark.read.parquet(_path(folder, name)), new, keys, dedupe)
     else:
-        merged = new.dropDuplicates(list(keys)) if dedupe else new
+        merged = one_per_key(new, keys) if dedupe else new
     merged = keep_days(merged, date, F.lit(str(as_of)).cast("date"), days)
     staged = _path(folder, f"{name}__next")
     merged.write.mode("overwrite").parquet(staged)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from capsieve.operators.filings import coverage, fill_company, fill_ticker, keep_eligible, purge, with_age
-from capsieve.operators.keyed import new_rows
+from capsieve.operators.keyed import new_rows, one_per_key
 from capsieve.rules import RULES, Rules
 from capsieve.session import work_dir
 from capsieve.sources.tables import swap, table_exists
@@ -32,7 +32,7 @@ def store_batch(batch: DataFrame, batch_id: int, target: str, rules: Rules, as_o
         stored = spark.read.parquet(target)
         fresh = new_rows(stored.where(F.col("batch") != batch_id), fresh, keys, dedupe)
     elif dedupe:
-        fresh = fresh.dropDuplicates(list(keys))
+        fresh = one_per_key(fresh, keys)
     fresh.write.mode("overwrite").parquet(os.path.join(target, f"batch={batch_id}"))
 
 

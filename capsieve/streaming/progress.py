@@ -7,6 +7,7 @@ of their ticker, and each (ticker, form, date) is counted once.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -17,6 +18,7 @@ from capsieve import rules as R
 from capsieve.functions.forms import progress_form
 from capsieve.functions.text import blank_to_null, strip
 from capsieve.operators.keyed import evaluate_once
+from capsieve.session import stored_once
 
 UNSPECIFIED, EIGHT_K = "Unspecified", "8-K Events"
 
@@ -113,6 +115,8 @@ def progress(log: DataFrame, ts: str = "ts", ordinal: str = "ord", bin_seconds:
     """``(form, parsed, valid, missing, note)`` after the last restart of the log."""
     order = [ts, ordinal]
     parsed = parse_log(log).withColumn("__bin", F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(bin_seconds * 1_000_000)))
+    columns = ("kind", "ticker", "form", "day", "ok", "processed", "parsed", "failed", "restart", "__bin", *order)
+    parsed = stored_once(parsed.select(*columns), "progress-lines")  # the log is read and parsed once
     rows = _after_last(parsed.where("kind NOT IN ('eight_k', 'start')"), parsed.where("kind = 'start'"), order)
 
     rows = carry_state(rows, order, "__bin")
@@ -129,17 +133,7 @@ def progress(log: DataFrame, ts: str = "ts", ordinal: str = "ord", bin_seconds:
             F.col("__out.__form").alias("form"), F.col("__o").alias("at"), F.lit(1).alias("delta"), F.col("__out.ok").alias("ok"))),
         F.when(counted_compute, F.struct(
             F.col("__cform").alias("form"), F.col("__c").alias("at"), F.lit(-1).alias("delta"), F.lit(None).cast("boolean").alias("ok")))))))
-    steps = steps.withColumn("__bin", F.floor(F.unix_micros(F.col(f"at.{ts}").cast("timestamp")) / F.lit(bin_seconds * 1_000_000)))
-    # "parsed" never falls behind the outcomes seen: computes + highest running (outcomes - computes), in two levels
-    running = Window.partitionBy("form", "__bin").orderBy("at")
-    bins = steps.withColumn("__run", F.sum("delta").over(running)).groupBy("form", "__bin").agg(
-        F.sum("delta").alias("__sum"), F.max("__run").alias("__peak"), F.count_if("ok").alias("valid"),
-        F.count_if(~F.col("ok")).alias("missing"), F.count_if(F.col("delta") == -1).alias("computes"))
-    before = Window.partitionBy("form").orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
-    bins = bins.withColumn("__peak", F.col("__peak") + F.coalesce(F.sum("__sum").over(before), F.lit(0)))
-    counts = bins.groupBy("form").agg(
-        (F.sum("computes") + F.greatest(F.lit(0), F.max("__peak"))).alias("parsed"),
-        F.sum("valid").alias("valid"), F.sum("missing").alias("missing"))
+    counts = step_totals(steps.withColumn("ts", F.col(f"at.{ts}").cast("timestamp")))
 
     zero = F.lit(0).cast("bigint")
     named = _after_last(parsed.where("form IS NOT NULL"), parsed.where("kind = 'start'"), order)
@@ -155,6 +149,24 @@ def progress(log: DataFrame, ts: str = "ts", ordinal: str = "ord", bin_seconds:
         F.max("parsed").alias("parsed"), F.max("valid").alias("valid"), F.max("missing").alias("missing"), F.min("note").alias("note"))
 
 
+def step_totals(steps: DataFrame, bin_seconds: int = 60) -> DataFrame:
+    """``(form, parsed, valid, missing)`` of steps: ``form``, ``ts``, ``at`` (its place), ``delta`` (1 outcome, -1 compute), ``ok``.
+
+    ``parsed`` is the number of computes, raised where outcomes got ahead of it: computes + highest running
+    (outcomes - computes). The running sum has two levels: steps of a (form, minute), and minutes of a form.
+    """
+    steps = steps.withColumn("__bin", F.floor(F.unix_micros("ts") / F.lit(bin_seconds * 1_000_000)))
+    running = Window.partitionBy("form", "__bin").orderBy("at")
+    bins = steps.withColumn("__run", F.sum("delta").over(running)).groupBy("form", "__bin").agg(
+        F.sum("delta").alias("__sum"), F.max("__run").alias("__peak"), F.count_if("ok").alias("valid"),
+        F.count_if(~F.col("ok")).alias("missing"), F.count_if(F.col("delta") == -1).alias("computes"))
+    before = Window.partitionBy("form").orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = bins.withColumn("__peak", F.col("__peak") + F.coalesce(F.sum("__sum").over(before), F.lit(0)))
+    return bins.groupBy("form").agg(
+        (F.sum("computes") + F.greatest(F.lit(0), F.max("__peak"))).alias("parsed"),
+        F.sum("valid").alias("valid"), F.sum("missing").alias("missing"))
+
+
 def eight_k_counts(parsed: DataFrame, order: Sequence[str]) -> DataFrame:
     """Row of the latest 8-K counters, none while all are zero."""
     lines = parsed.where("kind IN ('eight_k', 'start')")
@@ -168,16 +180,19 @@ def eight_k_counts(parsed: DataFrame, order: Sequence[str]) -> DataFrame:
 
 # ---------------------------------------------------------------- stream
 
-COUNTS = "ticker string, form string, parsed bigint, valid bigint, missing bigint"
+STEPS = "ticker string, form string, ts timestamp, ord bigint, delta int, ok boolean"
 _STATE = "form string, key_form string, key_day string, done string, computed string"
 
 
-def _count_ticker(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Apply the lines of one ticker in order and emit the changes of the counters."""
+def _count_ticker(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState, idle_ms: int) -> Iterator[pd.DataFrame]:
+    """Apply the lines of one ticker in order and emit what they count."""
+    if state.hasTimedOut:
+        state.remove()
+        return
     form, key_form, key_day, done_text, computed_text = state.get if state.exists else (None, None, None, "", "")
     done, computed = set(done_text.split("\n")) - {""}, set(computed_text.split("\n")) - {""}
     lines = pd.concat(list(batches)).sort_values(["ts", "ord"])
-    out: list[tuple[str, int, int, int]] = []
+    out: list[tuple] = []
     for line in lines.itertuples(index=False):
         named = line.form if isinstance(line.form, str) else None
         if named:
@@ -191,28 +206,31 @@ def _count_ticker(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
         if line.kind == "compute" and mark not in computed:
             computed.add(mark)
             if mark not in done:
-                out.append((label, 1, 0, 0))
+                out.append((key[0], label, line.ts, line.ord, -1, None))
         elif line.ok is not None and not pd.isna(line.ok) and mark not in done:
             done.add(mark)
-            extra = 0 if mark in computed else 1
-            out.append((label, extra, int(bool(line.ok)), int(not bool(line.ok))))
+            out.append((key[0], label, line.ts, line.ord, 1, bool(line.ok)))
     state.update((form, key_form, key_day, "\n".join(sorted(done)), "\n".join(sorted(computed))))
+    state.setTimeoutTimestamp(max(lines["ts"].max().value // 1_000_000, state.getCurrentWatermarkMs()) + idle_ms)
     if out:
-        frame = pd.DataFrame(out, columns=["form", "parsed", "valid", "missing"])
-        frame.insert(0, "ticker", key[0])
-        yield frame
+        yield pd.DataFrame(out, columns=["ticker", "form", "ts", "ord", "delta", "ok"])
 
 
-def progress_changes(log_stream: DataFrame, ts: str = "ts", ordinal: str = "ord") -> DataFrame:
-    """Stream of counter changes, to be summed per form by the sink.
+def progress_changes(log_stream: DataFrame, ts: str = "ts", ordinal: str = "ord", late: str = "1 day", idle_days: int = 30) -> DataFrame:
+    """Stream of counted steps, each (ticker, form, date) once; :func:`stream_totals` of the stored steps gives the counters.
 
-    State per ticker: last form and key, and the keys already counted, which grow
-    with the filings of that ticker only. The lines of a ticker in one micro-batch
-    are sorted together, so bound the batch at the source (``maxFilesPerTrigger``);
-    :func:`progress` is the form for a whole log. A compute or outcome adds to
-    ``parsed`` once per key.
+    State per ticker: last form and key, and the keys already counted. It is dropped when the
+    log has gone ``idle_days`` beyond the ticker's last line, so it does not grow for ever; lines
+    older than the watermark (``late``) are left out. The lines of a ticker in one micro-batch are
+    sorted together, so bound the batch at the source (``maxFilesPerTrigger``); :func:`progress` is
+    the form for a whole log.
     """
     lines = parse_log(log_stream).where("kind NOT IN ('eight_k', 'start')").select(
-        "ticker", F.col(ts).cast("timestamp").alias("ts"), F.col(ordinal).alias("ord"), "kind", "form", "day", "ok")
-    return lines.groupBy("ticker").applyInPandasWithState(
-        _count_ticker, COUNTS, _STATE, "append", GroupStateTimeout.NoTimeout)
+        "ticker", F.col(ts).cast("timestamp").alias("ts"), F.col(ordinal).alias("ord"), "kind", "form", "day", "ok").withWatermark("ts", late)
+    count = partial(_count_ticker, idle_ms=idle_days * 86_400_000)
+    return lines.groupBy("ticker").applyInPandasWithState(count, STEPS, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def stream_totals(steps: DataFrame) -> DataFrame:
+    """Counters per form of the stored steps of :func:`progress_changes`."""
+    return step_totals(steps.withColumn("at", F.struct("ts", "ord")))
