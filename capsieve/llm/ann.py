@@ -2,8 +2,9 @@
 
 The tree is grown on at most `sample` vectors, those with the smallest hash of their id, on the driver; every vector is
 indexed, by descending to a leaf. A query visits leaves best first: a priority queue holds tree nodes by the closeness of
-their centre. How many leaves it visits is calibrated: the number is widened by a quarter until queries from the sample, whose true
-neighbours in the sample are known, reach the target recall.
+their centre. How many leaves it visits is calibrated: the number is widened by a quarter until queries reach the target
+recall, two standard errors below their mean. The queries are vectors of the sample that are kept out of the tree, and
+copies of a vector count once, so that neither fit nor copies flatter the recall.
 
 Leaves are compared with their queries in blocks: a leaf of many vectors, or with many queries, is split into blocks of
 bounded size, and each pair of blocks gives at most k rows for a query. No pair of vectors ever becomes a row.
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from capsieve.llm.store import written
 
-SAMPLE, BRANCHES, LEAF, RECALL, CALIBRATION = 20_000, 12, 48, 0.95, 400
+SAMPLE, BRANCHES, LEAF, RECALL, CALIBRATION = 20_000, 12, 48, 0.98, 400
 VECTOR_BLOCK, QUERY_BLOCK = 4096, 512
 
 
@@ -103,26 +104,38 @@ def grow(unit: np.ndarray) -> Tree:
     return Tree(np.array(centre), np.array(children), np.array(leaf))
 
 
-def calibrated(tree: Tree, unit: np.ndarray, k: int, target: float) -> int:
-    """Leaf visits, widened by a quarter until queries from the sample find `target` of their k nearest in the sample."""
-    if len(unit) < 2:
+def calibrated(tree: Tree, unit: np.ndarray, queries: np.ndarray, k: int, target: float) -> int:
+    """Leaf visits, widened by a quarter until `queries`, which the tree was not grown on, find `target` of their k nearest of `unit`."""
+    if not len(queries):
         return tree.leaves
-    queries = np.unique(np.linspace(0, len(unit) - 1, CALIBRATION).astype(int))
-    near = unit[queries] @ unit.T
-    near[np.arange(len(queries)), queries] = -np.inf
-    k = min(k, len(unit) - 1)
-    least = np.partition(near, -k, axis=1)[:, -k] - 1e-9
+    near = queries @ unit.T
+    k = min(k, len(unit))
+    best = np.argpartition(near, -k, axis=1)[:, -k:]
     of = tree.assign(unit)
-    order = [tree.visit(unit[q], tree.leaves) for q in queries]
+    # the place of each true neighbour's leaf among the leaves that its query visits
+    place = np.empty(best.shape, np.int64)
+    for i, q in enumerate(queries):
+        at = np.empty(tree.leaves, np.int64)
+        at[tree.visit(q, tree.leaves)] = np.arange(tree.leaves)
+        place[i] = at[of[best[i]]]
     visits = 1
     while visits < tree.leaves:
-        found = sum(min(k, int((near[i][np.isin(of, order[i][:visits])] >= least[i]).sum())) for i in range(len(queries)))
-        if found >= target * k * len(queries):
+        found = (place < visits).mean(axis=1)
+        if found.mean() - 2 * found.std() / np.sqrt(len(found)) >= target:
             break
         visits += max(1, visits // 4)
     return min(visits, tree.leaves)
 
 
+def planned(unit: np.ndarray, k: int, target: float) -> tuple[Tree, int]:
+    """A tree on the different vectors of the sample but those held out, and its calibrated visits; all leaves where few differ."""
+    _, first = np.unique(np.round(unit, 9) + 0.0, axis=0, return_index=True)
+    different = unit[np.sort(first)]
+    held = min(CALIBRATION, len(different) // 5)
+    tree = grow(different[held:])
+    return tree, calibrated(tree, different[held:], different[:held], k, target)
+
+
 def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
@@ -178,8 +191,7 @@ def nearest(embeddings: DataFrame, k: int = 5, every: int = 50, sample: int = SA
     if not sampled or not sum(map(len, sampled)):
         return rows.sparkSession.createDataFrame([], empty)
     unit = _unit(np.vstack(sampled))
-    tree = grow(unit)
-    visits = calibrated(tree, unit, k, recall)
+    tree, visits = planned(unit, k, recall)
 
     def leaf_of(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, x in _usable(frames, size):

@@ -308,6 +308,16 @@ def test_nearest(vectors):
     assert ann.nearest(table.limit(0)).count() == 0 and ann.nearest(table.where("vec_id = 50")).count() == 0
 
 
+def test_calibration_without_copies_and_fit():
+    rng = np.random.default_rng(3)
+    x = ann._unit(rng.normal(size=(3000, 24)))
+    copies = ann._unit(np.repeat(x[:1], 1500, axis=0))
+    tree, visits = ann.planned(rng.permutation(np.vstack([x, copies])), 5, ann.RECALL)
+    of, fresh = tree.assign(x), ann._unit(rng.normal(size=(300, 24)))
+    hits = [np.isin(of[np.argsort(-(x @ q))[:5]], tree.visit(q, visits)).mean() for q in fresh]
+    assert ann.RECALL >= 0.98 and np.mean(hits) >= 0.98 and visits < tree.leaves
+
+
 @pytest.fixture(scope="module")
 def pages(spark):
     long = "<p>" + "word " * 50
