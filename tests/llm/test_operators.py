@@ -273,6 +273,20 @@ def test_revealing_terms(spark):
     assert "zorblax" not in text and "[EMAIL]" in text and "friend" in text
 
 
+def test_revealing_terms_wherever_they_stand(spark):
+    far = " and so on" * 20
+    rows = [(1, f"zorblax{far} a@b.cd said Zorblax"), (2, f"a@b.cd{far} from zorblax now"), (3, f"zorblax{far}{far} a@b.cd"), (4, "nothing else"),
+            *[(i, f"zorblax{far} and a@b.cd {'abcdefgh'[i - 5]}") for i in range(5, 13)], (13, "only zorblax here"), (14, None),
+            (20, f"quuxly{far} q@r.st one"), (21, f"q@r.st{far} quuxly two quuxly"), (22, "quuxly q@r.st"), (23, "quuxly alone")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got, text = by_id(pii.scan(table)), by_id(pii.sanitised(table))
+    # 11 of 12 documents with the name hold the address: it goes from all of them, the one without the address too
+    assert not any("zorblax" in (r.text or "").lower() for r in text.values()) and got[13].spans == "removed:5:12"
+    assert got[1].spans.count("removed") >= 2 and text[4].text == "nothing else" and text[14].text is None
+    # 3 of 4: generalised at every place of the documents that hold the address
+    assert text[21].text.count("[TERM]") == 2 and "[TERM]" in text[20].text and "quuxly" not in text[22].text
+
+
 def test_licences(docs, empty):
     got = {(r.doc_id, r.line_no, r.license) for r in licenses.scan(docs).collect()}
     assert {name for *_, name in got} == {"MIT", "All-rights-reserved"}
