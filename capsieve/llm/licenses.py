@@ -3,7 +3,12 @@
 A line and a template are normalised alike: ASCII letters in lower case, everything but letters and digits a separator. The
 likeness is 2 |A and B| / (|A| + |B|) of the sets of word pairs. As that is at most 2 min / (|A| + |B|), a line of n
 different pairs can reach the threshold t only with templates of t n / (2 - t) to (2 - t) n / t pairs; others are not
-compared. A line keeps its best template, ties going to the first name. The scan has no shuffle.
+compared. A line keeps its best template, ties going to the first name. The scan of lines has no shuffle; only windows that match are shuffled.
+
+Notices that are wrapped or share a line are found in windows of the word pairs of the whole text, which begin and end at a
+pair of the template and have at most (2 - t) n / t pairs. A window that touches no line that matches by itself gives a row
+at the line where it begins, unless a better one (or, at the same likeness, an earlier one) overlaps it.
+`sql` states the lines alone.
 
 Defined results: null and empty texts, and lines of fewer than two words, match nothing; repeated rows give repeated results;
 extra columns are ignored; an empty table gives no rows.
@@ -59,7 +64,7 @@ def _known(templates: dict[str, list[str]]) -> list[tuple[str, list[str]]]:
 
 
 def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """docs (doc_id, text) -> (doc_id, line_no from 0, license, dice), a row for each line that matches a template."""
+    """docs (doc_id, text) -> (doc_id, line_no from 0, license, dice), a row for each line that matches a template, or where a window that matches begins."""
     known = _known(TEMPLATES if templates is None else templates)
     sizes = [len(b) for _, b in known]
     least, most = min(sizes, default=1) * threshold / (2 - threshold), max(sizes, default=0) * (2 - threshold) / threshold
@@ -68,23 +73,74 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, thresho
         after = F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0)))
         return F.array_distinct(F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), after, lambda a, b: F.concat(a, F.lit(" "), b)))
 
+    def normal(line: Column) -> Column:
+        return F.split(F.trim(F.regexp_replace(F.translate(line, _UPPER, _LOWER), "[^a-z0-9]+", " ")), " ")
+
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-    flat = F.trim(F.regexp_replace(F.translate("line", _UPPER, _LOWER), "[^a-z0-9]+", " "))
     # a line of w words has at most w - 1 pairs: shorter ones cannot reach the smallest template
-    words = lines.withColumn("words", F.split(flat, " ")).where(F.size("words") - 1 >= least)
+    words = lines.withColumn("words", normal(F.col("line"))).where(F.size("words") - 1 >= least)
     sets = words.select("doc_id", "line_no", pairs(F.col("words")).alias("pairs")).where(F.size("pairs").between(least, most))
-    n = F.size("pairs")
 
-    def likeness(name: str, template: list[str]) -> Column:
-        size = len(template)
-        value = F.lit(2.0) * F.size(F.array_intersect("pairs", F.array(*map(F.lit, template)))) / (n + size)
+    def likeness(name: str, template: list[str], pairs: Column) -> Column:
+        size, n = len(template), F.size(pairs)
+        value = F.lit(2.0) * F.size(F.array_intersect(pairs, F.array(*map(F.lit, template)))) / (n + size)
         dice = F.when(n.between(size * threshold / (2 - threshold), size * (2 - threshold) / threshold), value).otherwise(0.0)
         return F.struct((-dice).alias("less"), F.lit(name).alias("license"))
 
     if not known:
         return sets.limit(0).select("doc_id", "line_no", F.lit("").alias("license"), F.lit(0.0).alias("dice"))
-    best = F.array_min(F.array(*[likeness(*k) for k in known]))
-    return sets.withColumn("best", best).select("doc_id", "line_no", F.col("best.license"), (-F.col("best.less")).alias("dice")).where(F.col("dice") >= threshold)
+
+    def best(pairs: Column) -> Column:
+        return F.array_min(F.array(*[likeness(*k, pairs) for k in known]))
+
+    whole = (sets.withColumn("best", best(F.col("pairs"))).select("doc_id", "line_no", F.col("best.license"), (-F.col("best.less")).alias("dice"))
+             .where(F.col("dice") >= threshold))
+    found = _windows(docs, known, threshold, normal)
+    # what a line that matches by itself holds is that line's row
+    touched = F.transform(F.slice("lines", F.col("w.line") + 1, F.col("w.last") - F.col("w.line") + 1), lambda line: pairs(normal(line)))
+    found = found.where(~F.exists(touched, lambda p: -best(p)["less"] >= threshold))
+    found = found.groupBy("row", "doc_id").agg(F.collect_list("w").alias("all"))
+    better = F.filter("all", lambda w: ~F.exists("all", lambda v: (v < w) & (v["first"] <= w["end"]) & (w["first"] <= v["end"])))
+    found = found.select("doc_id", F.explode(better).alias("w"))
+    return whole.unionByName(found.select("doc_id", F.col("w.line").alias("line_no"), F.col("w.license").alias("license"), (-F.col("w.less")).alias("dice")))
+
+
+def _windows(docs: DataFrame, known: list[tuple[str, list[str]]], threshold: float, normal) -> DataFrame:
+    """(row, doc_id, lines, w): windows that match, w (less, first, license, end, line, last)."""
+    every = sorted({g for _, grams in known for g in grams})
+    split = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.split("text", "\n", -1).alias("lines"))
+    words = F.flatten(F.transform("lines", lambda line, i: F.transform(F.filter(normal(line), lambda w: w != ""), lambda w: F.struct(w.alias("w"), i.alias("i")))))
+    split = split.withColumn("words", words).where(F.size("words") > 1)
+    grams = F.zip_with(F.slice("words", 1, F.size("words") - 1), F.slice("words", 2, F.size("words") - 1),
+                       lambda a, b: F.struct(F.concat(a["w"], F.lit(" "), b["w"]).alias("g"), a["i"].alias("line"), b["i"].alias("last")))
+    split = split.select("row", "doc_id", "lines", grams.alias("grams"))
+    hits = F.filter(F.transform("grams", lambda x, at: F.struct(at.alias("at"), x["g"].alias("g"), x["line"].alias("line"), x["last"].alias("last"))),
+                    lambda h: h["g"].isin(every))
+    split = split.withColumn("hits", hits)
+    least = threshold / (2 - threshold)
+
+    def of_template(grams: list[str]) -> Column:
+        return F.filter("hits", lambda h: h["g"].isin(grams))
+
+    asked = [F.struct(F.lit(name).alias("license"), F.lit(len(t)).alias("size"), of_template(t).alias("of")) for name, t in known]
+    near = (split.where(F.size("hits") >= min(len(t) for _, t in known) * least)
+            .select("row", "doc_id", "lines", "grams", F.explode(F.filter(F.array(*asked), lambda a: F.size(a["of"]) >= a["size"] * least)).alias("a"))
+            .select("row", "doc_id", "lines", "grams", "a.*"))
+    longest = F.floor(F.col("size") * (2 - threshold) / threshold)
+
+    def within(a: Column, reach: Column) -> Column:
+        return F.filter("of", lambda e: (e["at"] >= a["at"]) & (e["at"] < a["at"] + reach))
+
+    near = near.select("*", F.explode("of").alias("from")).withColumn("of", within(F.col("from"), longest)).where(F.size("of") >= F.col("size") * least)
+
+    def window(e: Column) -> Column:
+        a = F.col("from")
+        common = F.size(F.array_distinct(F.transform(F.filter("of", lambda x: x["at"] <= e["at"]), lambda x: x["g"])))
+        n = F.size(F.array_distinct(F.transform(F.slice("grams", a["at"] + 1, e["at"] - a["at"] + 1), lambda x: x["g"])))
+        return F.struct((-F.lit(2.0) * common / (n + F.col("size"))).alias("less"), a["at"].alias("first"), F.col("license").alias("license"),
+                        e["at"].alias("end"), a["line"].alias("line"), e["last"].alias("last"))
+
+    return near.select("row", "doc_id", "lines", F.array_min(F.transform("of", window)).alias("w")).where(F.col("w.less") <= -threshold)
 
 
 def sql(templates: dict[str, list[str]] | None = None, threshold: float = THRESHOLD) -> str:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -293,6 +294,15 @@ def test_licences(docs, empty):
     assert licenses.scan(empty).count() == 0 and licenses.scan(docs, {}).count() == 0
 
 
+def test_licences_wrapped_and_within_lines(spark):
+    mit, bsd = licenses.TEMPLATES["MIT"][1], licenses.TEMPLATES["BSD"][0]
+    rows = [(1, "Copyright (c) 2024 Example Inc. All rights reserved."), (2, "Text and images by J. Doe, 2024. Licensed under CC BY 4.0."),
+            (3, "a title\n" + "\n".join(textwrap.wrap(bsd, 70)) + "\nmore words"), (4, "x y\n\n" + "\n".join(textwrap.wrap(mit, 70))),
+            (5, "All rights reserved.\nno"), (6, "rights of all, reserved for the work"), (7, None)]
+    got = sorted((r.doc_id, r.line_no, r.license, r.dice) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(1, 0, "All-rights-reserved", 1.0), (2, 0, "CC-BY-4.0", 1.0), (3, 1, "BSD", 1.0), (4, 2, "MIT", 1.0), (5, 0, "All-rights-reserved", 1.0)]
+
+
 @pytest.fixture(scope="module")
 def vectors(spark):
     rng = np.random.default_rng(1)
