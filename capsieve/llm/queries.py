@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from capsieve.llm import ann, bpe, fingerprints, licenses, near_dup, packing, pii, quality, substring_dedup, warc
+from capsieve.llm import ann, bpe, filter_audit, fingerprints, licenses, mixing, near_dup, packing, pii, quality, substring_dedup, vector_codes, warc
 from capsieve.llm.store import text_batches
 
 VOCABULARY = public_tokenizers.path(bpe.VOCABULARY)
@@ -59,9 +59,21 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.scan(_table(spark, folder, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.codes(_table(spark, folder, "embeddings"))
+
+
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op13_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_license_scan, op2_quality, op3_minhash_near_dedup, op4_nearest_neighbours, op5_bpe, op6_warc, op7_best_fit_packing,
-    op8_substring_dedup, op9_fingerprints, op10_pii)}
+    op8_substring_dedup, op9_fingerprints, op10_pii, op11_vector_codes, op12_filter_audit, op13_source_mix)}
 
 SQL: dict[str, str] = {
     "op1_license_scan": licenses.sql(),
@@ -82,4 +94,7 @@ each AS (SELECT doc_id, unnest(w) AS t, unnest(range(len(w))) AS i FROM word),
 kept AS (SELECT doc_id, count(*) AS n, string_agg(t, ' ' ORDER BY i) AS text FROM each ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
 FROM word d LEFT JOIN kept USING (doc_id)""",
+    "op11_vector_codes": vector_codes.sql(),
+    "op12_filter_audit": filter_audit.SQL,
+    "op13_source_mix": mixing.sql(),
 }
