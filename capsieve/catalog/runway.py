@@ -9,7 +9,7 @@ from capsieve.catalog.base import query
 from capsieve.functions import numbers
 from capsieve.operators import runway as rw
 from capsieve.operators import runway_rules as rr
-from capsieve.operators import scoring, statements
+from capsieve.operators import resolution, scoring, statements
 from capsieve.plans.standins import FILINGS_AS_OF, Tables
 
 # cash, operating cash flow, months and print scale of a made-up company per supplier
@@ -506,3 +506,74 @@ def source_defaults(t: Tables) -> DataFrame:
     given = F.when(F.col("ord") % 3 == 0, "10-Q").otherwise("")
     rows = t.filings().withColumn("s", rw.source_defaults(given, F.lit(""), F.lit(""), used, first))
     return rows.select(F.col("ord").alias("FilingId"), F.col("s.form").alias("Form"), F.col("s.date").alias("Date"), F.col("s.url").alias("Url"))
+
+
+# ---------------------------------------------------------------- filings to verdicts as one job
+
+def landed_sources(t: Tables) -> tuple[DataFrame, resolution.Sources]:
+    """A filing per supplier and what has landed of it: by turns a document, complete facts beside a document that must not
+    count, a document and a fact, an index page with an exhibit, nothing, and a 6-K without a statement."""
+    rows = companies(t).withColumns({
+        "turn": F.col("k") % 6, "html": statement_html(),
+        "URL": F.concat(F.lit("https://www.sec.gov/Archives/edgar/data/"), "k", F.lit("/"), F.lpad(F.col("k").cast("string"), 18, "0"), F.lit("/main.htm"))})
+    turn, lit = F.col("turn"), F.lit
+    form = F.when(turn == 3, "20-F").when(turn == 4, "10-K").when(turn == 5, "6-K").otherwise("10-Q")
+    filings = rows.select("URL", form.alias("Form"))
+    documents = rows.where(turn != 4).select("URL", F.when(turn.isin(3, 5), "<p>press release</p>").otherwise(F.col("html")).alias("html"))
+    index = rows.where(turn == 3).select("URL", lit(
+        '<table><tr><td>Audited financial statements</td><td>EX-99.1</td><td><a href="statements.htm">statements.htm</a></td></tr>'
+        '<tr><td>Chart</td><td>EX-99.2</td><td><a href="chart.jpg">chart.jpg</a></td></tr></table>').alias("html"))
+    exhibits = rows.select(F.replace("URL", lit("main.htm"), lit("statements.htm")).alias("exhibit_url"), "html")
+    period = F.when(F.col("months") == 3, "Q1").when(F.col("months") == 6, "Q2").when(F.col("months") == 9, "Q3").otherwise("FY")
+
+    def fact(concept: str, value: Column, known: Column) -> Column:
+        return F.struct(lit(concept).alias("Concept"), F.when(known, value.cast("double")).alias("Val"))
+
+    both = F.array(fact("CashAndCashEquivalents", F.col("cash") * 7, turn == 1), fact("NetCashProvidedByUsedInOperatingActivities", F.col("burn") * -7, turn.isin(1, 2)))
+    facts = rows.where(turn.isin(1, 2)).select("k", period.alias("Fp"), F.inline(both)).select(
+        F.lpad(F.col("k").cast("string"), 10, "0").alias("CIK"), lit("us-gaap").alias("Taxonomy"), "Concept", lit("USD").alias("Unit"), "Val",
+        lit(None).cast("string").alias("Accn"), lit(None).cast("date").alias("Start"), lit(None).cast("date").alias("End"), lit(2024).alias("Fy"), "Fp",
+        lit("10-Q").alias("Form"), F.col("k").alias("ord"))
+    return filings, resolution.Sources(facts, documents, index, exhibits)
+
+
+@query("filing_runway", sql=f"""
+WITH c AS ({COMPANY}), t AS (SELECT *, k % 6 AS turn FROM c),
+f AS (SELECT k, turn, CASE WHEN turn = 1 THEN CAST(cash * 7 AS DOUBLE) WHEN turn IN (0, 2, 3) THEN CAST(cash * scale AS DOUBLE) END AS cash,
+  CASE WHEN turn IN (1, 2) THEN CAST(burn * -7 AS DOUBLE) WHEN turn IN (0, 3) THEN CAST(-burn * scale AS DOUBLE) END AS ocf,
+  CASE WHEN turn = 5 THEN 3 WHEN turn <> 4 THEN months END AS months, '' AS form FROM t), {VERDICT}
+SELECT k AS SupplierId, CASE turn WHEN 3 THEN '20-F' WHEN 4 THEN '10-K' WHEN 5 THEN '6-K' ELSE '10-Q' END AS Form,
+  CASE turn WHEN 1 THEN 'facts' WHEN 3 THEN 'exhibit' WHEN 4 THEN '' ELSE 'document' END AS Source,
+  CASE turn WHEN 3 THEN 'OK (from exhibit EX-99.1)' WHEN 4 THEN NULL WHEN 5 THEN '6-K missing OCF (exhibits tried)' ELSE 'OK' END AS Status,
+  cash AS Cash, q AS Quarterly, months AS Months, r AS QuartersRaw, CASE WHEN turn <> 4 THEN done END AS Complete,
+  CASE turn WHEN 1 THEN 'XBRL' WHEN 2 THEN 'XBRL,HTML' WHEN 4 THEN NULL WHEN 5 THEN '' ELSE 'HTML' END AS Tags FROM w
+""")
+def filing_runway(t: Tables) -> DataFrame:
+    filings, sources = landed_sources(t)
+    r = F.col("result")
+    return resolution.runway_results(filings, sources).select(
+        F.regexp_extract("URL", r"data/(\d+)/", 1).cast("bigint").alias("SupplierId"), "Form", "Source", r["status"].alias("Status"), r["cash_raw"].alias("Cash"),
+        r["ocf_quarterly_raw"].alias("Quarterly"), r["period_months"].alias("Months"), r["runway_quarters_raw"].alias("QuartersRaw"),
+        r["complete"].alias("Complete"), F.array_join(r["source_tags"], ",").alias("Tags"))
+
+
+@query("company_runway", "v_filings", "v_profiles", sql=RESULT_SQL + """
+SELECT p.cik AS CIK, coalesce(format('{:.2f}', CASE WHEN f.cik IS NOT NULL THEN f.cash ELSE r.cash END), '') AS RunwayCash,
+  CASE WHEN f.cik IS NOT NULL THEN format('{:.6f}', f.cash / 800.0) ELSE '' END AS RunwayQuartersRaw,
+  CASE WHEN f.cik IS NOT NULL THEN 'OK' WHEN r.cik IS NOT NULL THEN r.status ELSE coalesce(l.status, 'No eligible filing') END AS RunwayStatus,
+  coalesce(f.link, r.link, i.link, '') AS RunwaySourceURL
+FROM v_profiles p LEFT JOIN fin f ON f.cik = p.cik AND f.rn = 1 LEFT JOIN par r ON r.cik = p.cik AND r.rn = 1 AND f.cik IS NULL
+  LEFT JOIN fir i ON i.cik = p.cik LEFT JOIN lst l ON l.cik = p.cik
+""")
+def company_runway(t: Tables) -> DataFrame:
+    """Filings and their landed documents to one verdict per company; documents of decided companies stay unread."""
+    f = t.filings().withColumn("URL", F.concat("URL", F.lit("?form="), "Form"))
+    lit = F.lit
+    cash = F.when(F.col("ord") % 3 == 0, "").otherwise(F.concat(
+        lit("<tr><td>Cash and cash equivalents, end of period</td><td>"), _n((F.col("ord") % 50 + 1) * 1000), lit("</td></tr>")))
+    flow = F.when(F.col("ord") % 5 == 0, "").otherwise("<tr><td>Net cash used in operating activities</td><td>(800)</td></tr>")
+    html = F.concat(lit("<h2>Statements of Cash Flows</h2><p>Three months ended</p><table><tr><th></th><th>2024</th></tr>"), flow, cash, lit("</table>"))
+    documents = f.where(F.col("ord") % 7 != 0).select("URL", html.alias("html"))
+    results = resolution.first_results(f, resolution.Sources(documents=documents))
+    return rw.extract_runway(t.profiles().select("Ticker", "CIK"), f, results, FILINGS_AS_OF, "ord").select(
+        "CIK", "RunwayCash", "RunwayQuartersRaw", "RunwayStatus", "RunwaySourceURL")

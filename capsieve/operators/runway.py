@@ -37,29 +37,37 @@ def rank_in(value: Column, names: Sequence[str]) -> Column:
     return out
 
 
-def best_facts(filings: DataFrame, facts: DataFrame, concepts: Sequence[str], name: str, ordinal: str = "ord") -> DataFrame:
-    """``(URL, name)``: for each filing the fact of the first reported concept.
+def best_facts(filings: DataFrame, facts: DataFrame, groups: dict[str, Sequence[str]], ordinal: str = "ord") -> DataFrame:
+    """``(URL, one column per group)``: for each filing and group of concepts the fact of the first reported concept.
 
     Facts: CIK, Taxonomy, Concept, Unit, Val, Accn, Start, End, Fy, Fp, Form and an
     ordinal. Concept, taxonomy and unit are chosen per company. Among those facts
     the one of the filing's own accession wins, then the latest end date and
-    fiscal year. The preference is solved by two one-row-per-key look-ups (own
-    accession, whole company), so facts and filings of one company are never paired.
+    fiscal year.
+
+    Facts are read once. A key that ranks the choice first and the place after it
+    makes both questions one maximum per (company, accession), for all groups at
+    once: the company's best fact is the greatest of these, and an accession
+    has facts of the company's choice exactly if its own greatest has that choice.
     """
-    concept, taxonomy = rank_in(F.col("Concept"), concepts), rank_in(F.col("Taxonomy"), ["us-gaap", "ifrs-full"])
+    taxonomy = F.coalesce(rank_in(F.col("Taxonomy"), ["us-gaap", "ifrs-full"]), F.lit(9))
     unit = F.coalesce(rank_in(F.col("Unit"), R.PREFERRED_UNITS), F.lit(99))
-    usable = facts.where(concept.isNotNull() & F.col("Val").isNotNull()).withColumn(
-        "__choice", F.struct(concept.alias("c"), F.coalesce(taxonomy, F.lit(9)).alias("t"), unit.alias("u")))
-    chosen = usable.groupBy("CIK").agg(F.min("__choice").alias("__best"))
-    kept = usable.join(chosen, "CIK").where(F.col("__choice") == F.col("__best"))
-    place = F.struct(F.coalesce("End", F.lit("0001-01-01").cast("date")).alias("e"),
-                     F.coalesce("Fy", F.lit(0)).alias("f"), (-F.col(ordinal)).alias("o"))
-    payload = F.struct("Val", "Concept", "Accn", "Start", "End", "Fp", "Form")
-    by_accession = kept.where("Accn IS NOT NULL").groupBy("CIK", "Accn").agg(F.max_by(payload, place).alias("__own"))
-    by_company = kept.groupBy("CIK").agg(F.max_by(payload, place).alias("__any"))
-    ids = filings.select("URL", "CIK", "Accn").distinct()
-    found = ids.join(by_accession, ["CIK", "Accn"], "left").join(by_company, "CIK", "left")
-    return found.select("URL", F.coalesce("__own", "__any").alias(name))
+    place = [F.coalesce("End", F.lit("0001-01-01").cast("date")).alias("e"), F.coalesce("Fy", F.lit(0)).alias("f"), (-F.col(ordinal)).alias("o")]
+    payload = F.struct("Val", "Concept", "Accn", "Start", "End", "Fp", "Form").alias("fact")
+
+    def best(concepts: Sequence[str]) -> Column:
+        concept = rank_in(F.col("Concept"), concepts)
+        choice = F.struct((-concept).alias("c"), (-taxonomy).alias("t"), (-unit).alias("u")).alias("choice")
+        return F.max(F.when(concept.isNotNull(), F.struct(choice, *place, payload)))
+
+    usable = facts.where(F.col("Concept").isin(*[c for g in groups.values() for c in g]) & F.col("Val").isNotNull())
+    by_accession = stored_once(usable.groupBy("CIK", "Accn").agg(*[best(g).alias(n) for n, g in groups.items()]), "facts-by-accession")
+    by_company = by_accession.groupBy("CIK").agg(*[F.max(n).alias(f"__any_{n}") for n in groups])
+    own = by_accession.where("Accn IS NOT NULL").withColumnsRenamed({n: f"__own_{n}" for n in groups})
+    found = filings.select("URL", "CIK", "Accn").distinct().join(own, ["CIK", "Accn"], "left").join(by_company, "CIK", "left")
+    return found.select("URL", *[
+        F.when(F.col(f"__own_{n}.choice") == F.col(f"__any_{n}.choice"), F.col(f"__own_{n}.fact")).otherwise(F.col(f"__any_{n}.fact")).alias(n)
+        for n in groups])
 
 
 def facts_runway(filings: DataFrame, facts: DataFrame, ordinal: str = "ord", parse_url: bool = True) -> DataFrame:
@@ -69,9 +77,8 @@ def facts_runway(filings: DataFrame, facts: DataFrame, ordinal: str = "ord", par
         ids = ids.withColumn("__id", filing_ids("URL")).select(
             "URL", "Form", F.col("__id.cik").alias("CIK"), F.col("__id.accession").alias("Accn"))
     ids = ids.groupBy("URL").agg(F.min("Form").alias("Form"), F.min("CIK").alias("CIK"), F.min("Accn").alias("Accn"))
-    cash = best_facts(ids, facts, R.CASH_CONCEPTS, "__cash", ordinal)
-    flow = best_facts(ids, facts, R.OCF_CONCEPTS, "__flow", ordinal)
-    out = ids.join(cash, "URL", "left").join(flow, "URL", "left")
+    best = best_facts(ids, facts, {"__cash": R.CASH_CONCEPTS, "__flow": R.OCF_CONCEPTS}, ordinal)
+    out = ids.join(best, "URL", "left")
     c, o = F.col("__cash.Val").cast("double"), F.col("__flow.Val").cast("double")
     form = F.coalesce(form_in_text("Form"), form_in_text("__cash.Form"), form_in_text("__flow.Form"))
     months = months_of_fact(F.col("__flow.Fp"), F.col("__flow.Start"), F.col("__flow.End"), default_months(form))
@@ -185,9 +192,10 @@ def exhibit_rank_order() -> list[Column]:
 def follow_exhibits(candidates: DataFrame, exhibits: DataFrame, url: str, form: Column) -> DataFrame:
     """Per filing the best-ranked exhibit with cash, cash flow and a period.
 
-    ``exhibits (exhibit_url, html)``. Every exhibit is parsed where it is read and only its small
-    statement is shuffled. Of differing copies the one with the greatest SHA-256 counts.
+    ``exhibits (exhibit_url, html)``. Only exhibits that a candidate names are parsed, and only their small
+    statements are shuffled further. Of differing copies the one with the greatest SHA-256 counts.
     """
+    exhibits = exhibits.join(candidates.select("exhibit_url").distinct(), "exhibit_url", "left_semi")
     parsed = parse_statements(exhibits.select("exhibit_url", "html", F.sha2(F.coalesce("html", empty()), 256).alias("__copy"))).drop("html")
     parsed = parsed.groupBy("exhibit_url").agg(F.max_by("statement", "__copy").alias("statement"))
     found = candidates.withColumn("__form", form).join(parsed, "exhibit_url")
@@ -260,7 +268,7 @@ def extract_runway(companies: DataFrame, filings: DataFrame, results: DataFrame,
     filed = filings.where(starts_any(upper_key("Form"), R.RUNWAY_FORMS) & F.col("FiledAt").isNotNull()).select(
         cik("CIK").alias("CIK"), "FiledAt", with_scheme("URL").alias("URL"), family.alias("form"),
         form_priority(family).alias("priority"), F.col(ordinal).alias("ord"))
-    rows = filed.where("CIK != ''").join(results, "URL", "left")
+    rows = filed.where("CIK != ''").join(results.select("URL", "result"), "URL", "left")
     linked = F.col("URL") != ""
     named = url_names_form("form", "URL")
     verdict = F.when(linked & named, F.col("result"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from capsieve.operators import events as evt
 from capsieve.operators import filings as fil
-from capsieve.operators import gates, market, runway, scoring, watchlist
+from capsieve.operators import gates, market, resolution, runway, scoring, watchlist
 from capsieve.rules import RULES, Rules
 from capsieve.schemas import schema
 from capsieve.sources.tables import (
@@ -152,10 +152,16 @@ def daily(run: Run, prices: DataFrame | None = None, start_stage: str = "prices"
     return funnel(run)
 
 
-def legacy(run: Run, results: DataFrame | None = None, start_stage: str = "bundle", ordinal: str = "ord") -> DataFrame:
+def landed(run: Run) -> resolution.Sources:
+    """What has landed of the filings, from the stored tables 02_facts, 02_documents, 02_index_pages and 02_exhibits."""
+    return resolution.Sources(*(run.maybe(n) for n in ("02_facts", "02_documents", "02_index_pages", "02_exhibits")))
+
+
+def legacy(run: Run, results: DataFrame | None = None, start_stage: str = "bundle", ordinal: str = "ord",
+           sources: resolution.Sources | None = None) -> DataFrame:
     """The older chain 06 -> 07 -> 08 -> 10 -> 11; returns the watchlist drop counts.
 
-    ``results (URL, result)`` are the runway verdicts per filing link.
+    Runway verdicts come from ``sources``, by default the landed tables of the folder; ``results (URL, result)`` replaces them.
     """
     stages = _from(LEGACY_STAGES, start_stage)
     if "bundle" in stages:
@@ -165,7 +171,7 @@ def legacy(run: Run, results: DataFrame | None = None, start_stage: str = "bundl
         run.write(scoring.research_bundle(source), "07_deep_research_results")
     if "runway" in stages:
         if results is None:
-            raise ValueError("the runway stage needs the verdicts per filing link")
+            results = resolution.first_results(run.read("02_filings"), sources or landed(run), ordinal)
         # evidence parts are rows of the same company; the runway is chosen once per company
         bundle = run.read("07_deep_research_results")
         first = bundle.where("EvidencePart = 0").drop("EvidencePart") if "EvidencePart" in bundle.columns else bundle
