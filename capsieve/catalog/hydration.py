@@ -53,7 +53,8 @@ SELECT Ticker, Company, CIK, Close, ADV20, MarketCap, LatestForm FROM hyd
 WHERE Close >= 1 AND MarketCap BETWEEN 25000000 AND 350000000 AND ADV20 >= 25 AND LatestForm <> ''
 """)
 def shortlist_gate(t: Tables) -> DataFrame:
-    return gates.shortlist_gate(hydrated(t), Rules(adv_min=25)).select(
+    core = fil.hydrate_core(t.profiles(), company_prices(t), t.filings(), t.fda(), "ord")
+    return gates.shortlist_gate(core, Rules(adv_min=25)).select(
         "Ticker", "Company", "CIK", "Close", "ADV20", "MarketCap", "LatestForm").orderBy("Ticker")
 
 

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from capsieve.catalog.base import query
 from capsieve.catalog.events import PRIMARY_SQL
-from capsieve.catalog.hydration import HYDRATE_SQL, HYDRATE_VIEWS, company_prices, hydrated
+from capsieve.catalog.hydration import HYDRATE_SQL, HYDRATE_VIEWS, company_prices
 from capsieve.catalog.universe import ADV_SQL, LOOKBACK_SQL
 from capsieve.operators import events as evt
+from capsieve.operators import filings as fil
 from capsieve.operators import scoring, watchlist
+from capsieve.operators.lines import place_of
 from capsieve.plans.standins import EVENTS_AS_OF, FILINGS_AS_OF, Tables
 from capsieve.session import stored_once
 
@@ -223,7 +225,9 @@ SELECT h.Ticker, CASE WHEN FDA_EventType IS NOT NULL THEN FDA_EventType WHEN con
 FROM hyd h LEFT JOIN df ON df.cik = h.CIK LEFT JOIN dl ON dl.cik = h.CIK LEFT JOIN ll ON ll.cik = h.CIK
 """)
 def research_bundle(t: Tables) -> DataFrame:
-    return scoring.research_bundle(hydrated(t)).select(
+    lines = fil.company_evidence(t.filings(), t.fda()).withColumn("place", place_of("Day", "Seq"))
+    core = fil.hydrate_core(t.profiles(), company_prices(t), t.filings(), t.fda(), "ord")
+    return scoring.bundle(core, lines).select(
         "Ticker", "CatalystType", "CatalystDate", "CatalystPrimaryLink", "CatalystEvidencePrimaryLinks", "HasDilutionFlag", "DilutionForms",
         "DilutionLinks", "DilutionNotes")
 

@@ -274,10 +274,12 @@ def candidate_links(*cells: Column | str) -> Column:
     return F.flatten(F.array(*[urls_in(c) for c in cells]))
 
 
-def match_events(rows: DataFrame, events: DataFrame, row_id: str, links: str, ordinal: str) -> DataFrame:
+def match_events(rows: DataFrame, events: DataFrame, row_id: str, links: Column | DataFrame, ordinal: str) -> DataFrame:
     """Attach ``event`` (a struct, null when nothing fits): same link, else newest of the CIK,
     else newest of the ticker, else same filing folder.
 
+    ``links`` is an array of the row, or a table (row_id, pos, link).
+
     Every lookup is reduced to one row per key before it is joined, and the link
     steps run on exploded links reduced to the first hit per row.
     """
@@ -298,7 +300,7 @@ def match_events(rows: DataFrame, events: DataFrame, row_id: str, links: str, or
     by_ticker = table("k_ticker", newest, "e_ticker")
     by_folder = table("k_acc", [F.desc("o_date"), F.asc("o_ord")], "e_acc")
 
-    exploded = rows.select(row_id, F.posexplode(links).alias("pos", "link"))
+    exploded = links if isinstance(links, DataFrame) else rows.select(row_id, F.posexplode(links).alias("pos", "link"))
 
     def first_hit(keyed: DataFrame, lookup: DataFrame, key: str, name: str) -> DataFrame:
         hits = keyed.where(F.col(key) != "").join(lookup, key)

@@ -113,30 +113,34 @@ def guarded_entry(items: Column) -> Column:
 
 # ---------------------------------------------------------------- dilution
 
+def dilution_line(raw: Column) -> Column:
+    """``struct(form, link, hit)`` of one ``date | form | link`` line."""
+    parts = F.transform(F.split(raw, r"\|"), strip)
+    form = clean_text(F.coalesce(F.try_element_at(parts, F.lit(2)), empty()))
+    links = F.filter(parts, lambda p: F.lower(p).startswith("http"))
+    tokens = F.filter(F.split(F.replace(raw, F.lit("|"), F.lit(" ")), r"\s+"), lambda p: F.lower(p).startswith("http"))
+    link = F.coalesce(F.try_element_at(links, F.lit(-1)), F.try_element_at(tokens, F.lit(-1)), empty())
+    name = F.upper(form)
+    hit = contains_any(name, R.RESEARCH_DILUTION_FORMS) | (
+        (name == "8-K") & contains_any(F.lower(raw), R.RESEARCH_DILUTION_WORDS))
+    return F.struct(form.alias("form"), link.alias("link"), hit.alias("hit"))
+
+
+def dilution_notes(forms: Column) -> Column:
+    return F.when(F.size(forms) > 0, F.concat(F.lit("Recent dilution-related filings: "), F.array_join(forms, ", "))).otherwise("")
+
+
 def research_dilution(cell: Column | str) -> Column:
     """``struct(forms, links, flag, notes)`` from ``date | form | link`` lines."""
-    def parse(raw: Column) -> Column:
-        parts = F.transform(F.split(raw, r"\|"), strip)
-        form = clean_text(F.coalesce(F.try_element_at(parts, F.lit(2)), empty()))
-        links = F.filter(parts, lambda p: F.lower(p).startswith("http"))
-        tokens = F.filter(F.split(F.replace(raw, F.lit("|"), F.lit(" ")), r"\s+"), lambda p: F.lower(p).startswith("http"))
-        link = F.coalesce(F.try_element_at(links, F.lit(-1)), F.try_element_at(tokens, F.lit(-1)), empty())
-        name = F.upper(form)
-        hit = contains_any(name, R.RESEARCH_DILUTION_FORMS) | (
-            (name == "8-K") & contains_any(F.lower(raw), R.RESEARCH_DILUTION_WORDS))
-        return F.struct(form.alias("form"), link.alias("link"), hit.alias("hit"))
-
     pieces = F.filter(F.transform(F.split(clean_text(cell), r"[;\r\n]+"), strip),
                       lambda x: (x != "") & (F.lower(x) != "nan"))
-    hits = F.filter(F.transform(pieces, parse), lambda p: p["hit"])
+    hits = F.filter(F.transform(pieces, dilution_line), lambda p: p["hit"])
 
     def distinct(name: str) -> Column:
         return F.array_distinct(F.filter(F.transform(hits, lambda p: p[name]), lambda x: x != ""))
 
     forms, links = distinct("form"), distinct("link")
-    notes = F.when(F.size(forms) > 0, F.concat(
-        F.lit("Recent dilution-related filings: "), F.array_join(forms, ", "))).otherwise("")
-    return F.struct(forms.alias("forms"), links.alias("links"), (F.size(forms) > 0).alias("flag"), notes.alias("notes"))
+    return F.struct(forms.alias("forms"), links.alias("links"), (F.size(forms) > 0).alias("flag"), dilution_notes(forms).alias("notes"))
 
 
 def watch_dilution(items: Column) -> Column:

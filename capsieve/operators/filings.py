@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from capsieve import rules as R
@@ -13,8 +13,9 @@ from capsieve.functions.dates import age_days, as_date, iso
 from capsieve.functions.text import (
     blank_to_null, cik, cik_raw, country, detail_text, empty, lookup, starts_any, strip, ticker, upper_key,
 )
-from capsieve.operators.keyed import fill_missing, first_per_key, last_per_key, text_parts, top_rows
+from capsieve.operators.keyed import cells_by_part, fill_missing, first_per_key, last_per_key, top_rows
 from capsieve.rules import RULES, Rules
+from capsieve.session import stored_once
 
 AsOf = dt.date | str | Column
 
@@ -203,44 +204,72 @@ def fda_line(pieces: Sequence[str] = ("EventType", "Product", "URL")) -> Column:
     return F.concat_ws(" | ", blank_to_null(iso("DecisionDate")), *[blank_to_null(strip(p)) for p in pieces])
 
 
-def evidence(df: DataFrame, line: Column, date: str, url: str, ordinal: str, summary: str, links: str,
-             lines_per_part: int | None = None) -> DataFrame:
-    """Evidence cells per CIK, newest first: all lines, and all distinct links first-seen."""
-    size = {} if lines_per_part is None else {"lines_per_part": lines_per_part}
-    rows = df.where(F.col("CIK").isNotNull()).withColumn("__line", line)
-    text = text_parts(rows.where("__line != ''"), ["CIK"], ordinal, "__line", summary, date, **size)
-    seen = rows.withColumn("__url", strip(F.col(url))).where("__url != ''").withColumn("__at", F.col(ordinal))
-    seen = top_rows(seen, ["CIK", "__url"], [F.desc_nulls_last(date), F.asc(ordinal)])
-    urls = text_parts(seen, ["CIK"], ordinal, "__url", links, date, **size)
-    return text.join(urls, ["CIK", "EvidencePart"], "full")
+def evidence_lines(df: DataFrame, line: Column, date: str, url: str, ordinal: str, summary: str, links: str) -> DataFrame:
+    """``(CIK, Cell, Day, Seq, Text, Form)``: evidence as a long table, one row per line and per distinct link.
 
+    `Cell` names the cell that a row is printed in. A link stands where it is seen first, newest day first. One pass: a
+    window per (CIK, link) marks the first row of each link.
+    """
+    rows = df.where(F.col("CIK").isNotNull()).select(
+        "CIK", F.col(date).alias("Day"), F.col(ordinal).alias("Seq"), line.alias("__line"), strip(F.col(url)).alias("__url"),
+        (upper_key("Form") if "Form" in df.columns else empty()).alias("Form"))
+    # rows without a link need not meet each other
+    apart = F.when(F.coalesce("__url", empty()) == "", F.col("Seq"))
+    first = Window.partitionBy("CIK", "__url", apart).orderBy(F.desc_nulls_last("Day"), F.asc("Seq"))
+    rows = rows.withColumn("__first", (F.row_number().over(first) == 1) & (F.col("__url") != ""))
+    both = F.array(F.struct(F.lit(summary).alias("Cell"), F.col("__line").alias("Text")),
+                   F.struct(F.lit(links).alias("Cell"), F.when(F.col("__first"), F.col("__url")).alias("Text")))
+    return rows.select("CIK", F.inline(both), "Day", "Seq", "Form").where(F.coalesce("Text", empty()) != "")
 
-def hydrate(profiles: DataFrame, latest_prices: DataFrame, filings: DataFrame, fda: DataFrame | None = None,
-            ordinal: str = "ord", undated: str = "last", lines_per_part: int | None = None) -> DataFrame:
-    """One row per ticker and evidence part: profile, latest price, filing and clearance, evidence cells.
 
-    Nearly every ticker has the single part 0. See :func:`keyed.text_parts`.
-    """
+FILING_CELLS = ("FilingsSummary", "FilingURLsAll")
+FDA_CELLS = ("FDA_Summary", "FDA_URLsAll")
+
+
+def company_evidence(filings: DataFrame, fda: DataFrame | None = None, ordinal: str = "ord") -> DataFrame:
+    """:func:`evidence_lines` of filings and clearances."""
+    rows = evidence_lines(filings, filing_line(filings), "FiledAt", "URL", ordinal, *FILING_CELLS)
+    if fda is not None:
+        rows = rows.unionByName(evidence_lines(fda, fda_line(), "DecisionDate", "URL", ordinal, *FDA_CELLS))
+    return rows
+
+
+def hydrate_core(profiles: DataFrame, latest_prices: DataFrame, filings: DataFrame, fda: DataFrame | None = None,
+                 ordinal: str = "ord", undated: str = "last") -> DataFrame:
+    """One row per ticker: profile, latest price, filing and clearance. All gates decide on these columns."""
     out = profiles.withColumns({"Ticker": strip("Ticker"), "CIK": cik_raw("CIK")}).where("Ticker != ''")
     out = out.join(latest_prices, "Ticker", "left")
     last = latest_per_cik(filings, "FiledAt", ordinal, undated).select(
         "CIK", F.col("Form").alias("LatestForm"), "FiledAt", F.col("URL").alias("FilingURL"))
     out = out.join(last, "CIK", "left")
-    cells = evidence(filings, filing_line(filings), "FiledAt", "URL", ordinal, "FilingsSummary", "FilingURLsAll",
-                     lines_per_part)
     if fda is None:
-        nothing = ["FDA_EventType", "FDA_URL", "FDA_Summary", "FDA_URLsAll"]
-        out = out.withColumns({c: F.lit(None).cast("string") for c in nothing})
+        out = out.withColumns({c: F.lit(None).cast("string") for c in ("FDA_EventType", "FDA_URL")})
         out = out.withColumn("FDA_Date", F.lit(None).cast("date"))
     else:
         event = latest_per_cik(fda, "DecisionDate", ordinal, undated).select(
             "CIK", F.col("EventType").alias("FDA_EventType"), F.col("DecisionDate").alias("FDA_Date"),
             F.col("URL").alias("FDA_URL"))
         out = out.join(event, "CIK", "left")
-        cells = cells.join(
-            evidence(fda, fda_line(), "DecisionDate", "URL", ordinal, "FDA_Summary", "FDA_URLsAll", lines_per_part),
-            ["CIK", "EvidencePart"], "full")
-    out = out.join(cells, "CIK", "left").withColumn("EvidencePart", F.coalesce("EvidencePart", F.lit(0)))
+    return out.select(
+        "Ticker", "Company", "Sector", "CIK", "MarketCap", "PriceDate", "Close", "ADV20", "LatestForm", "FiledAt", "FilingURL",
+        "FDA_EventType", "FDA_Date", "FDA_URL")
+
+
+def hydrate(profiles: DataFrame, latest_prices: DataFrame, filings: DataFrame, fda: DataFrame | None = None,
+            ordinal: str = "ord", undated: str = "last", lines_per_part: int | None = None) -> DataFrame:
+    """:func:`hydrate_core` with the evidence cells: one row per ticker and evidence part.
+
+    Nearly every ticker has the single part 0. See :func:`keyed.text_parts`.
+    """
+    core = hydrate_core(profiles, latest_prices, filings, fda, ordinal, undated)
+    return with_evidence(core, company_evidence(filings, fda, ordinal), lines_per_part)
+
+
+def with_evidence(core: DataFrame, lines: DataFrame, lines_per_part: int | None = None) -> DataFrame:
+    """The printed form of hydrated rows: evidence cells beside every row, in parts."""
+    stored = stored_once(lines, "evidence-lines")
+    cells = cells_by_part(stored, ["CIK"], "Cell", (*FILING_CELLS, *FDA_CELLS), "Seq", "Text", "Day", lines_per_part)
+    out = core.join(cells, "CIK", "left").withColumn("EvidencePart", F.coalesce("EvidencePart", F.lit(0)))
     return out.select(
         "Ticker", "EvidencePart", "Company", "Sector", "CIK", "MarketCap", "PriceDate", "Close", "ADV20",
         "LatestForm", "FiledAt", "FilingURL", "FilingsSummary", "FilingURLsAll",

@@ -6,7 +6,7 @@ Two rules keep them safe for keys that hold a large share of all rows:
   rank. Spark turns that into a per-task group limit *before* the shuffle, so a
   hot key sends at most ``n`` rows per map task.
 * lists per key are cut into parts of at most twice a given number of lines
-  (:func:`text_parts`). Parts are for printing; decisions are aggregations.
+  (:func:`text_parts`). Parts are for printing; decisions are aggregations over lines, never over parts.
 """
 
 from __future__ import annotations
@@ -135,33 +135,69 @@ def or_key_join(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix:
 
 
 def text_parts(lines: DataFrame, keys: Sequence[str], ordinal: str, text: str, name: str, day: str | None = None,
-               lines_per_part: int = LINES_PER_PART, separator: str = "\n") -> DataFrame:
+               lines_per_part: int = LINES_PER_PART, separator: str = "\n", age: str | None = None) -> DataFrame:
     """Join the lines of each key into cells of bounded length.
 
-    Lines are ordered newest ``day`` first (undated last), then by ``ordinal``,
+    Lines are ordered newest ``day`` first (undated last), or by a number ``age``, then by ``ordinal``,
     which must be unique within a key. Returns ``(*keys, EvidencePart, name)``.
     A key with up to ``lines_per_part`` lines has exactly one cell, part 0. A
     bigger key gets several of at most twice as many lines, and reading the parts
     in order gives the whole text: nothing is cut off.
 
-    Lines are counted in bins of ``lines_per_part`` consecutive ordinals of a day,
-    which cannot hold more lines than that; a part is a run of whole bins. The
-    windows run over the counts only: bins of a (key, day), and days of a key.
+    Lines are counted per key first. Only keys with more lines than a part are counted further, in bins of
+    ``lines_per_part`` consecutive ordinals of a day, which cannot hold more lines than that; a part is a run of whole
+    bins. The windows run over the counts only: bins of a (key, day), and days of a key. Where no key is that long,
+    adaptive execution finds the bins empty and the text is shuffled once.
     """
-    rows = lines.withColumn("__age", F.coalesce(-F.unix_date(day), F.lit(1 << 30)) if day else F.lit(0))
+    order = F.col(age) if age else F.coalesce(-F.unix_date(day), F.lit(1 << 30)) if day else F.lit(0)
+    rows = lines.withColumn("__age", order)
     rows = rows.withColumn("__bin", F.call_function("div", F.col(ordinal), F.lit(lines_per_part)))
-    counts = rows.groupBy(*keys, "__age", "__bin").agg(F.count("*").alias("__n"))
+    long = rows.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > lines_per_part).select(*keys)
+    counts = rows.select(*keys, "__age", "__bin").join(long, list(keys), "left_semi").groupBy(*keys, "__age", "__bin").agg(F.count("*").alias("__n"))
     in_day = Window.partitionBy(*keys, "__age").orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
     in_key = Window.partitionBy(*keys).orderBy("__age").rowsBetween(Window.unboundedPreceding, -1)
     days = counts.groupBy(*keys, "__age").agg(F.sum("__n").alias("__n")).withColumn(
         "__days", F.coalesce(F.sum("__n").over(in_key), F.lit(0))).drop("__n")
     bins = counts.withColumn("__bins", F.coalesce(F.sum("__n").over(in_day), F.lit(0))).drop("__n").join(days, [*keys, "__age"])
-    part = F.floor((F.col("__days") + F.col("__bins")) / F.lit(lines_per_part))
+    part = F.floor((F.col("__days") + F.col("__bins")) / F.lit(lines_per_part)).cast("bigint")
+    bins = bins.select(*keys, "__age", "__bin", part.alias("__part"))
     entry = F.struct(F.col("__age").alias("age"), F.col(ordinal).alias("o"), F.col(text).alias("t"))
     return (
-        rows.join(bins, [*keys, "__age", "__bin"])
-        .groupBy(*keys, part.cast("bigint").alias("EvidencePart"))
+        rows.join(bins, [*keys, "__age", "__bin"], "left")
+        .groupBy(*keys, F.coalesce("__part", F.lit(0)).cast("bigint").alias("EvidencePart"))
         .agg(F.array_sort(F.collect_list(entry)).alias("__cell"))
         .select(*keys, "EvidencePart",
                 F.array_join(F.transform("__cell", lambda x: x["t"]), separator).alias(name))
     )
+
+
+def cells_by_part(lines: DataFrame, keys: Sequence[str], column: str, names: Sequence[str], ordinal: str, text: str,
+                  day: str | None = None, lines_per_part: int | None = None, separators: dict[str, str] | None = None) -> DataFrame:
+    """``(*keys, EvidencePart, *names)``: the lines of several named cells, told apart by ``column``, joined in one pass.
+
+    Cells of a key that are shorter than others have null in the later parts.
+    """
+    size = {} if lines_per_part is None else {"lines_per_part": lines_per_part}
+    mark = "\x1f"
+    found = text_parts(lines, [*keys, column], ordinal, text, "__text", day, separator=mark, **size)
+    cell = {n: F.replace(F.col("__text"), F.lit(mark), F.lit((separators or {}).get(n, "\n"))) for n in names}
+    return found.groupBy(*keys, "EvidencePart").agg(*[F.max(F.when(F.col(column) == n, cell[n])).alias(n) for n in names])
+
+
+def one_row_each(df: DataFrame, cells: Sequence[str]) -> DataFrame:
+    """Rows without their evidence cells and part numbers: what is decided once, however many parts the cells have."""
+    return df.drop("EvidencePart", *cells).distinct()
+
+
+def with_parts(rows: DataFrame, cells: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Cells of all parts beside the row of their key; a row without cells has the single part 0."""
+    renamed = cells.select(*[F.col(k).alias(f"__{k}") for k in keys], "EvidencePart", *columns)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    joined = rows.drop("EvidencePart", *columns).join(renamed, same, "left")
+    return joined.withColumn("EvidencePart", F.coalesce("EvidencePart", F.lit(0))).drop(*[f"__{k}" for k in keys])
+
+
+def with_all_parts(rows: DataFrame, key: str, *tables: tuple[DataFrame, Sequence[str]]) -> DataFrame:
+    """:func:`with_parts` with cells of several tables (key, EvidencePart, cells), whose numbers of parts may differ."""
+    cells = reduce(lambda a, b: a.join(b, [key, "EvidencePart"], "full"), (df.select(key, "EvidencePart", *names).distinct() for df, names in tables))
+    return with_parts(rows, cells, [key], [n for _, names in tables for n in names])

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from capsieve import rules as R
@@ -15,15 +15,18 @@ from capsieve.functions.text import (
 )
 from capsieve.functions.urls import is_primary_source
 from capsieve.operators.events import catalyst_by_form, catalyst_event, primary_event, tier_rank
-from capsieve.operators.evidence import research_dilution
-from capsieve.operators.filings import fda_line, latest_per_cik, within_retention
-from capsieve.operators.keyed import backfill, one_per_key, or_key_join, text_parts, top_rows
+from capsieve.operators.evidence import dilution_line, dilution_notes
+from capsieve.operators.filings import FDA_CELLS, FILING_CELLS, fda_line, latest_per_cik, within_retention
+from capsieve.operators.keyed import backfill, one_per_key, one_row_each, or_key_join, text_parts, top_rows, with_parts
+from capsieve.operators.lines import first_seen, pieces, place_of, placed_cells, split_cells
 from capsieve.operators.runway_rules import text_runway
 from capsieve.rules import RULES, Rules
+from capsieve.session import stored_once
 
 AsOf = dt.date | str | Column
 EXCLUDE = "TBD — exclude"
 NO_VALUE = ("", "nan", "TBD", "Unknown")
+EVIDENCE_CELLS = (*FILING_CELLS, *FDA_CELLS)
 
 
 # ---------------------------------------------------------------- candidate shortlist
@@ -321,7 +324,7 @@ def deep_research(shortlist: DataFrame, filings: DataFrame, events: DataFrame, a
 
 def runway_coverage(research: DataFrame) -> DataFrame:
     """Candidates in total, with a runway number, without one, and with evidence only."""
-    one = research.where("EvidencePart = 0")
+    one = research.select("Ticker", "CIK", "RunwayQuarters", "RunwayEvidencePrimary").distinct()
     has = F.col("RunwayQuarters").isNotNull()
     return one.agg(
         F.count("*").alias("Total"), F.count_if(has).alias("WithQuarters"), F.count_if(~has).alias("Missing"),
@@ -338,14 +341,23 @@ def _has(df: DataFrame, name: str) -> Column:
 
 
 def validate(df: DataFrame) -> DataFrame:
-    """Re-check the research row; adds Status and Reason (null and blank count as absent)."""
+    """Re-check the research row; adds Status and Reason (null and blank count as absent).
+
+    Evidence counts for a candidate in whichever part of its cells it stands, so all parts get the same verdict.
+    """
+    candidate = Window.partitionBy("Ticker", "CIK")
+
+    def shown(name: str) -> Column:
+        here = _has(df, name)
+        return F.max(here).over(candidate) if "EvidencePart" in df.columns and name in df.columns else here
+
     def first(*names: str) -> Column:
         found = [F.col(f"`{n}`").cast("string") for n in names if n in df.columns]
         return F.coalesce(*found, empty())
 
-    dilution = (_has(df, "Dilution") | _has(df, "DilutionScore")) & _has(df, "DilutionEvidencePrimary")
-    runway = (_has(df, "RunwayQuarters") | _has(df, "Runway (qtrs)")) & _has(df, "RunwayEvidencePrimary")
-    catalyst = (_has(df, "Catalyst") | _has(df, "CatalystScore")) & _has(df, "CatalystEvidencePrimary")
+    dilution = (_has(df, "Dilution") | _has(df, "DilutionScore")) & shown("DilutionEvidencePrimary")
+    runway = (_has(df, "RunwayQuarters") | _has(df, "Runway (qtrs)")) & shown("RunwayEvidencePrimary")
+    catalyst = (_has(df, "Catalyst") | _has(df, "CatalystScore")) & shown("CatalystEvidencePrimary")
     count = F.coalesce(first("Subscores Evidenced (x/5)", "SubscoresEvidencedCount").try_cast("int"), F.lit(0))
     material = materiality_passed(first("Materiality (pass/fail + note)", "Materiality"))
     peer = ~F.upper(strip(first("BiotechPeerRead", "Biotech Peer Read-Through (Y/N + link)"))).startswith("TBD")
@@ -368,17 +380,19 @@ def complete_research(research: DataFrame, universe: DataFrame, shortlist: DataF
 
 
 def validated_selections(checked: DataFrame) -> DataFrame:
-    """Report of the validated candidates."""
+    """Report of the validated candidates; a candidate whose cells continue has a row for each part."""
     def first(*names: str) -> Column:
         found = [F.col(f"`{n}`") for n in names if n in checked.columns]
         return F.coalesce(*found) if found else F.lit(None).cast("string")
 
+    parts = "EvidencePart" in checked.columns
+    in_order = Window.partitionBy("Ticker", "CIK").orderBy("EvidencePart").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
     def first_link(cell: str, other: str) -> Column:
-        return F.coalesce(blank_to_null(F.split(first(cell).cast("string"), ";")[0]), first(other))
+        link = blank_to_null(F.split(first(cell).cast("string"), ";")[0])
+        return F.coalesce(F.first(link, ignorenulls=True).over(in_order) if parts else link, first(other))
 
     rows = checked.where("Status = 'Validated'")
-    if "EvidencePart" in checked.columns:
-        rows = rows.where("EvidencePart = 0")
     return rows.select(
         "Ticker", "Company", "CIK", first("Sector").alias("Sector"), first("Industry").alias("Industry"),
         first("Venue", "Exchange").alias("Venue") if "Venue" in checked.columns else F.lit(None).cast("string").alias("Venue"),
@@ -399,16 +413,15 @@ def validated_selections(checked: DataFrame) -> DataFrame:
         first("PrimaryCatalystType").alias("PrimaryCatalystType"),
         first_link("Evidence (Primary links)", "RunwayEvidencePrimary").alias("PrimarySource"),
         first_link("Evidence (Secondary links)", "EvidenceSecondary").alias("SecondarySource"),
-        "Status", F.col("Status").alias("ValidationStatus"))
+        "Status", F.col("Status").alias("ValidationStatus"), *(["EvidencePart"] if parts else []))
 
 
 def exclusions(checked: DataFrame) -> DataFrame:
     """Report of the rejected candidates and why."""
     rows = checked.where("Status <> 'Validated'")
-    if "EvidencePart" in checked.columns:
-        rows = rows.where("EvidencePart = 0")
     names = ("Ticker", "Company", "CIK", "Sector", "Industry", "Reason", "Materiality", "Status")
-    return rows.select([(F.col(n) if n in checked.columns else F.lit(None).cast("string")).alias(n) for n in names])
+    report = rows.select([(F.col(n) if n in checked.columns else F.lit(None).cast("string")).alias(n) for n in names])
+    return report.distinct() if "EvidencePart" in checked.columns else report
 
 
 def reason_counts(excluded: DataFrame) -> DataFrame:
@@ -417,32 +430,61 @@ def reason_counts(excluded: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- older research tables
 
+BUNDLE_CELLS = ("CatalystEvidencePrimaryLinks", "DilutionLinks", "FilingsSummary", "FilingURLsAll", "FDA_URLsAll", "FDA_Summary")
+
+
 def research_bundle(hydrated: DataFrame) -> DataFrame:
-    """Catalyst choice, link union and dilution reading of hydrated rows."""
+    """Catalyst choice, link union and dilution reading of hydrated rows (with evidence cells, in any number of parts)."""
+    key = hydrated.withColumn("Ticker", clean_text("Ticker"))
+    return bundle(one_row_each(key, EVIDENCE_CELLS), split_cells(key, ["Ticker"], EVIDENCE_CELLS), "Ticker")
+
+
+def bundle(core: DataFrame, lines: DataFrame, key: str = "CIK", lines_per_part: int | None = None) -> DataFrame:
+    """:func:`research_bundle` from core rows and evidence lines ``(key, Cell, place, Text)``.
+
+    Flag, forms and notes are aggregates over all lines of a company. The cells, which may continue over several rows
+    (EvidencePart), are made last.
+    """
     def text(name: str) -> Column:
-        return clean_text(F.col(name).cast("string")) if name in hydrated.columns else empty()
+        return clean_text(F.col(name).cast("string")) if name in core.columns else empty()
 
     fda = text("FDA_EventType")
     primary = F.when(fda != "", text("FDA_URL")).otherwise(text("FilingURL"))
-    fda_urls, filing_urls = split_evidence(text("FDA_URLsAll")), split_evidence(text("FilingURLsAll"))
-    links = F.array_distinct(F.filter(F.concat(F.array(primary), fda_urls, filing_urls), lambda x: x != ""))
-    rows = hydrated.withColumn("__d", research_dilution(text("FilingsSummary")))
+    lines = stored_once(lines.select(key, "Cell", "place", "Text"), "bundle-lines")
+    summary = lines.where("Cell = 'FilingsSummary'").select(key, "place", F.explode(pieces(F.col("Text"))).alias("Text")).where("lower(Text) <> 'nan'")
+    hits = summary.select(key, "place", dilution_line(F.col("Text")).alias("d")).where("d.hit").select(key, "place", "d.form", "d.link")
+    forms = hits.where("form <> ''").groupBy(key, "form").agg(F.min("place").alias("place"))
+    forms = forms.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "form"))), lambda x: x["form"]).alias("__forms"))
+
+    # links: the primary one, then clearances, then filings, each once; a cell's lines keep their order
+    def moved(cell: str, rank: int) -> DataFrame:
+        at = F.struct((F.col("place.a") + F.lit(rank << 40)).alias("a"), F.col("place.b").alias("b"))
+        return lines.where(F.col("Cell") == cell).select(key, at.alias("place"), F.explode(split_evidence("Text")).alias("Text"))
+
+    first = core.select(key, F.struct(F.lit(0).cast("bigint").alias("a"), F.lit(0).cast("bigint").alias("b")).alias("place"), primary.alias("Text"))
+    union = first.where("Text <> ''").unionByName(moved("FDA_URLsAll", 1)).unionByName(moved("FilingURLsAll", 2))
+    links = union.withColumn("Cell", F.lit(BUNDLE_CELLS[0])).unionByName(
+        hits.where("link <> ''").select(key, "place", F.col("link").alias("Text"), F.lit("DilutionLinks").alias("Cell")))
+    printed = first_seen(links, [key]).unionByName(lines.select(key, "Cell", "Text", "place"))
+    cells = placed_cells(printed, [key], BUNDLE_CELLS, {"FilingsSummary": "\n", "FDA_Summary": "\n"}, lines_per_part)
+
+    rows = with_parts(core.join(forms, key, "left"), cells, [key], BUNDLE_CELLS)
+    none = F.coalesce("__forms", F.array().cast("array<string>"))
+    cell = {c: F.coalesce(c, empty()).alias(c) for c in BUNDLE_CELLS}
     return rows.select(
-        text("Ticker").alias("Ticker"), *(["EvidencePart"] if "EvidencePart" in hydrated.columns else []),
+        text("Ticker").alias("Ticker"), "EvidencePart",
         text("Company").alias("Company"), text("CIK").alias("CIK"), text("Sector").alias("Sector"),
         catalyst_by_form(text("LatestForm"), fda).alias("CatalystType"),
         first_nonblank(text("FDA_Date"), text("FiledAt")).alias("CatalystDate"),
-        primary.alias("CatalystPrimaryLink"), F.array_join(links, "; ").alias("CatalystEvidencePrimaryLinks"),
+        primary.alias("CatalystPrimaryLink"), cell["CatalystEvidencePrimaryLinks"],
         empty().alias("CatalystEvidenceSecondaryLinks"),
-        F.when(F.col("__d.flag"), "TRUE").otherwise("FALSE").alias("HasDilutionFlag"),
-        F.array_join("__d.forms", "; ").alias("DilutionForms"), F.array_join("__d.links", "; ").alias("DilutionLinks"),
-        F.col("__d.notes").alias("DilutionNotes"),
+        F.when(F.size(none) > 0, "TRUE").otherwise("FALSE").alias("HasDilutionFlag"),
+        F.array_join(none, "; ").alias("DilutionForms"), cell["DilutionLinks"], dilution_notes(none).alias("DilutionNotes"),
         *[empty().alias(c) for c in ("RunwayCash", "RunwayQuarterlyBurn", "RunwayQuarters")],
         F.lit("TODO: parse 10-Q/10-K to compute runway").alias("RunwayNotes"),  # fixed value: the next step fills it
         text("LatestForm").alias("LatestForm"), text("FiledAt").alias("FiledAt"), text("FilingURL").alias("FilingURL"),
-        text("FilingsSummary").alias("FilingsSummary"), F.array_join(filing_urls, "; ").alias("FilingURLsAll"),
-        fda.alias("FDA_EventType"), text("FDA_Date").alias("FDA_Date"), text("FDA_URL").alias("FDA_URL"),
-        F.array_join(fda_urls, "; ").alias("FDA_URLsAll"), text("FDA_Summary").alias("FDA_Summary"))
+        cell["FilingsSummary"], cell["FilingURLsAll"], fda.alias("FDA_EventType"), text("FDA_Date").alias("FDA_Date"),
+        text("FDA_URL").alias("FDA_URL"), cell["FDA_URLsAll"], cell["FDA_Summary"])
 
 
 _CATEGORIES = {
@@ -450,10 +492,11 @@ _CATEGORIES = {
     "Governance": R.CATEGORY_GOVERNANCE, "Insider": R.CATEGORY_INSIDER,
 }
 
+CATEGORIES = tuple(_CATEGORIES)
 
-def category_evidence(filings: DataFrame, as_of: AsOf, ordinal: str = "ord", rules: Rules = RULES,
-                      lines_per_part: int | None = None) -> DataFrame:
-    """Per CIK and part: the filings of each category as ``date form link`` lists, newest first.
+
+def category_lines(filings: DataFrame, as_of: AsOf, ordinal: str = "ord", rules: Rules = RULES) -> DataFrame:
+    """``(CIK, Cell, place, Text)``: the filings of each category as ``date form link`` lines.
 
     Repeated texts are listed once, except for catalysts.
     """
@@ -462,14 +505,16 @@ def category_evidence(filings: DataFrame, as_of: AsOf, ordinal: str = "ord", rul
     hits = F.array_compact(F.array(*[F.when(starts_any(form, p), n) for n, p in _CATEGORIES.items()]))
     line = F.concat_ws(" ", iso("FiledAt"), form, blank_to_null(strip("URL")))
     rows = recent.select(
-        cik("CIK").alias("CIK"), "FiledAt", ordinal, line.alias("__line"), F.explode(hits).alias("__cat"))
+        cik("CIK").alias("CIK"), place_of("FiledAt", ordinal).alias("place"), line.alias("Text"), F.explode(hits).alias("Cell"))
     rows = rows.where("CIK != ''")
-    once = top_rows(rows.where("__cat <> 'Catalyst'"), ["CIK", "__cat", "__line"], [F.asc(ordinal)])
-    rows = once.unionByName(rows.where("__cat = 'Catalyst'"))
-    size = {} if lines_per_part is None else {"lines_per_part": lines_per_part}
-    cells = text_parts(rows, ["CIK", "__cat"], ordinal, "__line", "__cell", "FiledAt", separator="; ", **size)
-    return cells.groupBy("CIK", "EvidencePart").agg(
-        *[F.max(F.when(F.col("__cat") == n, F.col("__cell"))).alias(n) for n in _CATEGORIES])
+    once = first_seen(rows.where("Cell <> 'Catalyst'"), ["CIK"])
+    return once.unionByName(rows.where("Cell = 'Catalyst'"))
+
+
+def category_evidence(filings: DataFrame, as_of: AsOf, ordinal: str = "ord", rules: Rules = RULES,
+                      lines_per_part: int | None = None) -> DataFrame:
+    """:func:`category_lines` as cells per CIK and part, newest first."""
+    return placed_cells(category_lines(filings, as_of, ordinal, rules), ["CIK"], tuple(_CATEGORIES), None, lines_per_part)
 
 
 def legacy_materiality(catalyst: Column, dilution: Column, governance: Column) -> Column:
@@ -527,10 +572,12 @@ def populate_research(research: DataFrame, filings: DataFrame, as_of: AsOf, fda:
                       lines_per_part: int | None = None) -> DataFrame:
     """Category evidence, materiality, subscores and status of the older research table.
 
-    One row per input row and evidence part; ordinary companies have part 0 only.
+    `research` has one row per company; what is decided comes from the lines of all its filings. The result has one row per
+    company and part of its category cells; ordinary companies have part 0 only.
     """
-    cells = category_evidence(filings, as_of, ordinal, rules, lines_per_part)
-    flags = cells.groupBy("CIK").agg(*[F.bool_or(F.col(n).isNotNull()).alias(f"__has_{n}") for n in _CATEGORIES])
+    lines = stored_once(category_lines(filings, as_of, ordinal, rules), "category-lines")
+    cells = placed_cells(lines, ["CIK"], tuple(_CATEGORIES), None, lines_per_part)
+    flags = lines.groupBy("CIK").agg(*[F.bool_or(F.col("Cell") == n).alias(f"__has_{n}") for n in _CATEGORIES])
     base = research.drop(*[c for c in (*_CATEGORIES, "EvidencePart") if c in research.columns])
     out = with_manual_scores(base, manual, ordinal=ordinal) if manual else base.withColumns(
         {f"seed_{c}": F.lit(None).cast("string") for c in SCORE_COLUMNS})

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from capsieve import rules as R
@@ -12,12 +12,14 @@ from capsieve.functions.dates import age_days, as_date, is_iso, iso, parse_date
 from capsieve.functions.forms import form_name, is_manager_form
 from capsieve.functions.text import (
     blank_to_null, cik, clean_text, contains_any, empty, first_nonblank, first_url, to_bool, to_number,
+    urls_in,
 )
 from capsieve.functions.urls import url_matches_form
 from capsieve.operators import evidence as ev
-from capsieve.operators.events import candidate_links, catalyst_label, match_events, tier1_trigger
+from capsieve.operators.events import catalyst_label, match_events, tier1_trigger
 from capsieve.operators.gates import watchlist_market_gate
-from capsieve.operators.keyed import evaluate_once
+from capsieve.operators.keyed import evaluate_once, one_row_each
+from capsieve.operators.lines import deciding_cells, full_lists, split_cells
 from capsieve.operators.market import merge_market
 from capsieve.operators.runway_rules import bucket, runway_days
 from capsieve.rules import RULES, Rules
@@ -59,25 +61,91 @@ def event_text(event: Column) -> Column:
     return F.when(F.coalesce(event["IsCatalyst"], F.lit(False)), label).otherwise("")
 
 
+#: Cells that may continue in later parts, the ones that verdicts are read from, and those whose links lead to events.
+CELLS = ("Catalyst", "Dilution", "Governance", "Insider", "Ownership", "FilingsSummary", "FilingURLsAll", "FDA_URLsAll", "FDA_Summary",
+         "CatalystEvidencePrimaryLinks", "DilutionLinks", "RunwayNotes")
+DECIDING = ("Catalyst", "Dilution", "Governance", "FilingsSummary")
+LINKED = ("CatalystPrimaryLink", "CatalystPrimaryURL", "Catalyst", "Dilution", "DilutionLinks", "FilingsSummary")
+
+
+def _of(df: DataFrame, name: str) -> Column:
+    return clean_text(F.col(name), ("nan",)) if name in df.columns else empty()
+
+
+def _one_row_each(research: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One row per company, and the rows of those whose cells continue.
+
+    A company with continued cells is judged on the lines that can decide (:func:`lines.deciding_lines`), taken from all
+    its parts; its other cells are those of the first part.
+    """
+    more = research.where("EvidencePart > 0").select("__row").distinct()
+    long = research.join(more, "__row", "left_semi")
+    held = [c for c in CELLS if c in research.columns]
+    few = deciding_cells(split_cells(long, ["__row"], DECIDING), ["__row"], [c for c in DECIDING if c in held])
+    rest = [c for c in held if c not in DECIDING]
+    first = long.groupBy("__row").agg(F.min("EvidencePart").alias("__p"), *[F.min_by(c, "EvidencePart").alias(c) for c in rest]).drop("__p")
+    core = one_row_each(long, held).join(few, "__row", "left").join(first, "__row", "left")
+    short = research.join(more, "__row", "left_anti").drop("EvidencePart")
+    return short.unionByName(core), long
+
+
+def _continued(checked: DataFrame, long: DataFrame) -> DataFrame:
+    """Verdicts with the whole lists of evidence again: a row for each part of a company's cells."""
+    own = long.select("__row", "EvidencePart", *[_of(long, c).alias(f"__{c}") for c in ("Dilution", "Governance", "Insider", "Ownership", "RunwayNotes")])
+    lists = full_lists(split_cells(long, ["__row"], ("Dilution", "Governance")), ["__row"], {"Dilution": "__dil", "Governance": "__gov"})
+    parts = own.join(lists, ["__row", "EvidencePart"], "full")
+    whole = Window.partitionBy("__row")
+    parts = parts.withColumns({
+        "__dil": F.when(F.max("__dil").over(whole).isNull(), F.col("__Dilution")).otherwise(F.col("__dil")),
+        "__gov": F.when(F.max("__gov").over(whole).isNull(), F.col("__Governance")).otherwise(F.col("__gov"))})
+    out = checked.join(parts, "__row", "left")
+    later, has = F.coalesce(F.col("EvidencePart") > 0, F.lit(False)), F.col("EvidencePart").isNotNull()
+
+    def shown(name: str, value: Column) -> Column:
+        return F.when(has, F.coalesce(value, empty())).otherwise(F.col(name))
+
+    cells = {
+        "DilutionEvidenceAll": F.when(F.col("__on_dilution"), F.when(later, empty()).otherwise(F.col("DilutionEvidenceAll"))).otherwise(
+            shown("DilutionEvidenceAll", F.col("__dil"))),
+        "GovernanceEvidenceAll": shown("GovernanceEvidenceAll", F.col("__gov")), "RunwayNotes": shown("RunwayNotes", F.col("__RunwayNotes")),
+        "Insider": shown("Insider", F.col("__Insider")), "Ownership": shown("Ownership", F.col("__Ownership")),
+        "InsiderForms345Links": shown("InsiderForms345Links", F.array_join(ev.links_like("__Insider", R.INSIDER_LINK), "; ")),
+        "OwnershipLinks": shown("OwnershipLinks", F.array_join(ev.links_like("__Ownership", R.OWNERSHIP_LINK), "; ")),
+        "EvidencePart": F.coalesce("EvidencePart", F.lit(0))}
+    return out.withColumns(cells).select("EvidencePart", *checked.columns)
+
+
 def check_research(research: DataFrame, market: DataFrame, events: DataFrame, as_of: AsOf, rules: Rules = RULES,
                    ordinal: str = "ord") -> DataFrame:
     """Every research row with its report columns and ``DropReason`` ('' for survivors).
 
-    Apart from the look-ups of market data and events everything is row-local.
+    A company gets one verdict however many parts its evidence cells have (EvidencePart): every part shows the same verdict, and
+    its parts together list all evidence. Companies are told apart by Ticker and CIK.
     """
+    keyed = research.withColumn("__row", F.concat_ws("|", F.coalesce("Ticker", empty()), F.coalesce("CIK", empty())))
+    order = F.array(*[urls_in(_of(keyed, c)) for c in LINKED])
+    part = F.col("EvidencePart") if "EvidencePart" in keyed.columns else F.lit(0)
+    links = keyed.select("__row", part.cast("bigint").alias("__part"), F.posexplode(order).alias("__cell", "__urls"))
+    links = links.select("__row", "__part", "__cell", F.posexplode("__urls").alias("__i", "link"))
+    links = links.select("__row", F.struct("__cell", "__part", "__i").alias("pos"), "link")
+    if "EvidencePart" not in keyed.columns:
+        return _judge(keyed, links, market, events, as_of, rules, ordinal).drop("__row", "__on_dilution")
+    rows, long = _one_row_each(keyed)
+    checked = _continued(_judge(rows, links, market, events, as_of, rules, ordinal), long)
+    return checked.drop("__row", "__on_dilution")
+
+
+def _judge(research: DataFrame, links: DataFrame, market: DataFrame, events: DataFrame, as_of: AsOf, rules: Rules, ordinal: str) -> DataFrame:
+    """Verdicts of rows with one row per company. Apart from the look-ups of market data and events everything is row-local."""
     given = set(research.columns)
 
     def text(name: str) -> Column:
-        return clean_text(F.col(name), ("nan",)) if name in given else empty()
+        return _of(research, name)
 
     def number(name: str) -> Column:
         return to_number(name) if name in given else F.lit(None).cast("double")
 
-    rows = research.withColumn("__row", F.concat_ws(
-        "|", "Ticker", "CIK", F.col("EvidencePart").cast("string") if "EvidencePart" in given else F.lit("0")))
-    rows = merge_market(rows, market, ordinal)
-    links = candidate_links(*[text(c) for c in (
-        "CatalystPrimaryLink", "CatalystPrimaryURL", "Catalyst", "Dilution", "DilutionLinks", "FilingsSummary")])
+    rows = merge_market(research, market, ordinal)
     rows = match_events(rows, events, "__row", links, ordinal)
     event = F.col("event")
     on_catalyst = F.coalesce(event["IsCatalyst"], F.lit(False))
@@ -193,7 +261,7 @@ def check_research(research: DataFrame, market: DataFrame, events: DataFrame, as
     keep = F.col("has_runway")
     blank = empty()
     checked = rows.select(
-        "Ticker", *(["EvidencePart"] if "EvidencePart" in given else []),
+        "__row", on_dilution.alias("__on_dilution"), "Ticker",
         text("Company").alias("Company"), text("Sector").alias("Sector"), cik("CIK").alias("CIK"), "Price", "MarketCap", "ADV20",
         latest_form.alias("LatestForm"), iso(latest_date).alias("LatestFiledAt"),
         F.coalesce(age_days(as_of, latest_date).cast("string"), blank).alias("LatestFiledAgeDays"),
@@ -231,10 +299,12 @@ def check_research(research: DataFrame, market: DataFrame, events: DataFrame, as
 
 
 def watchlist(checked: DataFrame) -> DataFrame:
-    """Survivors with the report columns."""
+    """Survivors with the report columns; a company whose cells continue has a row for each part."""
     part = ["EvidencePart"] if "EvidencePart" in checked.columns else []
     return checked.where("DropReason = ''").select(*COLUMNS, *part)
 
 
 def drop_counts(checked: DataFrame) -> DataFrame:
-    return checked.where("DropReason <> ''").groupBy("DropReason").agg(F.count("*").alias("Rows"))
+    """Companies per reason, each once."""
+    dropped = checked.where("DropReason <> ''").select("Ticker", "CIK", "DropReason")
+    return (dropped.distinct() if "EvidencePart" in checked.columns else dropped).groupBy("DropReason").agg(F.count("*").alias("Rows"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from capsieve.operators import events as evt
 from capsieve.operators import filings as fil
 from capsieve.operators import gates, market, resolution, runway, scoring, watchlist
+from capsieve.operators.keyed import one_row_each, with_all_parts
 from capsieve.rules import RULES, Rules
 from capsieve.schemas import schema
 from capsieve.sources.tables import (
@@ -46,6 +47,11 @@ class Run:
         return self.read(name) if table_exists(self.spark, self.folder, name) else None
 
 
+def ordered(df: DataFrame, ordinal: str) -> DataFrame:
+    """A tie-break that depends on a row's content alone, not on how the table's files are laid out."""
+    return df.withColumn(ordinal, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+
+
 def profiles_stage(run: Run, profiles: DataFrame, quotes: DataFrame, ordinal: str = "ord") -> None:
     """01_profiles: complete, gated companies with a usable quote."""
     listed = gates.universe_gate(gates.complete_rows(profiles), run.rules)
@@ -55,7 +61,7 @@ def profiles_stage(run: Run, profiles: DataFrame, quotes: DataFrame, ordinal: st
 
 def filings_stage(run: Run, filings: DataFrame, texts: DataFrame | None = None, ordinal: str = "ord") -> None:
     """02_filings and 01_universe_gated: repaired, covered filings with age and runway, and the companies having them."""
-    profiles = run.read("01_profiles", "Ticker", "CIK").withColumn(ordinal, F.monotonically_increasing_id())
+    profiles = ordered(run.read("01_profiles", "Ticker", "CIK"), ordinal)
     kept = fil.purge(fil.fill_ticker(filings, profiles, ordinal), run.as_of, run.rules)
     gate = fil.coverage(kept, profiles)
     rows = fil.with_age(fil.fill_company(fil.keep_eligible(kept, gate), profiles, ordinal), run.as_of)
@@ -93,16 +99,15 @@ def hydrate_stage(run: Run, ordinal: str = "ord") -> None:
     run.write(fil.hydrate(universe, latest, run.read("02_filings"), run.maybe("04_fda"), ordinal), "05_hydrated_candidates")
     hydrated = run.read("05_hydrated_candidates")
     run.write(gates.shortlist_gate(hydrated, run.rules), "06_shortlist_candidates")
-    first = F.col("EvidencePart") == 0
-    events = run.read("09_events").withColumn(ordinal, F.monotonically_increasing_id())
-    run.write(scoring.candidate_shortlist(
-        universe, events, hydrated.where(first), run.read("06_shortlist_candidates").where(first), ordinal, run.rules), "20_candidate_shortlist")
+    one = [one_row_each(t, scoring.EVIDENCE_CELLS) for t in (hydrated, run.read("06_shortlist_candidates"))]
+    events = ordered(run.read("09_events"), ordinal)
+    run.write(scoring.candidate_shortlist(universe, events, *one, ordinal, run.rules), "20_candidate_shortlist")
 
 
 def research_stage(run: Run, texts: DataFrame | None = None, peers: DataFrame | None = None, ordinal: str = "ord") -> None:
     """30_deep_research."""
     shortlist = run.read("20_candidate_shortlist", "Ticker", "Company", "CIK")
-    events = run.read("09_events").withColumn(ordinal, F.monotonically_increasing_id())
+    events = ordered(run.read("09_events"), ordinal)
     run.write(scoring.deep_research(shortlist, run.read("02_filings"), events, run.as_of, ordinal, texts, peers), "30_deep_research")
 
 
@@ -172,18 +177,21 @@ def legacy(run: Run, results: DataFrame | None = None, start_stage: str = "bundl
     if "runway" in stages:
         if results is None:
             results = resolution.first_results(run.read("02_filings"), sources or landed(run), ordinal)
-        # evidence parts are rows of the same company; the runway is chosen once per company
+        # verdicts are made once per company; cells of all parts are put beside them again
         bundle = run.read("07_deep_research_results")
-        first = bundle.where("EvidencePart = 0").drop("EvidencePart") if "EvidencePart" in bundle.columns else bundle
-        run.write(runway.extract_runway(first, run.read("02_filings"), results, run.as_of, ordinal).where("EvidencePart = 0"),
+        found = runway.extract_runway(one_row_each(bundle, scoring.BUNDLE_CELLS), run.read("02_filings"), results, run.as_of, ordinal)
+        run.write(with_all_parts(one_row_each(found, ["RunwayNotes"]), "Ticker", (bundle, scoring.BUNDLE_CELLS), (found, ["RunwayNotes"])),
                   "08_runway_extract_results")
     if "populate" in stages:
-        run.write(scoring.populate_research(run.read("08_runway_extract_results"), run.read("02_filings"), run.as_of,
-                                            run.maybe("04_fda"), ordinal=ordinal, rules=run.rules), "10_dr_populate_results")
+        research, cells = run.read("08_runway_extract_results"), (*scoring.BUNDLE_CELLS, "RunwayNotes")
+        found = scoring.populate_research(one_row_each(research, cells), run.read("02_filings"), run.as_of, run.maybe("04_fda"),
+                                          ordinal=ordinal, rules=run.rules)
+        own = scoring.CATEGORIES
+        run.write(with_all_parts(one_row_each(found, own), "Ticker", (research, cells), (found, own)), "10_dr_populate_results")
     prices = market.latest_with_adv(run.read("03_prices"), rows=run.rules.adv_rows)
-    hydrated = run.read("05_hydrated_candidates").where("EvidencePart = 0")
-    table = market.market_table(hydrated).unionByName(market.market_table(prices)).withColumn(ordinal, F.monotonically_increasing_id())
-    events = run.read("09_8k_events").withColumn(ordinal, F.monotonically_increasing_id())
+    hydrated = one_row_each(run.read("05_hydrated_candidates"), scoring.EVIDENCE_CELLS)
+    table = market.market_table(hydrated).withColumn(ordinal, F.lit(0)).unionByName(market.market_table(prices).withColumn(ordinal, F.lit(1)))
+    events = ordered(run.read("09_8k_events"), ordinal)
     checked = watchlist.check_research(run.read("10_dr_populate_results"), table, events, run.as_of, run.rules, ordinal)
     run.write(checked, "11_watchlist_checked")
     stored = run.read("11_watchlist_checked")
