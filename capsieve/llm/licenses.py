@@ -3,24 +3,33 @@
 A line and a template are normalised alike: ASCII letters in lower case, everything but letters and digits a separator. The
 likeness is 2 |A and B| / (|A| + |B|) of the sets of word pairs. As that is at most 2 min / (|A| + |B|), a line of n
 different pairs can reach the threshold t only with templates of t n / (2 - t) to (2 - t) n / t pairs; others are not
-compared. A line keeps its best template, ties going to the first name. The scan of lines has no shuffle; only windows that match are shuffled.
+compared. A line keeps its best template, ties going to the first name.
 
 Notices that are wrapped or share a line are found in windows of the word pairs of the whole text, which begin and end at a
 pair of the template and have at most (2 - t) n / t pairs. A window that touches no line that matches by itself gives a row
 at the line where it begins, unless a better one (or, at the same likeness, an earlier one) overlaps it.
 `sql` states the lines alone.
 
+What matches a template of n pairs at likeness t holds t n / (2 - t) of them, so it holds one of any n - t n / (2 - t) + 1 pairs. One
+pattern of the pairs that are rarest in prose, so many for each template, is searched in every text; only texts and lines with
+such a pair are split into words. Windows are made from single hits: each carries the few pairs that its window can
+reach, never the text. The best window at each pair of a text is a minimum per position, and a window stays where it is the
+best at all its pairs.
+
 Defined results: null and empty texts, and lines of fewer than two words, match nothing; repeated rows give repeated results;
 extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from capsieve.llm.store import written
+
 THRESHOLD = 0.8
 
 # The published short notices and first sentences of common licences.
@@ -63,84 +72,108 @@ def _known(templates: dict[str, list[str]]) -> list[tuple[str, list[str]]]:
     return [(name, bigrams(text)) for name in sorted(templates) for text in templates[name] if bigrams(text)]
 
 
-def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """docs (doc_id, text) -> (doc_id, line_no from 0, license, dice), a row for each line that matches a template, or where a window that matches begins."""
-    known = _known(TEMPLATES if templates is None else templates)
-    sizes = [len(b) for _, b in known]
-    least, most = min(sizes, default=1) * threshold / (2 - threshold), max(sizes, default=0) * (2 - threshold) / threshold
+#: Words that stand everywhere; pairs of them say little. Used only to choose which pairs are searched first.
+_COMMON = frozenset("a all and any as at be by for from in is it of on or that the this to under with work".split())
 
-    def pairs(words: Column) -> Column:
-        after = F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0)))
-        return F.array_distinct(F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), after, lambda a, b: F.concat(a, F.lit(" "), b)))
 
-    def normal(line: Column) -> Column:
-        return F.split(F.trim(F.regexp_replace(F.translate(line, _UPPER, _LOWER), "[^a-z0-9]+", " ")), " ")
+def _pattern(known: list[tuple[str, list[str]]], threshold: float) -> str:
+    """A pattern that every text or line with a match holds: for each template, enough of its rarest pairs."""
+    asked: dict[str, set[str]] = {}
+    for _, grams in known:
+        spare = len(grams) - math.ceil(len(grams) * threshold / (2 - threshold) - 1e-9) + 1
+        for gram in sorted(grams, key=lambda g: (sum(w in _COMMON for w in g.split()), -len(g), g))[:spare]:
+            first, second = gram.split()
+            asked.setdefault(first, set()).add(second)
+    by_letter: dict[str, list[str]] = {}
+    for first in sorted(asked):
+        by_letter.setdefault(first[0], []).append(f"{first[1:]}[^a-z0-9]+(?:{'|'.join(sorted(asked[first]))})")
+    return "(?i)(?<![a-z0-9])(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in by_letter.items()) + ")(?![a-z0-9])"
 
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-    # a line of w words has at most w - 1 pairs: shorter ones cannot reach the smallest template
-    words = lines.withColumn("words", normal(F.col("line"))).where(F.size("words") - 1 >= least)
-    sets = words.select("doc_id", "line_no", pairs(F.col("words")).alias("pairs")).where(F.size("pairs").between(least, most))
 
-    def likeness(name: str, template: list[str], pairs: Column) -> Column:
-        size, n = len(template), F.size(pairs)
-        value = F.lit(2.0) * F.size(F.array_intersect(pairs, F.array(*map(F.lit, template)))) / (n + size)
-        dice = F.when(n.between(size * threshold / (2 - threshold), size * (2 - threshold) / threshold), value).otherwise(0.0)
-        return F.struct((-dice).alias("less"), F.lit(name).alias("license"))
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    if not known:
-        return sets.limit(0).select("doc_id", "line_no", F.lit("").alias("license"), F.lit(0.0).alias("dice"))
 
-    def best(pairs: Column) -> Column:
-        return F.array_min(F.array(*[likeness(*k, pairs) for k in known]))
+def _literal(texts: list[str]) -> str:
+    """Spark SQL of a constant array: one expression to build, however many texts."""
+    return "array(" + ", ".join(map(_quoted, texts)) + ")"
 
-    whole = (sets.withColumn("best", best(F.col("pairs"))).select("doc_id", "line_no", F.col("best.license"), (-F.col("best.less")).alias("dice"))
-             .where(F.col("dice") >= threshold))
-    found = _windows(docs, known, threshold, normal)
-    # what a line that matches by itself holds is that line's row
-    touched = F.transform(F.slice("lines", F.col("w.line") + 1, F.col("w.last") - F.col("w.line") + 1), lambda line: pairs(normal(line)))
-    found = found.where(~F.exists(touched, lambda p: -best(p)["less"] >= threshold))
-    found = found.groupBy("row", "doc_id").agg(F.collect_list("w").alias("all"))
-    better = F.filter("all", lambda w: ~F.exists("all", lambda v: (v < w) & (v["first"] <= w["end"]) & (w["first"] <= v["end"])))
-    found = found.select("doc_id", F.explode(better).alias("w"))
-    return whole.unionByName(found.select("doc_id", F.col("w.line").alias("line_no"), F.col("w.license").alias("license"), (-F.col("w.less")).alias("dice")))
 
+def _normal(line: Column) -> Column:
+    return F.split(F.trim(F.regexp_replace(F.translate(line, _UPPER, _LOWER), "[^a-z0-9]+", " ")), " ")
 
-def _windows(docs: DataFrame, known: list[tuple[str, list[str]]], threshold: float, normal) -> DataFrame:
-    """(row, doc_id, lines, w): windows that match, w (less, first, license, end, line, last)."""
-    every = sorted({g for _, grams in known for g in grams})
-    split = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.split("text", "\n", -1).alias("lines"))
-    words = F.flatten(F.transform("lines", lambda line, i: F.transform(F.filter(normal(line), lambda w: w != ""), lambda w: F.struct(w.alias("w"), i.alias("i")))))
-    split = split.withColumn("words", words).where(F.size("words") > 1)
-    grams = F.zip_with(F.slice("words", 1, F.size("words") - 1), F.slice("words", 2, F.size("words") - 1),
-                       lambda a, b: F.struct(F.concat(a["w"], F.lit(" "), b["w"]).alias("g"), a["i"].alias("line"), b["i"].alias("last")))
-    split = split.select("row", "doc_id", "lines", grams.alias("grams"))
-    hits = F.filter(F.transform("grams", lambda x, at: F.struct(at.alias("at"), x["g"].alias("g"), x["line"].alias("line"), x["last"].alias("last"))),
-                    lambda h: h["g"].isin(every))
-    split = split.withColumn("hits", hits)
-    least = threshold / (2 - threshold)
 
-    def of_template(grams: list[str]) -> Column:
-        return F.filter("hits", lambda h: h["g"].isin(grams))
+def _pairs(words: Column) -> Column:
+    after = F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0)))
+    return F.array_distinct(F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), after, lambda a, b: F.concat(a, F.lit(" "), b)))
 
-    asked = [F.struct(F.lit(name).alias("license"), F.lit(len(t)).alias("size"), of_template(t).alias("of")) for name, t in known]
-    near = (split.where(F.size("hits") >= min(len(t) for _, t in known) * least)
-            .select("row", "doc_id", "lines", "grams", F.explode(F.filter(F.array(*asked), lambda a: F.size(a["of"]) >= a["size"] * least)).alias("a"))
-            .select("row", "doc_id", "lines", "grams", "a.*"))
-    longest = F.floor(F.col("size") * (2 - threshold) / threshold)
 
-    def within(a: Column, reach: Column) -> Column:
-        return F.filter("of", lambda e: (e["at"] >= a["at"]) & (e["at"] < a["at"] + reach))
+def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, threshold: float = THRESHOLD) -> DataFrame:
+    """docs (doc_id, text) -> (doc_id, line_no from 0, license, dice), a row for each line that matches a template, or where a window that matches begins."""
+    known = _known(TEMPLATES if templates is None else templates)
+    if not known:
+        return docs.select("doc_id", F.lit(0).alias("line_no"), F.lit("").alias("license"), F.lit(0.0).alias("dice")).limit(0)
+    pattern = _pattern(known, threshold)
+    near = written(docs.where(F.col("text").rlike(pattern)).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "licence-texts")
+    whole = written(_lines(near, known, threshold, pattern), "licence-lines")
+    found = _windows(near, known, threshold)
+
+    # what a line that matches by itself holds is that line's row
+    touched = found.select("row", "doc_id", "w", F.explode(F.sequence("w.line", "w.last")).alias("line_no")).join(whole.select("row", "line_no"), ["row", "line_no"])
+    found = found.join(touched.select("row", "w").distinct(), ["row", "w"], "left_anti")
+    best = found.select("row", "doc_id", "w", F.explode(F.sequence("w.first", "w.end")).alias("at")).groupBy("row", "doc_id", "at").agg(F.min("w").alias("w"))
+    best = best.groupBy("row", "doc_id", "w").agg(F.count("*").alias("n")).where("n = w.end - w.first + 1")
+    windows = best.select("doc_id", F.col("w.line").alias("line_no"), F.col("w.license").alias("license"), (-F.col("w.less")).alias("dice"))
+    return whole.select("doc_id", "line_no", "license", "dice").unionByName(windows)
+
+
+def _lines(near: DataFrame, known: list[tuple[str, list[str]]], threshold: float, pattern: str) -> DataFrame:
+    """(row, doc_id, line_no, license, dice) of the lines that match by themselves."""
+    sizes = [len(b) for _, b in known]
+    slack = 1e-9  # sizes at a bound count as within it
+    least, most = min(sizes) * threshold / (2 - threshold) - slack, max(sizes) * (2 - threshold) / threshold + slack
+    lines = near.select("row", "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")).where(F.col("line").rlike(pattern))
+    sets = lines.select("row", "doc_id", "line_no", _pairs(_normal(F.col("line"))).alias("pairs")).where(F.size("pairs").between(least, most))
+    pairs, n = F.col("pairs"), F.size("pairs")
+
+    def likeness(name: str, template: list[str]) -> Column:
+        size = len(template)
+        value = F.lit(2.0) * F.size(F.array_intersect(pairs, F.expr(_literal(template)))) / (n + size)
+        dice = F.when(n.between(size * threshold / (2 - threshold) - slack, size * (2 - threshold) / threshold + slack), value).otherwise(0.0)
+        return F.struct((-dice).alias("less"), F.lit(name).alias("license"))
+
+    best = sets.withColumn("best", F.array_min(F.array(*[likeness(*k) for k in known])))
+    return best.select("row", "doc_id", "line_no", F.col("best.license"), (-F.col("best.less")).alias("dice")).where(F.col("dice") >= threshold)
 
-    near = near.select("*", F.explode("of").alias("from")).withColumn("of", within(F.col("from"), longest)).where(F.size("of") >= F.col("size") * least)
+
+def _windows(near: DataFrame, known: list[tuple[str, list[str]]], threshold: float) -> DataFrame:
+    """(row, doc_id, w): windows that match, w (less, first, license, end, line, last): for each pair that a template shares, the best that begins there."""
+    least = threshold / (2 - threshold)
+    every = sorted({g for _, grams in known for g in grams})
+    lines = F.transform(F.split("text", "\n", -1), lambda line, i: F.transform(F.filter(_normal(line), lambda w: w != ""), lambda w: F.struct(w.alias("w"), i.alias("i"))))
+    words = near.select("row", "doc_id", F.flatten(lines).alias("words")).where(F.size("words") > 1)
+    grams = F.zip_with(F.slice("words", 1, F.size("words") - 1), F.slice("words", 2, F.size("words") - 1),
+                       lambda a, b: F.struct(F.concat(a["w"], F.lit(" "), b["w"]).alias("g"), a["i"].alias("line"), b["i"].alias("last")))
+    listed = _literal(every).removeprefix("array")
+    hits = F.expr(f"filter(transform(grams, (x, at) -> named_struct('at', at, 'g', x.g)), h -> h.g IN {listed})")
+    hits = words.select("row", "doc_id", grams.alias("grams")).withColumn("hits", hits).select("row", "doc_id", "grams", F.explode("hits").alias("h"))
+
+    # a fixed table: one row for each pair of each template
+    asked = [f"named_struct('license', {_quoted(name)}, 'of', {_literal(t)})" for name, t in known]
+    table = near.sparkSession.range(1).select(F.expr(f"inline(array({', '.join(asked)}))"))
+    table = table.select("license", F.size("of").alias("size"), "of", F.explode("of").alias("g"))
+    reach = F.floor(F.col("size") * ((2 - threshold) / threshold) + 1e-9).cast("int")
+    part = hits.join(F.broadcast(table), F.col("h.g") == F.col("g")).select("row", "doc_id", F.col("h.at").alias("at"), "license", "size", "of", F.slice("grams", F.col("h.at") + 1, reach).alias("part"))
+    ends = F.filter(F.transform("part", lambda x, k: F.struct(k.alias("k"), x["g"].alias("g"), x["last"].alias("last"))), lambda x: F.array_contains(F.col("of"), x["g"]))
+    part = part.withColumn("ends", ends).where(F.size("ends") >= F.col("size") * least - 1e-9)
 
     def window(e: Column) -> Column:
-        a = F.col("from")
-        common = F.size(F.array_distinct(F.transform(F.filter("of", lambda x: x["at"] <= e["at"]), lambda x: x["g"])))
-        n = F.size(F.array_distinct(F.transform(F.slice("grams", a["at"] + 1, e["at"] - a["at"] + 1), lambda x: x["g"])))
-        return F.struct((-F.lit(2.0) * common / (n + F.col("size"))).alias("less"), a["at"].alias("first"), F.col("license").alias("license"),
-                        e["at"].alias("end"), a["line"].alias("line"), e["last"].alias("last"))
+        common = F.size(F.array_distinct(F.transform(F.filter("ends", lambda x: x["k"] <= e["k"]), lambda x: x["g"])))
+        n = F.size(F.array_distinct(F.transform(F.slice("part", 1, e["k"] + 1), lambda x: x["g"])))
+        return F.struct((-F.lit(2.0) * common / (n + F.col("size"))).alias("less"), F.col("at").alias("first"), F.col("license").alias("license"),
+                        (F.col("at") + e["k"]).alias("end"), F.col("part")[0]["line"].alias("line"), e["last"].alias("last"))
 
-    return near.select("row", "doc_id", "lines", F.array_min(F.transform("of", window)).alias("w")).where(F.col("w.less") <= -threshold)
+    return part.select("row", "doc_id", F.array_min(F.transform("ends", window)).alias("w")).where(F.col("w.less") <= -threshold)
 
 
 def sql(templates: dict[str, list[str]] | None = None, threshold: float = THRESHOLD) -> str:
