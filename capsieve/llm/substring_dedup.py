@@ -1,4 +1,9 @@
-"""Removal of repeated passages by relative Lempel-Ziv parsing.
+"""Removal of repeated passages: anchored blocks and window hashes, in place of relative Lempel-Ziv parsing.
+
+Greedy factors are not used. A window of 20 words must go whenever its words start earlier anywhere, also where it lies across
+two greedy factors, and the earliest start must be known for each window of thousands of copies; factors against reference blocks
+give neither without comparing members of a group in pairs. What is kept of the parsing is the index of reference blocks, whole
+blocks taken at once, and checks where blocks of one anchor differ.
 
 A reference block is the stretch of words around an anchor: every window of 20 words picks the 5-word gram with the least
 hash in it, and the windows that pick one gram follow each other, so that the anchors cut a document into blocks. Equal
@@ -49,7 +54,8 @@ class Blocks:
     sums: np.ndarray
 
     def hash_of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return W.mix((self.sums[end] - self.sums[start]) * W.powers(len(self.sums))[1][start])
+        """Hash of the words from start to before end, two or more, by the hashes of their pairs."""
+        return W.mix((self.sums[end - 1] - self.sums[start]) * W.powers(len(self.sums))[1][start])
 
 
 def blocks(found: W.Words) -> Blocks:
@@ -58,7 +64,9 @@ def blocks(found: W.Words) -> Blocks:
     text = W.segment_ids(windows)
     start = np.repeat(first[:-1], windows) + W.ramp(windows)
     sums = np.zeros(len(h) + 1, np.uint64)
-    np.cumsum(h * W.powers(len(h) + 1)[0][: len(h)], out=sums[1:])
+    # pairs of words, not words: sums of two alternating values can cancel whatever the base
+    pair = W.mix(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:])
+    np.cumsum(pair * W.powers(len(h) + 1)[0][: len(pair)], out=sums[1 : len(pair) + 1])
     if not len(start):
         none = np.zeros(0, np.int64)
         return Blocks(none, np.zeros(0, np.uint64), none, none, none, sums)

@@ -6,6 +6,7 @@ Hashes have 64 bits and depend on the bytes alone, so that they agree between ta
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -13,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 256 << 10
+LONG = 256
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _SEPARATOR = np.zeros(256, bool)
@@ -61,11 +63,49 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
     def hashes(self, lower: bool = False) -> np.ndarray:
+        """Hash of each word: its blocks of eight bytes are mixed in one after another, after its length.
+
+        Words of up to eight bytes and equal length never share a hash; others do by chance only, as every step depends on all
+        bits before it. Words of over LONG bytes are digested by BLAKE2.
+        """
         data = _LOWER[self.data] if lower else self.data
-        up, down = powers(len(data))
-        total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
-        return mix((total[self.ends] - total[self.starts]) * down[self.starts])
+        size = self.ends - self.starts
+        out = mix(size.astype(np.uint64) + _BASE)
+        if not len(size):
+            return out
+        padded = np.concatenate([data, np.zeros(8, np.uint8)])
+        blocks = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+        which, at = np.flatnonzero((size > 0) & (size <= LONG)), 0
+        while len(which):
+            block, left = blocks[self.starts[which] + at], size[which] - at
+            short = left < 8
+            block[short] &= (np.uint64(1) << (left[short] * 8).astype(np.uint64)) - np.uint64(1)
+            out[which] = mix((out[which] ^ block) + _BASE)
+            at += 8
+            which = which[left > 8]
+        long = np.flatnonzero(size > LONG)
+        if len(long):
+            raw = data.tobytes()
+            out[long] = [int.from_bytes(hashlib.blake2b(raw[i:j], digest_size=8).digest(), "little")
+                         for i, j in zip(self.starts[long].tolist(), self.ends[long].tolist(), strict=True)]
+        return out
+
+    def units(self, longest: int) -> Words:
+        """Words, but those of over `longest` bytes as their single characters: text without spaces has none else."""
+        long = (self.ends - self.starts) > longest
+        if not long.any():
+            return self
+        inside = np.zeros(len(self.data) + 1, np.int8)
+        np.add.at(inside, self.starts[long], 1)
+        np.add.at(inside, self.ends[long], -1)
+        places = np.flatnonzero((np.cumsum(inside[:-1]) > 0) & ((self.data & 0xC0) != 0x80))
+        starts = np.concatenate([self.starts[~long], places])
+        # a character ends where the next one of its word begins, or where the word ends
+        after = np.append(places[1:], len(self.data))
+        word_end = self.ends[np.searchsorted(self.starts, places, "right") - 1]
+        ends = np.concatenate([self.ends[~long], np.minimum(after, word_end)])
+        order = np.argsort(starts, kind="stable")
+        return Words(self.data, self.offsets, starts[order], ends[order], np.searchsorted(starts[order], self.offsets))
 
     def strings(self, which: np.ndarray) -> list[bytes]:
         raw = self.data.tobytes()
