@@ -1,6 +1,6 @@
 """Order MinHash fingerprints, whose likeness follows edit distance.
 
-A text is a sequence of words; its 3-word grams are numbered by occurrence, so that repeats differ. For each of 64 hash
+A text is a sequence of words, and of the single characters of runs of over 48 bytes, as scripts without spaces have them; its 3-word grams are numbered by occurrence, so that repeats differ. For each of 64 hash
 functions the two grams with the least hashes are taken, put back into text order, and hashed as a pair to 16 bits; the
 fingerprint is the row of these values in hexadecimal. Likeness is the share of equal values. As pairs keep their order,
 moving text lowers the likeness, which a plain MinHash does not notice.
@@ -24,12 +24,14 @@ from pyspark.sql import functions as F
 from capsieve.llm import words as W
 
 GRAM, VALUES = 3, 64
+LONGEST = 48  # bytes of a word; longer runs are taken character by character
 _NONE = np.uint64(2**64 - 1)
 _MULTIPLIERS = W.mix(np.arange(1, VALUES + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
 
 
 def fingerprints(found: W.Words) -> np.ndarray:
     """texts x 64 values of 16 bits."""
+    found = found.units(LONGEST)
     counts, first, h = found.counts, found.first, found.hashes()
     out = np.zeros((len(counts), VALUES), np.uint16)
     per_text = np.where(counts > 0, np.maximum(counts - GRAM + 1, 1), 0)
@@ -50,7 +52,7 @@ def fingerprints(found: W.Words) -> np.ndarray:
     numbered = W.mix(value + occurrence * np.uint64(0xA0761D6478BD642F))
 
     starts = np.concatenate([[0], np.cumsum(per_text[full])[:-1]])
-    low = np.uint64((1 << (24 if per_text.max() < 1 << 24 else 32)) - 1)  # bits that hold the place in the text
+    low = np.uint64((1 << 32) - 1)  # bits that hold the place in the text
     places = place.astype(np.uint64)
     for j, multiplier in enumerate(_MULTIPLIERS):
         keyed = ((numbered * multiplier) & ~low) | places
