@@ -170,14 +170,18 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees:
         for batch in frames:
             for lo, hi, found in W.chunks(batch.column("text")):
                 x = statistics(found)
-                yield pa.RecordBatch.from_arrays([batch.column("quality").slice(lo, hi - lo), pa.array(list(x), pa.list_(pa.float64()))], ["quality", "x"])
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("labelled").slice(lo, hi - lo), batch.column("quality").slice(lo, hi - lo), pa.array(list(x), pa.list_(pa.float64()))],
+                    ["labelled", "quality", "x"])
 
     chosen = (labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").where(~_held_out())
-              .groupBy(F.col("doc_id").alias("labelled")).agg(F.max("quality").cast("int").alias("quality"))
+              .groupBy(F.col("doc_id").cast("long").alias("labelled")).agg(F.max("quality").cast("int").alias("quality"))
               .orderBy(F.xxhash64("labelled"), "labelled").limit(sample))
     # at most `sample` ids of 12 bytes: small enough to send to every executor
     rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled"))
-            .select("quality", "text").mapInArrow(of_labelled, "quality int, x array<double>").limit(4 * sample).toPandas())
+            .select("labelled", "quality", "text").mapInArrow(of_labelled, "labelled long, quality int, x array<double>")
+            # one row an id, however many documents share it: at most `sample` rows
+            .groupBy("labelled").agg(F.min(F.struct("quality", "x")).alias("r")).select("r.*").toPandas())
     if not len(rows):
         return grow(np.zeros((0, 1)), np.zeros(0))
     x, y = np.array(rows["x"].tolist()), rows["quality"].to_numpy(np.float64)
