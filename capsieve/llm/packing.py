@@ -2,8 +2,9 @@
 
 Documents become pieces of at most `capacity` tokens. Pieces are dealt to groups of bounded size, and each group is packed
 by best-fit decreasing. Dual-feasible functions give a lower bound on the bins that a group needs; a group that meets its
-bound is certified and done. In the others, full bins stay and the pieces of bins with gaps are exchanged: dealt to new,
-full-sized groups and packed again. A round counts only if it saves bins; rounds end when one doesn't, or after `rounds`.
+bound is certified, and only its emptiest bin goes on. In the others, full bins stay and the pieces of bins with gaps are exchanged.
+These pieces are dealt to new, full-sized groups and packed again. A round counts only if it saves bins; rounds end when one saves
+less than a thousandth of the open bins.
 
 Only lengths are packed; ids never leave the task that encodes them. Groups are bounded by `group_size`, so no task or
 driver ever sees more. Defined results: null text is empty and becomes one piece with the end mark alone; repeated rows
@@ -25,7 +26,8 @@ from capsieve.llm import words as W
 from capsieve.llm.bpe import encoder
 from capsieve.llm.store import written
 
-CAPACITY, END, GROUP, ROUNDS = 2048, 0, 4096, 3
+CAPACITY, END, GROUP = 2048, 0, 4096
+LEAST_SAVING = 1000  # a round that saves less than this part of the open sequences is the last: the next would save still less
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -102,36 +104,41 @@ def _pack(capacity: int, round_: int):
         certified = len(filled) == lower_bound(sizes, capacity)
         out = frame[["doc_id", "piece", "start", "length", "ids_crc32"]].copy()
         out["sequence_id"] = (round_ << 56) + (int(frame["group"].iloc[0]) << 28) + bins
-        out["offset"], out["open"] = offsets, (filled[bins] < capacity) & (not certified)
+        # what a certified group cannot save by itself may still fill another's gaps: its emptiest sequence goes on
+        again = (bins == filled.argmin()) if certified else True
+        out["offset"], out["open"] = offsets, (filled[bins] < capacity) & again
         return out
     return run
 
 
-def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_size: int = GROUP, rounds: int = ROUNDS) -> DataFrame:
-    """pieces -> the same with sequence_id and offset."""
+def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_size: int = GROUP, least_saving: int = LEAST_SAVING) -> DataFrame:
+    """pieces -> the same with sequence_id and offset. Rounds of exchange go on while one saves a `least_saving`-th of the open sequences."""
     schema = f"{PIECES}, sequence_id long, offset long, open boolean"
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
 
     def dealt(rows: DataFrame, number: int, round_: int) -> DataFrame:
         groups = max(1, -(-number // group_size))
-        place = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(round_)), F.lit(groups))
+        # the row's number beside its content: repeated rows are dealt apart
+        place = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id(), F.lit(round_)), F.lit(groups))
         return rows.select(*columns[:5], place.cast("long").alias("group")).groupBy("group").applyInPandas(_pack(capacity, round_), schema)
 
     pieces = written(pieces, "pieces")
     number = pieces.count()
     state = written(dealt(pieces, number, 0), "packed")
-    done = []
-    for round_ in range(1, rounds + 1):
+    done, round_ = [], 0
+    while True:
+        round_ += 1
         loose = state.where("open")
         number, before = loose.agg(F.count("*"), F.count_distinct("sequence_id")).first()
         if not number:
             break
         again = written(dealt(loose, number, round_), "packed")
-        after = again.agg(F.count_distinct("sequence_id")).first()[0]
-        if after >= before:
+        saved = before - again.agg(F.count_distinct("sequence_id")).first()[0]
+        if saved > 0:
+            done.append(state.where("NOT open"))
+            state = again
+        if saved * least_saving < before:
             break
-        done.append(state.where("NOT open"))
-        state = again
     for part in done:
         state = state.unionByName(part)
     return state.select(columns)
