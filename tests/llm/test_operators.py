@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from capsieve.llm import ann, bpe, fingerprints, graph, licenses, near_dup, packing, pii, quality, substring_dedup, warc
+from capsieve.llm import words as W
 from capsieve.llm.queries import VOCABULARY
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -161,6 +162,7 @@ def test_encoding(docs, texts, empty):
     for i, r in by_id(bpe.digests(docs, VOCABULARY)).items():
         ids = tokenizer.encode(texts[i] or "", add_special_tokens=False).ids
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(tokenizer.decode(ids, skip_special_tokens=False).encode()).hexdigest()
     assert bpe.digests(empty, VOCABULARY).count() == 0
 
 
@@ -190,12 +192,27 @@ def test_bound_and_best_fit():
 def test_rounds_exchange_open_bins(spark):
     rng = random.Random(2)
     pieces = spark.createDataFrame([(i, 0, 0, rng.randint(300, 1100), i) for i in range(600)], packing.PIECES)
-    few = packing.pack_pieces(pieces, group_size=40, rounds=0).select("sequence_id").distinct().count()
-    packed = packing.pack_pieces(pieces, group_size=40, rounds=3)
-    assert packed.count() == 600 and packed.select("sequence_id").distinct().count() <= few
+    sizes = np.array([r.length for r in pieces.collect()])
+    packed = packing.pack_pieces(pieces, group_size=40)
+    in_one = len(set(packing.best_fit(sizes, 2048)[0].tolist()))
+    assert packed.count() == 600 and packed.select("sequence_id").distinct().count() <= 1.02 * in_one
     assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("e")).where("n > 2048 OR n != e").count() == 0
 
 
+def test_gaps_of_certified_groups_are_exchanged(spark):
+    """Groups of short pieces all meet their own bound; their part-filled sequences still go together."""
+    rng = random.Random(3)
+    pieces = spark.createDataFrame([(i, 0, 0, rng.randint(5, 40), i) for i in range(8000)], packing.PIECES)
+    bound = packing.lower_bound(np.array([r.length for r in pieces.collect()]), 2048)
+    assert packing.pack_pieces(pieces, group_size=500).select("sequence_id").distinct().count() <= bound + 1
+
+
+def test_repeated_rows_are_dealt_apart(spark):
+    pieces = spark.createDataFrame([(None, 0, 0, 1500, 7)] * 400, packing.PIECES)
+    packed = packing.pack_pieces(pieces, group_size=50).collect()
+    assert len({r.sequence_id for r in packed}) == 400 and len({r.sequence_id >> 28 for r in packed}) > 1
+
+
 def test_quality(docs, spark, empty):
     good = [(i, " ".join(R.choice(PROSE[0].split()) for _ in range(80)) + ".") for i in range(100, 250)]
     bad = [(i, "!! $$$ " * 30 + str(i)) for i in range(250, 400)]
@@ -288,6 +305,92 @@ def test_revealing_terms_wherever_they_stand(spark):
     assert text[21].text.count("[TERM]") == 2 and "[TERM]" in text[20].text and "quuxly" not in text[22].text
 
 
+def brute_terms(rows):
+    """(doc_id, kind, term) by the rule of the docstring, every term against every entity."""
+    letters = re.compile(r"[^\W\d_]{3,}")
+    seen = {}
+    for i, text in rows:
+        base = brute_base(text)
+        masked = list(text or "")
+        for a, _, e in base:
+            masked[a:e] = " " * (e - a)
+        seen[i] = ("".join(masked), {(k, (text or "")[a:e].lower()) for a, k, e in base}, [w.lower() for w in letters.findall("".join(masked))], text)
+    with_entity, with_term, out = {}, {}, set()
+    for i, (_, entities, words, _) in seen.items():
+        for x in entities:
+            with_entity.setdefault(x, set()).add(i)
+        for t in words:
+            with_term.setdefault(t, set()).add(i)
+    for x, de in with_entity.items():
+        if len(de) > (len(rows) + pii.PRIOR) * 2.0**-pii.SURPRISE:
+            continue
+        for t, dt in with_term.items():
+            both = de & dt
+            around = [(w[j - 1] if j else "", w[j + 1] if j + 1 < len(w) else "") for i in both for w in [seen[i][2]] for j in range(len(w)) if w[j] == t]
+            share = len(both) / len(dt)
+            if (len({seen[i][3] for i in both}) < 2 or len({a for a, _ in around}) < 2 or len({b for _, b in around}) < 2 or len(both) < pii.COVER * len(de)
+                    or share * len(rows) < 2**pii.GAIN * len(de) or share < 2**-pii.GENERALISE):
+                continue
+            out |= {(i, "removed", t) for i in dt} if share >= 2**-pii.REMOVE else {(i, "term", t) for i in both}
+    return {(i, k, t) for i, k, t in out if k == "removed" or (i, "removed", t) not in out}
+
+
+def found_terms(spark, rows):
+    text = dict(rows)
+    got = pii.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    spans = [(r.doc_id, *s.split(":")) for r in got for s in r.spans.split(",") if s]
+    return {(i, k, text[i][int(a):int(e)].lower()) for i, k, a, e in spans if k in ("term", "removed")}
+
+
+def test_disclosing_terms_against_brute_force(spark):
+    rng = random.Random(4)
+    words = [f"{a}{b}" for a in ("ban", "dor", "kel", "mir", "tov") for b in ("ix", "um", "ea", "os")]
+    rows = []
+    for i in range(160):
+        text = [rng.choice(words) for _ in range(rng.randint(2, 14))]
+        who = rng.randint(0, 30)
+        if who < 10:
+            text.insert(rng.randint(0, len(text)), f"p{who}@mail.example")
+        if who < 12 and rng.random() < 0.9:
+            text.insert(rng.randint(0, len(text)), f"Person{'abcdefghijkl'[who]}")
+        elif who > 25:
+            text.insert(rng.randint(0, len(text)), f"Person{rng.choice('abcdef')}")
+        rows.append((i, " ".join(text)))
+    rows += [(200 + i, rows[3][1]) for i in range(5)] + [(300, None), (301, "")]
+    want = brute_terms(rows)
+    assert found_terms(spark, rows) == want and {k for _, k, _ in want} == {"term", "removed"}
+
+
+@pytest.mark.parametrize("share", [12, 19, 20])
+def test_footers_stay(spark, share):
+    """A contact address in most documents makes no word of theirs private, nor the words of its own phrase."""
+    rng = random.Random(share)
+    words = "harvest moved slowly while river traffic grew and local markets stayed calm under heavy rain".split()
+    rows = [(i, f"Report {i}: " + " ".join(rng.sample(words, 8)) + (", write to our editors at desk@news.example" if i < share else "")) for i in range(20)]
+    clean = by_id(pii.sanitised(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert {i: r.text for i, r in clean.items()} == {i: t.replace("desk@news.example", "[EMAIL]") for i, t in rows}
+    assert found_terms(spark, rows) == brute_terms(rows) == set()
+
+
+def test_near_copies_lose_no_words(spark):
+    rows = [(1, "quarzel umbrod vintex a@b.cd plinth"), (2, "quarzel umbrod vintex a@b.cd plinth two"), *[(i, f"other text number {i}") for i in range(3, 40)]]
+    assert found_terms(spark, rows) == brute_terms(rows) == set()
+
+
+def test_directories_are_bounded(spark):
+    """Many addresses in the same documents count as one entity."""
+    page = " ".join(f"u{i}@mail.example" for i in range(1500))
+    rows = [(i, f"Zorblax {'abc'[i]} {page} list{'abc'[i]} Zorblax end{'xyz'[i]} now") for i in range(3)] + [(i, f"some text {i} here") for i in range(3, 60)]
+    got = found_terms(spark, rows)
+    assert {(i, "removed", "zorblax") for i in range(3)} <= got
+
+
+def test_classes_of_generalised_terms(spark):
+    rows = [(1, "Quuxly one q@r.st"), (2, "q@r.st saw QUUXLY two"), (3, "the quuxly q@r.st three"), (4, "Quuxly alone"), *[(i, f"other {i}") for i in range(5, 20)]]
+    text = by_id(pii.sanitised(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert [text[i].text for i in (1, 2, 3, 4)] == ["[NAME] one [EMAIL]", "[EMAIL] saw [ACRONYM] two", "the [TERM] [EMAIL] three", "Quuxly alone"]
+
+
 def test_licences(docs, empty):
     got = {(r.doc_id, r.line_no, r.license) for r in licenses.scan(docs).collect()}
     assert {name for *_, name in got} == {"MIT", "All-rights-reserved"}
@@ -303,6 +406,59 @@ def test_licences_wrapped_and_within_lines(spark):
     assert got == [(1, 0, "All-rights-reserved", 1.0), (2, 0, "CC-BY-4.0", 1.0), (3, 1, "BSD", 1.0), (4, 2, "MIT", 1.0), (5, 0, "All-rights-reserved", 1.0)]
 
 
+def brute_licences(text, t=0.8):
+    """(line_no, license, dice): every line and every window of the text against every template."""
+    norm = lambda line: re.findall("[a-z0-9]+", lowered(line))
+    templates = [(name, set(licenses.bigrams(x))) for name in sorted(licenses.TEMPLATES) for x in licenses.TEMPLATES[name]]
+    dice = lambda a, b: 2.0 * len(a & b) / (len(a) + len(b))
+    words, own = [], {}
+    for i, line in enumerate((text or "").split("\n")):
+        w = norm(line)
+        words += [(x, i) for x in w]
+        pairs = {f"{a} {b}" for a, b in zip(w, w[1:])}
+        best = min(((-dice(pairs, b), name) for name, b in templates), default=(0, "")) if pairs else (0, "")
+        if -best[0] >= t:
+            own[i] = (best[1], -best[0])
+    grams = [(f"{a} {b}", i, j) for (a, i), (b, j) in zip(words, words[1:])]
+    windows = []
+    for name, b in templates:
+        for at in range(len(grams)):
+            if grams[at][0] not in b:
+                continue
+            found = []
+            for end in range(at, min(len(grams), at + int(len(b) * (2 - t) / t + 1e-9))):
+                if grams[end][0] in b:
+                    found.append((-dice({g for g, *_ in grams[at:end + 1]}, b), at, name, end, grams[at][1], grams[end][2]))
+            if found and -min(found)[0] >= t:
+                windows.append(min(found))
+    windows = [w for w in windows if not any(i in own for i in range(w[4], w[5] + 1))]
+    kept = [w for w in set(windows) if not any(v < w and v[1] <= w[3] and w[1] <= v[3] for v in windows)]
+    return sorted([(i, *x) for i, x in own.items()] + [(w[4], w[2], -w[0]) for w in kept])
+
+
+def test_licences_against_brute_force(spark):
+    rng = random.Random(11)
+    notices = [x for texts in licenses.TEMPLATES.values() for x in texts]
+    rows = []
+    for i in range(60):
+        pieces = []
+        for _ in range(rng.randint(1, 4)):
+            words = rng.choice(notices).split()
+            for _ in range(rng.choice([0, 0, 1, 2, 4])):
+                at = rng.randrange(len(words))
+                words[at:at + 1] = rng.choice([[], ["other"], [words[at], "more"], [words[at].upper()]])
+            pieces += [" ".join(rng.choice("the work of a new license under this program".split()) for _ in range(rng.randint(0, 5))), " ".join(words)]
+        text = rng.choice([" ", "\n", ". ", " -- "]).join(pieces)
+        rows.append((i, "\n".join(textwrap.wrap(text, rng.choice([30, 70, 500])))))
+    rows += [(100, None), (101, ""), (102, "license"), (103, "All rights reserved. foo1 bar1 " * 300), (104, rows[0][1])]
+    got = {}
+    for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, []).append((r.line_no, r.license, round(r.dice, 9)))
+    for i, text in rows:
+        assert sorted(got.get(i, [])) == sorted((a, b, round(d, 9)) for a, b, d in brute_licences(text)), text
+    assert len(got[103]) == 300
+
+
 @pytest.fixture(scope="module")
 def vectors(spark):
     rng = np.random.default_rng(1)
@@ -366,3 +522,48 @@ def test_lookup_over_many_blocks(pages, monkeypatch):
     found = warc.read(warc.lookup(key, shards)).collect()
     assert len(found) == 2 and {r.page_id for r in found} == {5}
     assert warc.lookup(key.withColumn("key", F.lit("none")), shards).count() == 0
+
+
+# ---------------------------------------------------------------- hashes of words
+
+def thue_morse(n):
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_no_constructed_collisions(spark):
+    """Two words of 2,048 letters, and two passages of as many words, that share a polynomial hash modulo 2^64 for every base."""
+    one, two = thue_morse(2048)
+    found = W.find(np.frombuffer(f"{one} {two}".encode(), np.uint8), np.array([0, 4097]))
+    assert len(set(found.hashes().tolist())) == 2
+    prose = [" ".join({"a": "left", "b": "right"}[c] for c in x) for x in (one, two)]
+    rows = [(1, one), (2, two), (3, f"{one} x y z"), (4, f"{two} x y z"), (5, prose[0]), (6, prose[1])]
+    table, texts = spark.createDataFrame(rows, "doc_id long, text string"), dict(rows)
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    assert {r.doc_id: r.ids for r in bpe.encode(table, VOCABULARY).collect()} == {i: tokenizer.encode(t, add_special_tokens=False).ids for i, t in rows}
+    assert {r.doc_id: r.component_id for r in near_dup.near_duplicates(table).collect()} == {i: i for i in (1, 2, 3, 4, 5)} | {6: 5}
+    want = brute_repeats(texts)
+    got = {r.row.doc_id: (r.n_removed, r.kept_sha256) for r in substring_dedup.remove_repeats(table).collect()}
+    assert got == {i: w[1:3] for i, w in want.items()}
+
+
+def test_hashes_of_short_words_differ():
+    words = sorted({bytes(R.choices(range(33, 127), k=n)) for n in (1, 2, 3, 7, 8, 9, 15, 16, 17, 40, 256, 257, 300) for _ in range(300)})
+    text = b" ".join(words)
+    found = W.find(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    assert len(set(found.hashes().tolist())) == len(words)
+    again = W.find(np.frombuffer(b"  " + text, np.uint8), np.array([0, len(text) + 2]))
+    assert again.hashes().tolist() == found.hashes().tolist()
+    upper = W.find(np.frombuffer(text.upper(), np.uint8), np.array([0, len(text)]))
+    assert upper.hashes(True).tolist() == found.hashes(True).tolist()
+
+
+def test_fingerprints_of_text_without_spaces(spark):
+    rng = random.Random(8)
+    text = "".join(chr(rng.randint(0x4E00, 0x4E80)) for _ in range(170))
+    rows = [(1, text), (2, text[:80] + "x" + text[81:]), (3, "".join(rng.sample(text, len(text)))), (4, "y" * 5000)]
+    got = {r.doc_id: r.fingerprint for r in fingerprints.fingerprint(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    same = lambda a, b: sum(got[a][i:i + 4] == got[b][i:i + 4] for i in range(0, 256, 4))
+    assert same(1, 2) > 45 and same(1, 3) < 10 and same(1, 4) == 0
