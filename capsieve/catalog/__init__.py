@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from capsieve.catalog import base
 
-_MODULES = ("universe", "hydration", "events", "runway", "research", "feeds")
+_MODULES = ("universe", "hydration", "events", "runway", "research", "feeds", "stores")
 
 
 def _load() -> None:

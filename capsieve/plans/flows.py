@@ -8,6 +8,8 @@ All flows take the run date explicitly.
 from __future__ import annotations
 
 import datetime as dt
+import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,15 +18,18 @@ from pyspark.sql import functions as F
 from capsieve.operators import events as evt
 from capsieve.operators import filings as fil
 from capsieve.operators import gates, market, resolution, runway, scoring, watchlist
-from capsieve.operators.keyed import one_row_each, with_all_parts
+from capsieve.operators.keyed import align, one_row_each, with_all_parts
 from capsieve.rules import RULES, Rules
-from capsieve.schemas import schema
+from capsieve.schemas import TABLES, schema
+from capsieve.sources.accumulated import MONTH, accumulate, read_store
 from capsieve.sources.tables import (
-    append_table, first_existing, read_table, stage_counts, table_exists, write_table,
+    append_table, check_columns, first_existing, log_error, log_step, newest, read_table, stage_counts, table_exists, write_table,
 )
 
 WEEKLY_STAGES = ("profiles", "filings", "events", "prices", "hydrate", "deep_research", "validated")
 DAILY_STAGES = ("prices", "hydrate")
+FILINGS_STORE = "02_filings_store"
+FILING_KEYS = ("CIK", "URL", "Form", "FiledAt", "Ticker")
 LEGACY_STAGES = ("bundle", "runway", "populate", "watchlist")
 
 
@@ -41,7 +46,18 @@ class Run:
         return read_table(self.spark, self.folder, name, required)
 
     def write(self, df: DataFrame, name: str) -> None:
-        write_table(df, self.folder, name)
+        self.logged(name, lambda: write_table(df, self.folder, name, schema(name) if name in TABLES else None))
+
+    def logged(self, name: str, step: Callable[[], int], note: str = "OK") -> int:
+        """Runs a step that returns a number of rows and adds its line to the run log; a failure goes to the error log."""
+        began, now = time.monotonic(), dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        try:
+            rows = step()
+        except Exception as error:
+            log_error(self.spark, self.folder, name, f"{type(error).__name__}: {str(error)[:500]}", now)
+            raise
+        log_step(self.spark, self.folder, name, rows, round(1000 * (time.monotonic() - began)), note, now)
+        return rows
 
     def maybe(self, name: str) -> DataFrame | None:
         return self.read(name) if table_exists(self.spark, self.folder, name) else None
@@ -53,22 +69,29 @@ def ordered(df: DataFrame, ordinal: str) -> DataFrame:
 
 
 def profiles_stage(run: Run, profiles: DataFrame, quotes: DataFrame, ordinal: str = "ord") -> None:
-    """01_profiles: complete, gated companies with a usable quote."""
+    """01_profiles: complete, gated companies with a usable quote; those with unseen tickers are added to the stored ones."""
     listed = gates.universe_gate(gates.complete_rows(profiles), run.rules)
-    quoted = gates.quote_gate(market.with_quotes(listed, quotes, ordinal), run.rules)
-    write_table(quoted, run.folder, "01_profiles", schema("01_profiles"))
+    quoted = align(gates.quote_gate(market.with_quotes(listed, quotes, ordinal), run.rules), schema("01_profiles"))
+    run.logged("01_profiles", lambda: append_table(run.spark, quoted, run.folder, "01_profiles", ("Ticker",), run.as_of, None, "UpdatedAt"), "append+purge")
 
 
 def filings_stage(run: Run, filings: DataFrame, texts: DataFrame | None = None, ordinal: str = "ord") -> None:
-    """02_filings and 01_universe_gated: repaired, covered filings with age and runway, and the companies having them."""
+    """02_filings_store, 02_filings and 01_universe_gated.
+
+    Filings of all deliveries accumulate in the store, by month; the runway is read for new ones only. 02_filings are the stored
+    filings inside retention of covered companies, with their age; 01_universe_gated are these companies.
+    """
     profiles = ordered(run.read("01_profiles", "Ticker", "CIK"), ordinal)
-    kept = fil.purge(fil.fill_ticker(filings, profiles, ordinal), run.as_of, run.rules)
+    new = fil.purge(fil.fill_ticker(filings, profiles, ordinal), run.as_of, run.rules)
+
+    def with_runway(rows: DataFrame) -> DataFrame:
+        return rows if texts is None else runway.attach_runway(rows, runway.runway_by_url(rows, texts))
+
+    run.logged("filings", lambda: accumulate(new, run.folder, FILINGS_STORE, FILING_KEYS, "FiledAt", schema("02_filings"), with_runway), "append+purge")
+    kept = fil.purge(read_store(run.spark, run.folder, FILINGS_STORE, schema("02_filings")).drop(MONTH), run.as_of, run.rules)
     gate = fil.coverage(kept, profiles)
-    rows = fil.with_age(fil.fill_company(fil.keep_eligible(kept, gate), profiles, ordinal), run.as_of)
-    if texts is not None:
-        rows = runway.attach_runway(rows, runway.runway_by_url(rows, texts))
-    write_table(rows, run.folder, "02_filings", schema("02_filings"))
-    write_table(fil.keep_eligible(profiles, gate), run.folder, "01_universe_gated", schema("01_universe_gated"))
+    run.write(fil.with_age(fil.fill_company(fil.keep_eligible(kept, gate), profiles, ordinal), run.as_of), "02_filings")
+    run.write(fil.keep_eligible(profiles, gate), "01_universe_gated")
 
 
 def events_stage(run: Run, texts: DataFrame | None = None, ordinal: str = "ord", match: str = "substring") -> None:
@@ -89,7 +112,8 @@ def events_stage(run: Run, texts: DataFrame | None = None, ordinal: str = "ord",
 
 def prices_stage(run: Run, prices: DataFrame) -> None:
     """03_prices: new bars appended, old ones out of the window dropped."""
-    append_table(run.spark, prices, run.folder, "03_prices", ("Ticker", "Date"), run.as_of, run.rules.price_keep_days, "Date")
+    run.logged("03_prices", lambda: append_table(
+        run.spark, prices, run.folder, "03_prices", ("Ticker", "Date"), run.as_of, run.rules.price_keep_days, "Date"), "append+purge")
 
 
 def hydrate_stage(run: Run, ordinal: str = "ord") -> None:
@@ -105,8 +129,11 @@ def hydrate_stage(run: Run, ordinal: str = "ord") -> None:
 
 
 def research_stage(run: Run, texts: DataFrame | None = None, peers: DataFrame | None = None, ordinal: str = "ord") -> None:
-    """30_deep_research."""
-    shortlist = run.read("20_candidate_shortlist", "Ticker", "Company", "CIK")
+    """30_deep_research, of the shortlist that was written last: the canonical one or an older one."""
+    shortlist = newest(run.spark, run.folder, "20_candidate_shortlist", "shortlist_candidates")
+    if shortlist is None:
+        shortlist = run.read("20_candidate_shortlist")
+    check_columns(shortlist, "20_candidate_shortlist", ("Ticker", "Company", "CIK"))
     events = ordered(run.read("09_events"), ordinal)
     run.write(scoring.deep_research(shortlist, run.read("02_filings"), events, run.as_of, ordinal, texts, peers), "30_deep_research")
 
@@ -150,7 +177,7 @@ def daily(run: Run, prices: DataFrame | None = None, start_stage: str = "prices"
     stages = _from(DAILY_STAGES, start_stage)
     profiles, filings = run.read("01_profiles", "Ticker"), run.read("02_filings", "Ticker", "Form")
     gate = fil.coverage(filings, profiles)
-    write_table(fil.keep_eligible(profiles, gate), run.folder, "01_universe_gated", schema("01_universe_gated"))
+    run.write(fil.keep_eligible(profiles, gate), "01_universe_gated")
     if "prices" in stages and prices is not None:
         prices_stage(run, prices)
     hydrate_stage(run)

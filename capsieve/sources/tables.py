@@ -7,11 +7,11 @@ import os
 from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from capsieve.operators.keyed import align, append_new, keep_days, one_per_key
+from capsieve.operators.keyed import align, keep_days, new_rows, one_per_key
 from capsieve.schemas import schema
 
 
@@ -55,10 +55,12 @@ def read_csv_table(spark: SparkSession, path: str, columns: T.StructType) -> Dat
     return align(raw.select(typed), columns)
 
 
-def write_table(df: DataFrame, folder: str, name: str, columns: T.StructType | None = None) -> None:
-    """Replace a table. The schema is written even when there are no rows."""
+def write_table(df: DataFrame, folder: str, name: str, columns: T.StructType | None = None) -> int:
+    """Replace a table. The schema is written even when there are no rows. Returns how many rows were written, counted on the way."""
     out = align(df, columns) if columns is not None else df
-    out.write.mode("overwrite").parquet(_path(folder, name))
+    written = Observation()
+    out.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(_path(folder, name))
+    return written.get["rows"]
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -69,28 +71,41 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def append_table(spark: SparkSession, new: DataFrame, folder: str, name: str, keys: Sequence[str],
-                 as_of: dt.date | str, days: int | None = None, date: str = "Date", dedupe: bool = False) -> None:
-    """Add the rows with unseen keys and apply flat retention.
+                 as_of: dt.date | str, days: int | None = None, date: str = "Date", dedupe: bool = False) -> int:
+    """Add the rows with unseen keys and apply flat retention. Returns how many rows were added.
 
     The merged table is written next to the old one and then swapped in, so a
-    failed run leaves the old table readable.
+    failed run leaves the old table readable. For tables that grow without bound
+    see :mod:`accumulated`, which rewrites nothing.
     """
-    if table_exists(spark, folder, name):
-        merged = append_new(spark.read.parquet(_path(folder, name)), new, keys, dedupe)
-    else:
-        merged = one_per_key(new, keys) if dedupe else new
+    added = Observation()
+    stored = spark.read.parquet(_path(folder, name)) if table_exists(spark, folder, name) else None
+    fresh = new if stored is None else new_rows(stored, new, keys)
+    fresh = (one_per_key(fresh, keys) if dedupe else fresh).observe(added, F.count(F.lit(1)).alias("rows"))
+    merged = fresh if stored is None else stored.unionByName(fresh, allowMissingColumns=True)
     merged = keep_days(merged, date, F.lit(str(as_of)).cast("date"), days)
     staged = _path(folder, f"{name}__next")
     merged.write.mode("overwrite").parquet(staged)
     swap(spark, staged, _path(folder, name))
+    return added.get["rows"]
 
 
 def swap(spark: SparkSession, staged: str, target: str) -> None:
+    """Puts a staged table in the place of another, which is kept aside until the staged one stands there."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = jvm_path(target).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(jvm_path(target), True)
-    if not fs.rename(jvm_path(staged), jvm_path(target)):
+    new, old, aside = jvm_path(staged), jvm_path(target), jvm_path(f"{target}__last")
+    fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(new):
+        raise RuntimeError(f"{staged} is not there to be moved")
+    if not fs.exists(old) and fs.exists(aside):  # an earlier swap ended between its two moves
+        fs.rename(aside, old)
+    fs.delete(aside, True)
+    if fs.exists(old) and not fs.rename(old, aside):
+        raise RuntimeError(f"could not move {target} aside")
+    if not fs.rename(new, old):
+        fs.rename(aside, old)
         raise RuntimeError(f"could not move {staged} to {target}")
+    fs.delete(aside, True)
 
 
 def log_step(spark: SparkSession, folder: str, module: str, rows: int, ms: int, note: str, ts: dt.datetime) -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from capsieve.plans import flows
 from capsieve.rules import Rules
 from capsieve.session import work_dir
-from capsieve.sources import tables
+from capsieve.sources import accumulated, tables
 from capsieve.streaming import call_rate, ingest, progress
 
 LOG = "ts timestamp, message string, ord bigint"
@@ -154,10 +154,68 @@ def test_weekly_daily_and_legacy(spark):
     assert dropped == {}
     row = run.read("11_validated_watchlist").collect()[0]
     assert (row["CatalystType"], row["RunwayQuarters"], row["DilutionStatus"], row["ChecklistRunway"]) == ("Tier-1", 4.0, "Pass (Offering)", "Pass")
+    # without verdicts the landed documents decide
+    page = "<h2>Statements of Cash Flows</h2><p>Three months ended</p><table><tr><td>Net cash used in operating activities</td><td>(2,000)</td></tr>" \
+           "<tr><td>Cash and cash equivalents, end of period</td><td>9,000</td></tr></table>"
+    run.write(run.read("02_filings").where("Form = '10-Q'").select("URL", F.lit(page).alias("html")), "02_documents")
+    assert flows.legacy(run).count() == 0 and run.read("11_validated_watchlist").collect()[0]["RunwayQuarters"] == 4.5
     with pytest.raises(ValueError):
         flows.weekly(run, {}, start_stage="nothing")
 
 
+def test_deliveries_accumulate(spark):
+    """Two weekly runs with disjoint filings keep both; the second reads runway texts of its own filings only."""
+    run, inputs = flows.Run(spark, tempfile.mkdtemp(prefix="spark-"), "2024-06-30"), flow_inputs(spark)
+    run.write(inputs["profiles"], "01_profiles")
+    early, late = inputs["filings"].where("FiledAt < '2024-05-01'"), inputs["filings"].where("FiledAt >= '2024-05-01'")
+    flows.filings_stage(run, early, inputs["texts"])
+    assert run.read("02_filings").count() == 0  # no core form yet, so nothing is covered
+    flows.filings_stage(run, late, inputs["texts"])
+    flows.filings_stage(run, late, inputs["texts"].limit(0))
+    rows = {r["ord"]: r for r in run.read("02_filings").collect()}
+    assert sorted(rows) == [1, 2, 3, 4] and rows[1]["RunwayQuarters"] == 4.0 and rows[2]["RunwayQuarters"] is None
+    assert spark.read.parquet(f"{run.folder}/{flows.FILINGS_STORE}").count() == 5
+    log = [(r["module"], r["rows"]) for r in run.read("runlog").orderBy("ts").collect() if r["module"] == "filings"]
+    assert log == [("filings", 2), ("filings", 3), ("filings", 0)]
+    assert accumulated.drop_months(spark, run.folder, flows.FILINGS_STORE, dt.date(2024, 5, 15)) == ["2024-03", "2024-04"]
+    assert spark.read.parquet(f"{run.folder}/{flows.FILINGS_STORE}").count() == 3
+
+
+def test_appends_read_touched_months(spark):
+    folder = tempfile.mkdtemp(prefix="spark-")
+    columns = flows.schema("02_filings")
+    for month in (1, 2, 3):
+        rows = spark.createDataFrame([filing(10 * month + i, day=dt.date(2024, month, 5)) for i in range(3)], FILING)
+        assert accumulated.accumulate(rows, folder, "t", flows.FILING_KEYS, "FiledAt", columns) == 3
+    again = spark.createDataFrame([filing(10, day=dt.date(2024, 1, 5)), filing(99, day=dt.date(2024, 1, 9)), filing(98, day=None)], FILING)
+    stored = accumulated.read_store(spark, folder, "t", columns)
+    fresh = accumulated.unseen(again, stored, flows.FILING_KEYS, "FiledAt")
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [Month" in plan and "2024-01,undated" in plan.replace(" ", "")
+    assert accumulated.accumulate(again, folder, "t", flows.FILING_KEYS, "FiledAt", columns) == 2
+    assert accumulated.accumulate(again.limit(0), folder, "t", flows.FILING_KEYS, "FiledAt", columns) == 0
+    with pytest.raises(ValueError):
+        accumulated.unseen(again, stored, ("CIK", "URL"), "FiledAt")
+
+
+def test_errors_are_logged(spark):
+    run = flows.Run(spark, tempfile.mkdtemp(prefix="spark-"), "2024-06-30")
+    with pytest.raises(tables.MissingTable):
+        run.logged("step", lambda: run.read("nothing").count())
+    assert run.read("errorlog").collect()[0]["module"] == "step"
+
+
+def test_swap_keeps_the_old_table(spark):
+    folder = tempfile.mkdtemp(prefix="spark-")
+    tables.write_table(spark.range(3), folder, "t")
+    with pytest.raises(RuntimeError):
+        tables.swap(spark, f"{folder}/missing", f"{folder}/t")
+    assert spark.read.parquet(f"{folder}/t").count() == 3
+    tables.write_table(spark.range(5), folder, "t__next")
+    tables.swap(spark, f"{folder}/t__next", f"{folder}/t")
+    assert spark.read.parquet(f"{folder}/t").count() == 5 and not tables.table_exists(spark, folder, "t__last")
+
+
 def test_tables(spark):
     folder = tempfile.mkdtemp(prefix="spark-")
     with pytest.raises(tables.MissingTable):
