@@ -147,22 +147,16 @@ def review_filter(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------- HTML
 
 @query("html_cells", sql=f"""
-WITH c AS ({COMPANY}), n AS (SELECT *, CASE WHEN no_balance THEN 0 ELSE 1 END AS ft,
-    replace(format('{{:,}}', cash), ' ', '') AS cash_text, format('{{:,}}', burn) AS burn_text FROM c)
-SELECT k AS SupplierId, ft AS TableIdx, 1 AS RowIdx, 2 AS ColIdx, '(' || burn_text || ')' AS Text FROM n
-UNION ALL SELECT k, ft, 4, 2, cash_text FROM n UNION ALL SELECT k, ft, 4, 0, 'Cash and cash equivalents, end of period' FROM n
-UNION ALL SELECT k, 0, 1, 1, '$ ' || cash_text FROM n WHERE NOT no_balance
+WITH c AS ({COMPANY}), n AS (SELECT *, CASE WHEN no_balance THEN 0 ELSE 1 END AS ft, format('{{:,}}', cash) AS ct, format('{{:,}}', burn) AS bt FROM c),
+r AS (SELECT k, ft AS t, i, [['', '2023', '2024'], ['Net cash used in operating activities', '(1)', '(' || bt || ')'], ['Net increase in cash', '5', '6'],
+    ['Cash and cash equivalents, beginning of period', '1', '2'], ['Cash and cash equivalents, end of period', '77', ct]][i + 1] AS cells FROM n, range(5) x(i)
+  UNION ALL SELECT k, 0, i, [['', '2024', '2023'], ['Cash and cash equivalents', '$ ' || ct, '999']][i + 1] FROM n, range(2) x(i) WHERE NOT no_balance)
+SELECT k AS SupplierId, CAST(t AS INTEGER) AS TableIdx, CAST(i AS INTEGER) AS RowIdx, CAST(j AS INTEGER) AS ColIdx, cells[j + 1] AS Text FROM r, range(3) y(j)
 """)
 def html_cells(t: Tables) -> DataFrame:
+    """Every cell of every table of the statements."""
     docs = companies(t).withColumn("html", statement_html())
-    cells = statements.html_cells(docs, "k")
-    two = F.when(F.col("no_balance"), 0).otherwise(1)
-    where = docs.select("k", "no_balance").withColumn("ft", two)
-    joined = cells.join(where, "k")
-    flow = (F.col("table_idx") == F.col("ft")) & (
-        ((F.col("row_idx") == 1) & (F.col("col_idx") == 2)) | ((F.col("row_idx") == 4) & F.col("col_idx").isin(0, 2)))
-    balance = ~F.col("no_balance") & (F.col("table_idx") == 0) & (F.col("row_idx") == 1) & (F.col("col_idx") == 1)
-    return joined.where(flow | balance).select(
+    return statements.html_cells(docs, "k").select(
         F.col("k").alias("SupplierId"), F.col("table_idx").alias("TableIdx"), F.col("row_idx").alias("RowIdx"),
         F.col("col_idx").alias("ColIdx"), F.col("text").alias("Text"))
 

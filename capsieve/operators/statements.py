@@ -135,18 +135,35 @@ def section(html: Column, headers: Sequence[str], window: int, patterns: Sequenc
 
     A heading that contains an earlier one never decides, so it is left out.
     """
+    return section_of(from_heading(html, headers, patterns), window)
+
+
+def section_of(rest: Column, window: int) -> Column:
+    closing = F.regexp_extract(rest, r"(?is)^.*?</table[^>]*>", 0)
+    return F.substr(rest, F.lit(1), F.greatest(F.length(closing), F.lit(window)))
+
+
+def from_heading(html: Column, headers: Sequence[str], patterns: Sequence[str] = ()) -> Column:
+    """The document from the first heading on; its place is the document's length less its own."""
     decisive = [h for i, h in enumerate(headers) if not any(e in h for e in headers[:i])]
     regexes = [quote(h) for h in decisive] + list(patterns)
     rests = [F.regexp_extract(html, rf"(?is){p}(?=.*?<t(?:able|r)).*", 0) for p in regexes]
-    rest = F.coalesce(*[F.nullif(r, F.lit("")) for r in rests])
-    closing = F.regexp_extract(rest, r"(?is)^.*?</table[^>]*>", 0)
-    return F.substr(rest, F.lit(1), F.greatest(F.length(closing), F.lit(window)))
+    return F.coalesce(*[F.nullif(r, F.lit("")) for r in rests])
+
 
+def placed_tables(text: Column, start: Column) -> Column:
+    """``array<struct(at, t)>``: the tables of a text and their places in the document, in which the text begins at ``start``."""
+    tables = _all(text, TABLE)
+    sizes = F.zip_with(F.slice(F.split(text, TABLE, -1), F.lit(1), F.size(tables)), tables, lambda g, t: F.struct(F.length(g).alias("g"), F.length(t).alias("t")))
+    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all"))
+    places = F.aggregate(sizes, none, lambda acc, x: F.struct(
+        (acc["at"] + x["g"] + x["t"]).alias("at"), F.array_append(acc["all"], acc["at"] + x["g"]).alias("all")))["all"]
+    return F.zip_with(places, tables, lambda a, t: F.struct((a + start).alias("at"), t.alias("t")))
 
-def scale_near(fragment: Column, html: Column) -> Column:
-    """Multiplier printed near a fragment: its head, above its table, before it, after it, or the document head."""
-    place = F.call_function("instr", html, F.substring(fragment, 1, 400))
-    place = F.when(place > 0, place)
+
+def scale_near(fragment: Column, html: Column, place: Column) -> Column:
+    """Multiplier printed near a fragment at a place of the document: its head, above its table, before it (up to 5,000
+    characters), after it (2,000), or the document head."""
     before_table = F.regexp_extract(fragment, r"(?is)^(.+?)<table", 1)
     prior = F.substr(html, F.lit(1), place - 1)
     near = F.substr(html, F.greatest(place - 5000, F.lit(1)), F.least(place - 1, F.lit(5000)))
@@ -250,10 +267,10 @@ def _first_key(text: Column, keys: Column) -> Column:
 
 
 def _read_tables(tables: Column, html: Column, sign: str) -> Column:
-    """``array<struct(scale, cash, flows)>`` of a list of HTML tables."""
-    def unpack(t: Column) -> Column:
-        rows = table_rows(t)
-        return F.struct(scale_near(t, html).alias("scale"), rows.alias("rows"))
+    """``array<struct(scale, cash, flows)>`` of a list of placed HTML tables."""
+    def unpack(x: Column) -> Column:
+        rows = table_rows(x["t"])
+        return F.struct(scale_near(x["t"], html, x["at"]).alias("scale"), rows.alias("rows"))
 
     def label(t: Column) -> Column:
         return F.struct(t["scale"].alias("scale"), _labelled(t["rows"]).alias("rows"), latest_year_column(t["rows"]).alias("column"))
@@ -278,18 +295,21 @@ def parse_statements(docs: DataFrame, html: str = "html", sign: str = "reported"
     out = docs.withColumn("__html", unescape_entities(F.coalesce(F.col(html), empty())))
     page = F.col("__html")
     out = out.withColumns({
-        "__balance": section(page, R.BALANCE_HEADERS, 60_000),
-        "__flow": section(page, R.CASHFLOW_HEADERS, 120_000, [R.CASHFLOW_HEADER_PATTERN])})
-    flow_tables = F.coalesce(_all(F.col("__flow"), TABLE), F.array().cast("array<string>"))
-    known = F.transform(_all(page, TABLE), lambda t, i: F.struct(_first_key(F.lower(t), keys).alias("key"), i.alias("i"), t.alias("t")))
+        "__balance_on": from_heading(page, R.BALANCE_HEADERS), "__flow_on": from_heading(page, R.CASHFLOW_HEADERS, [R.CASHFLOW_HEADER_PATTERN])})
+    out = out.withColumns({
+        "__balance": section_of(F.col("__balance_on"), 60_000), "__balance_at": F.length(page) - F.length("__balance_on") + 1,
+        "__flow": section_of(F.col("__flow_on"), 120_000), "__flow_at": F.length(page) - F.length("__flow_on") + 1}).drop("__balance_on", "__flow_on")
+    flow_tables = F.coalesce(placed_tables(F.col("__flow"), F.col("__flow_at")), F.array().cast("array<struct<at:int,t:string>>"))
+    known = F.transform(placed_tables(page, F.lit(1)), lambda x: F.struct(_first_key(F.lower(x["t"]), keys).alias("key"), x["at"].alias("at"), x["t"].alias("t")))
     out = out.withColumns({"__inside": flow_tables, "__known": F.array_sort(F.filter(known, lambda x: x["key"] > 0))})
-    outside = F.filter(F.transform("__known", lambda x: x["t"]), lambda t: ~F.array_contains(F.col("__inside"), t))
+    outside = F.filter(F.transform("__known", lambda x: F.struct(x["at"].alias("at"), x["t"].alias("t"))),
+                       lambda x: ~F.exists("__inside", lambda y: y["at"] == x["at"]))
     out = out.withColumn("__read", _read_tables(F.concat("__inside", outside), page, sign))
-    balance_cash = caption_number(strip_tags("__balance"), R.CASH_CAPTIONS_BALANCE) * scale_near(F.col("__balance"), page)
+    balance_cash = caption_number(strip_tags("__balance"), R.CASH_CAPTIONS_BALANCE) * scale_near(F.col("__balance"), page, F.col("__balance_at"))
     flow_text = F.when(F.col("__flow").isNotNull(), strip_tags("__flow"))
     out = out.withColumns({
         "__own": F.slice("__read", 1, F.size("__inside")), "__balance_cash": F.when(F.col("__balance").isNotNull(), balance_cash),
-        "__text": flow_text, "__scale": F.when(F.col("__flow").isNotNull(), scale_near(F.col("__flow"), page))})
+        "__text": flow_text, "__scale": F.when(F.col("__flow").isNotNull(), scale_near(F.col("__flow"), page, F.col("__flow_at")))})
 
     def first_cash(c: str) -> Column:
         return F.try_element_at(F.filter(F.transform(c, lambda t: t["cash"]), lambda v: v.isNotNull()), F.lit(1))

@@ -143,6 +143,25 @@ def test_statement_details(spark):
     assert rows[3]["cash"] is None and rows[3]["ocf"] is None
 
 
+def test_tables_with_equal_beginnings(spark):
+    """Two tables that agree in far more than their first words, each with its own scale before it."""
+    filler = "".join(f"<tr><td>Item {i}</td><td>{i}</td></tr>" for i in range(60))
+
+    def table(cash, flow):
+        return (f"<table><tr><td></td><td>2031</td></tr>{filler}<tr><td>Net cash used in operating activities</td><td>({flow})</td></tr>"
+                f"<tr><td>Cash and cash equivalents, end of period</td><td>{cash}</td></tr></table>")
+
+    gap = "\n" + "<p>text</p>\n" * 600
+    one = f"<p>Selected data</p>\n<p>(in millions)</p>{table(1, 2)}{gap}<h2>Statements of Cash Flows</h2>\n<p>(in thousands)</p>{table(900, 300)}"
+    two = f"<h2>Statements of Cash Flows</h2>\n<p>(in thousands)</p>{table(900, 300)}{gap}<p>Other data</p>\n<p>(in millions)</p>{table(1, 2)}"
+    docs = spark.createDataFrame([(1, one), (2, two)], "id int, html string")
+    rows = {r["id"]: r["statement"] for r in statements.parse_statements(docs).collect()}
+    assert {i: (s["cash"], s["ocf"]) for i, s in rows.items()} == {1: (900_000.0, -300_000.0), 2: (900_000.0, -2e6)}
+    placed = docs.select("id", statements.placed_tables(F.col("html"), F.lit(1)).alias("t")).collect()
+    texts = {1: one, 2: two}
+    assert all(texts[r["id"]][x["at"] - 1:].startswith(x["t"]) for r in placed for x in r["t"]) and [len(r["t"]) for r in placed] == [2, 2]
+
+
 def test_sign_option(spark):
     html = "<p>STATEMENTS OF CASH FLOWS</p><table><tr><td>Net cash provided by operating activities</td><td>5,000</td></tr></table>"
     docs = spark.createDataFrame([(html,)], "html string")
