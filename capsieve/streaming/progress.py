@@ -7,12 +7,12 @@ of their ticker, and each (ticker, form, date) is counted once.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from functools import partial
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import MapState
 
 from capsieve import rules as R
 from capsieve.functions.forms import progress_form
@@ -181,54 +181,87 @@ def eight_k_counts(parsed: DataFrame, order: Sequence[str]) -> DataFrame:
 # ---------------------------------------------------------------- stream
 
 STEPS = "ticker string, form string, ts timestamp, ord bigint, delta int, ok boolean"
-_STATE = "form string, key_form string, key_day string, done string, computed string"
-
-
-def _count_ticker(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState, idle_ms: int) -> Iterator[pd.DataFrame]:
-    """Apply the lines of one ticker in order and emit what they count."""
-    if state.hasTimedOut:
-        state.remove()
-        return
-    form, key_form, key_day, done_text, computed_text = state.get if state.exists else (None, None, None, "", "")
-    done, computed = set(done_text.split("\n")) - {""}, set(computed_text.split("\n")) - {""}
-    lines = pd.concat(list(batches)).sort_values(["ts", "ord"])
-    out: list[tuple] = []
-    for line in lines.itertuples(index=False):
-        named = line.form if isinstance(line.form, str) else None
-        if named:
-            form = named
-        label = form or UNSPECIFIED
-        if line.kind in ("fetch", "compute"):
-            key_form, key_day = label, line.day or ""
-        elif line.kind in ("form_status", "incomplete") and key_form is None:
-            key_form, key_day = label, ""
-        mark = f"{key_form or label}\t{key_day or ''}"
-        if line.kind == "compute" and mark not in computed:
-            computed.add(mark)
-            if mark not in done:
-                out.append((key[0], label, line.ts, line.ord, -1, None))
-        elif line.ok is not None and not pd.isna(line.ok) and mark not in done:
-            done.add(mark)
-            out.append((key[0], label, line.ts, line.ord, 1, bool(line.ok)))
-    state.update((form, key_form, key_day, "\n".join(sorted(done)), "\n".join(sorted(computed))))
-    state.setTimeoutTimestamp(max(lines["ts"].max().value // 1_000_000, state.getCurrentWatermarkMs()) + idle_ms)
-    if out:
-        yield pd.DataFrame(out, columns=["ticker", "form", "ts", "ord", "delta", "ok"])
-
-
-def progress_changes(log_stream: DataFrame, ts: str = "ts", ordinal: str = "ord", late: str = "1 day", idle_days: int = 30) -> DataFrame:
+_LAST, _MARK = "form string, key_form string, key_day string", "mark string"
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class _Tracker(StatefulProcessor):
+    """State of a ticker: its last form and key, and the keys counted already, each an entry of its own.
+
+    A micro-batch reads and writes the entries of its own keys only. Lines are handled as columns, not one by one.
+    """
+
+    def __init__(self, keep_ms: int | None):
+        self.keep_ms = keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", _LAST, self.keep_ms)
+        self.done, self.computed = (handle.getMapState(n, _MARK, "at long", self.keep_ms) for n in ("done", "computed"))
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timers: object) -> Iterator[pd.DataFrame]:  # noqa: N802
+        lines = pd.concat(list(rows)).sort_values(["ts", "ord"], ignore_index=True)
+        form, key_form, key_day = self.last.get() if self.last.exists() else (None, None, None)
+        forms = lines["form"].where(lines["form"].notna(), None)
+        forms.iloc[0] = forms.iloc[0] if forms.iloc[0] is not None else form
+        forms = forms.ffill()
+        label = forms.where(forms.notna(), UNSPECIFIED)
+
+        # fetch and compute lines set the key; before any of them the first other line naming a form does
+        sets, weak = lines["kind"].isin(("fetch", "compute")), lines["kind"].isin(("form_status", "incomplete"))
+        first = (sets | weak).idxmax() if key_form is None and (sets | weak).any() else None
+        at = sets.copy()
+        if first is not None:
+            at.iloc[first] = True
+        keys = pd.DataFrame({"form": label.where(at, None), "day": lines["day"].fillna("").where(sets, "").where(at, None)})
+        if key_form is not None and not at.iloc[0]:
+            keys.iloc[0] = [key_form, key_day or ""]
+        keys = keys.ffill()
+        mark = keys["form"].where(keys["form"].notna(), label) + "\t" + keys["day"].fillna("")
+
+        def firsts(which: pd.Series, seen: MapState) -> pd.Series:
+            """Places of the first such line of each key, -1 where it was counted in an earlier batch."""
+            places = pd.Series(lines.index, lines.index)[which].groupby(mark[which]).min()
+            known = [m for m in places.index if seen.containsKey((m,))]
+            for m in places.index.difference(known):
+                seen.updateValue((m,), (int(lines["ord"].iloc[places[m]]),))
+            places[known] = -1
+            return places
+
+        computed = firsts(lines["kind"] == "compute", self.computed)
+        counted_before = {m for m in computed.index if self.done.containsKey((m,))}
+        done = firsts(lines["ok"].notna(), self.done)
+        self.last.update((*(None if pd.isna(x) else x for x in (forms.iloc[-1], keys["form"].iloc[-1], keys["day"].iloc[-1])),))
+
+        steps = [(i, 1, bool(lines["ok"].iloc[i])) for i in done[done >= 0]]
+        # a compute line waits for its outcome, unless that came before
+        steps += [(i, -1, None) for m, i in computed[computed >= 0].items() if m not in counted_before and not 0 <= done.get(m, -1) < i]
+        if steps:
+            steps.sort()
+            place = [i for i, *_ in steps]
+            yield pd.DataFrame({
+                "ticker": key[0], "form": label.iloc[place].to_numpy(), "ts": lines["ts"].iloc[place].to_numpy(), "ord": lines["ord"].iloc[place].to_numpy(),
+                "delta": [d for _, d, _ in steps], "ok": pd.array([ok for *_, ok in steps], "boolean")})
+
+    def close(self) -> None:
+        pass
+
+
+def progress_changes(log_stream: DataFrame, ts: str = "ts", ordinal: str = "ord", keep_days: int | None = None) -> DataFrame:
     """Stream of counted steps, each (ticker, form, date) once; :func:`stream_totals` of the stored steps gives the counters.
 
-    State per ticker: last form and key, and the keys already counted. It is dropped when the
-    log has gone ``idle_days`` beyond the ticker's last line, so it does not grow for ever; lines
-    older than the watermark (``late``) are left out. The lines of a ticker in one micro-batch are
-    sorted together, so bound the batch at the source (``maxFilesPerTrigger``); :func:`progress` is
-    the form for a whole log.
+    State per ticker: last form and key, and the keys already counted, one entry each (in RocksDB, which the session is set
+    to). Nothing is forgotten, so a ticker that returns after any time is counted as in :func:`progress`. With ``keep_days``
+    an entry ends so long (processing time) after it was written; a key that returns later is counted again. The lines of a
+    ticker in one micro-batch are sorted together, so bound the batch at the source (``maxFilesPerTrigger``).
     """
+    spark = log_stream.sparkSession
+    if spark.conf.get(_STORE).rpartition(".")[2] != _ROCKSDB.rpartition(".")[2]:
+        spark.conf.set(_STORE, _ROCKSDB)
     lines = parse_log(log_stream).where("kind NOT IN ('eight_k', 'start')").select(
-        "ticker", F.col(ts).cast("timestamp").alias("ts"), F.col(ordinal).alias("ord"), "kind", "form", "day", "ok").withWatermark("ts", late)
-    count = partial(_count_ticker, idle_ms=idle_days * 86_400_000)
-    return lines.groupBy("ticker").applyInPandasWithState(count, STEPS, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
+        "ticker", F.col(ts).cast("timestamp").alias("ts"), F.col(ordinal).alias("ord"), "kind", "form", "day", "ok")
+    tracker = _Tracker(None if keep_days is None else keep_days * 86_400_000)
+    return lines.groupBy("ticker").transformWithStateInPandas(tracker, STEPS, "Append", "None" if keep_days is None else "ProcessingTime")
 
 
 def stream_totals(steps: DataFrame) -> DataFrame:

@@ -71,6 +71,27 @@ def test_progress_stream_equals_batch(spark):
     assert got == batch and got["20-F"] == (1, 1, 0)
 
 
+def test_tickers_return_after_months(spark):
+    """Lines of one ticker far apart, in many micro-batches: forms, keys and counted outcomes are remembered."""
+    folder, base = tempfile.mkdtemp(prefix="spark-"), dt.datetime(2024, 1, 1)
+    messages = ["parse_q10 [INFO] AA fetching 10-Q filed 2024-01-01", "parse_q10 [OK] AA runway status OK", "parse_q10 [OK] AA runway status OK",
+                "parse_q10 [WARN] AA runway status Missing OCF", "parse_q10 [INFO] AA fetching 10-K filed 2024-02-01", "parse_q10 [OK] AA runway status OK",
+                "dr_forms [WARN] BB 4 incomplete: missing filing URL", "dr_forms [WARN] BB 4 incomplete: missing filing URL",
+                "parse_q10 [INFO] compute_runway: AA cash=1 ocf=1 months=12 scale=1 est=interim form=20-F date=2024-03-01", "parse_q10 [OK] AA runway status OK",
+                "parse_q10 [INFO] AA fetching 10-Q filed 2024-01-01", "parse_q10 [OK] AA runway status OK"]
+    rows = spark.createDataFrame([(base + dt.timedelta(days=40 * i), m, i) for i, m in enumerate(messages)], LOG)
+    for i in range(0, len(messages), 2):
+        rows.where(F.col("ord").between(i, i + 1)).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = spark.readStream.schema(LOG).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    query = progress.progress_changes(stream).writeStream.format("memory").queryName("returning_out").outputMode("append").option(
+        "checkpointLocation", f"{folder}/cp").start()
+    query.processAllAvailable()
+    query.stop()
+    got = {r["form"]: (r["parsed"], r["valid"], r["missing"]) for r in progress.stream_totals(spark.table("returning_out")).collect()}
+    batch = {f: c[:3] for f, c in counts(progress.progress(rows)).items() if any(c[:3])}
+    assert got == batch and got["10-Q"] == (1, 1, 0) and got["FORM 4"] == (1, 0, 1)
+
+
 def test_call_rate_matches_brute_force(spark):
     base = dt.datetime(2024, 1, 1)
     rows = [("h" if i % 3 else "g", base + dt.timedelta(seconds=(i * 37) % 400)) for i in range(200)]
