@@ -79,14 +79,16 @@ def entry_text(e: Column) -> Column:
 
 
 def format_entries(items: Column) -> Column:
-    """Complete entries, first of each (date, form, link), joined by '; '."""
-    complete = F.filter(items, is_complete)
-    cores = F.transform(complete, entry_core)
-    first = F.filter(
-        F.transform(complete, lambda e, i: F.struct(
-            e.alias("e"), (F.array_position(cores, entry_core(e)) == i + F.lit(1)).alias("keep"))),
-        lambda x: x["keep"])
-    return F.array_join(F.transform(first, lambda x: entry_text(x["e"])), "; ")
+    """Complete entries, first of each (date, form, link), joined by '; '. Equal ones meet by sorting, not in pairs."""
+    keyed = F.array_sort(F.transform(F.filter(items, is_complete), lambda e, i: F.struct(entry_core(e).alias("core"), i.alias("i"), entry_text(e).alias("text"))))
+
+    def firsts(s: Column) -> Column:
+        return F.filter(s, lambda x, j: (j == 0) | (F.get(s, j - 1)["core"] != x["core"]))
+
+    # a single-element array lets the sorted list be computed once
+    kept = F.element_at(F.transform(F.array(keyed), firsts), 1)
+    placed = F.array_sort(F.transform(kept, lambda x: F.struct(x["i"].alias("i"), x["text"].alias("text"))))
+    return F.array_join(F.transform(placed, lambda x: x["text"]), "; ")
 
 
 # ---------------------------------------------------------------- summaries

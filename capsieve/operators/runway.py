@@ -154,7 +154,7 @@ def exhibit_index(docs: DataFrame, url: str, html: str, row_pattern: str = ROW,
 
 
 def exhibit_score(form: Column) -> Column:
-    """How likely an index row is the financial exhibit of a form."""
+    """How likely an index row is the financial exhibit of a form. The published scores and what they are given for."""
     kind, label = F.upper("doc_type"), F.col("label")
     statements, interim = label.contains("financial statements"), label.contains("interim")
     special = (

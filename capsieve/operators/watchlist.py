@@ -23,24 +23,10 @@ from capsieve.operators.lines import deciding_cells, full_lists, split_cells
 from capsieve.operators.market import merge_market
 from capsieve.operators.runway_rules import bucket, runway_days
 from capsieve.rules import RULES, Rules
+from capsieve.schemas import WATCHLIST_COLUMNS
 
 AsOf = dt.date | str | Column
 
-COLUMNS = (
-    "Ticker", "Company", "Sector", "CIK", "Price", "MarketCap", "ADV20", "LatestForm", "LatestFiledAt",
-    "LatestFiledAgeDays", "CatalystType", "Catalyst", "CatalystStatus", "CatalystPrimaryForm", "CatalystPrimaryDate",
-    "CatalystPrimaryDaysAgo", "CatalystPrimaryURL", "RunwayQuartersRaw", "RunwayQuarters", "RunwayCashRaw",
-    "RunwayCash", "RunwayQuarterlyBurnRaw", "RunwayQuarterlyBurn", "RunwayEstimate", "RunwayNotes", "RunwayDays",
-    "RunwayBucket", "RunwaySourceForm", "RunwaySourceDate", "RunwaySourceDaysAgo", "RunwaySourceURL", "RunwayStatus",
-    "DilutionFlag", "Dilution", "DilutionStatus", "DilutionFormsHit", "DilutionKeywordsHit", "DilutionPrimaryForm",
-    "DilutionPrimaryDate", "DilutionPrimaryDaysAgo", "DilutionPrimaryURL", "DilutionEvidenceAll", "Governance",
-    "GovernanceStatus", "GovernancePrimaryForm", "GovernancePrimaryDate", "GovernancePrimaryDaysAgo",
-    "GovernancePrimaryURL", "GovernanceEvidenceAll", "GovernanceNotes", "HasGoingConcern", "HasMaterialWeakness",
-    "Auditor", "Insider", "InsiderStatus", "InsiderForms345Links", "InsiderBuyCount", "HasInsiderCluster",
-    "Ownership", "OwnershipStatus", "OwnershipLinks", "Materiality", "SubscoresEvidenced", "SubscoresEvidencedCount",
-    "Status", "ChecklistPassed", "ChecklistCatalyst", "ChecklistDilution", "ChecklistRunway", "ChecklistGovernance",
-    "ChecklistInsider", "ChecklistOwnership", "RiskFlag", "Tier1Type", "Tier1Trigger",
-)
 CHECKS = ("Catalyst", "Dilution", "Runway", "Governance", "Insider", "Ownership")
 
 
@@ -238,6 +224,7 @@ def _judge(research: DataFrame, links: DataFrame, market: DataFrame, events: Dat
         F.when(F.col("q").isNull() & ((F.col("RunwayStatus") != "Missing") | (F.col("RunwaySourceURL") != "")), "RunwayMissing")))
     rows = rows.withColumn("__errors", errors)
     no_catalyst = F.upper("cat_text").isin("", "TBD") & ~on_catalyst
+    # fixed values: the wording of the published drop reasons
     reason = F.coalesce(
         F.when(~watchlist_market_gate(rules=rules), "Market gate"),
         F.when(no_burn | (F.col("estimate") == ""), "Missing runway burn metrics"),
@@ -301,7 +288,7 @@ def _judge(research: DataFrame, links: DataFrame, market: DataFrame, events: Dat
 def watchlist(checked: DataFrame) -> DataFrame:
     """Survivors with the report columns; a company whose cells continue has a row for each part."""
     part = ["EvidencePart"] if "EvidencePart" in checked.columns else []
-    return checked.where("DropReason = ''").select(*COLUMNS, *part)
+    return checked.where("DropReason = ''").select(*WATCHLIST_COLUMNS, *part)
 
 
 def drop_counts(checked: DataFrame) -> DataFrame:

@@ -24,20 +24,20 @@ def counts(df):
 
 
 MESSAGES = (
-    "parse_q10 [INFO] RECT fetching 6-K filed 2025-07-31T00:00:00 url https://e.com/x.htm",
-    "parse_q10 [INFO] compute_runway: RECT cash=1 ocf=1 months=12 scale=1 est=interim form=6-K date=2025-07-31",
-    "parse_q10 [WARN] RECT runway status Missing OCF (from exhibit)",
-    "parse_q10 [INFO] compute_runway: RECT cash=1 ocf=1 months=12 scale=1 est=interim form=6-K date=2025-09-30",
-    "parse_q10 [OK] RECT runway status OK (from exhibit)",
-    "parse_q10 [OK] RECT runway status OK (from exhibit)",
-    "INFO | dr_forms [INFO] TICK fetching 424B5 filed 2024-02-01 url https://e.com/424b5.htm",
-    "dr_forms [OK] TICK 424B5 form status OK dilution evidence captured",
-    "dr_forms [INFO] TICK fetching DEFA14A filed 2024-02-02 url https://e.com/d.htm",
-    "dr_forms [OK] TICK DEFA14A form status OK governance evidence captured",
-    "dr_forms [INFO] TICK fetching 4 filed 2024-02-03",
-    "dr_forms [WARN] TICK 4 incomplete: missing filing URL",
-    "dr_forms [WARN] TICK 4 incomplete: missing filing URL",
-    "parse_q10 [INFO] compute_runway: NOFORM cash=0 ocf=0 months=6 scale=1 est=interim date=2024-01-01",
+    "parse_q10 [INFO] QZT fetching 6-K filed 2031-05-15T00:00:00 url https://filings.example/one.htm",
+    "parse_q10 [INFO] compute_runway: QZT cash=1 ocf=1 months=12 scale=1 est=interim form=6-K date=2031-05-15",
+    "parse_q10 [WARN] QZT runway status Missing OCF (from exhibit)",
+    "parse_q10 [INFO] compute_runway: QZT cash=1 ocf=1 months=12 scale=1 est=interim form=6-K date=2031-08-20",
+    "parse_q10 [OK] QZT runway status OK (from exhibit)",
+    "parse_q10 [OK] QZT runway status OK (from exhibit)",
+    "INFO | dr_forms [INFO] LMN fetching 424B5 filed 2031-02-11 url https://filings.example/two.htm",
+    "dr_forms [OK] LMN 424B5 form status OK dilution evidence captured",
+    "dr_forms [INFO] LMN fetching DEFA14A filed 2031-02-12 url https://filings.example/three.htm",
+    "dr_forms [OK] LMN DEFA14A form status OK governance evidence captured",
+    "dr_forms [INFO] LMN fetching 4 filed 2031-02-13",
+    "dr_forms [WARN] LMN 4 incomplete: missing filing URL",
+    "dr_forms [WARN] LMN 4 incomplete: missing filing URL",
+    "parse_q10 [INFO] compute_runway: BARE cash=0 ocf=0 months=6 scale=1 est=interim date=2031-01-02",
 )
 
 
