@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from capsieve import rules as R
-from capsieve.functions.text import col, empty
+from capsieve.functions.text import col, empty, once
 
 
 def _quote(marker: str) -> str:
@@ -29,8 +29,12 @@ def parse_number(c: Column | str) -> Column:
     single comma followed by one to three digits is a decimal comma.
     """
     text = F.translate(F.coalesce(col(c).cast("string"), empty()), "\u2212\u00a0\u202f\u2009\u2007\u205f", "-     ")
-    found = F.regexp_extract(text, _NUMBER, 0)
-    run = F.rtrim(F.regexp_extract(found, _RUN, 0))
+    # most tokens of a text have no digit and need no pattern
+    found = once(text, lambda t: F.when(t.rlike("[0-9]"), F.regexp_extract(t, _NUMBER, 0)))
+    return once(found, lambda f: F.when(f.isNotNull(), once(F.rtrim(F.regexp_extract(f, _RUN, 0)), lambda run: _value(f, run))))
+
+
+def _value(found: Column, run: Column) -> Column:
     tight = F.regexp_replace(run, "[ '’]", "")
 
     def only(mark: str) -> Column:
@@ -50,7 +54,7 @@ def parse_number(c: Column | str) -> Column:
         .when(run.contains(","), F.replace(tight, F.lit(","), empty()))
         .otherwise(_merge_dots(tight))
     ).try_cast("double")
-    return F.when(found.rlike(_MINUS), -value).otherwise(value)
+    return once(value, lambda v: F.when(found.rlike(_MINUS), -v).otherwise(v))
 
 
 def _merge_dots(tight: Column) -> Column:

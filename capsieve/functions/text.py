@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -18,6 +18,14 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed a single time, however often it is used.
+
+    Inside lambdas nothing is shared between the places that name an expression; a lambda variable is.
+    """
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def any_of(conditions: Iterable[Column]) -> Column:
     """OR of the conditions; false when there are none."""
     return reduce(lambda a, b: a | b, conditions, F.lit(False))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from capsieve import rules as R
 from capsieve.functions.numbers import parse_number
 from capsieve.functions.text import (
-    col, contains_any, empty, match_form, match_form_literal, quote, string_array, strip, strip_tags, unescape_entities,
+    col, contains_any, empty, match_form, match_form_literal, once, quote, string_array, strip, strip_tags, unescape_entities,
 )
 from capsieve.operators.keyed import evaluate_once
 from capsieve.operators.runway_rules import months_in_text, scale_in, scale_in_lines
@@ -58,18 +58,22 @@ def caption_number(text: Column | str, captions: Sequence[str]) -> Column:
     Numbers after the caption are scored: footnote marks, years and counts in
     prose lose; negative, grouped or currency-marked numbers win; then position.
     """
-    norm = match_form(F.coalesce(col(text), empty()))
-    low = F.lower(norm)
     keys = string_array([match_form_literal(c).lower() for c in captions])
-    present = F.filter(keys, lambda k: F.contains(low, k))
-    values = F.transform(present, lambda k: _best_token(F.substr(
-        norm, F.call_function("instr", low, k) + F.length(k), F.lit(REACH_CHARS))))
-    return F.try_element_at(F.filter(values, lambda v: v.isNotNull()), F.lit(1))
+
+    def first(norm: Column, low: Column) -> Column:
+        def after(k: Column) -> Column:
+            return _best_token(F.substr(norm, F.call_function("instr", low, k) + F.length(k), F.lit(REACH_CHARS)))
+
+        # captions after the first one with a number are not read
+        return F.aggregate(F.filter(keys, lambda k: F.contains(low, k)), F.lit(None).cast("double"),
+                           lambda found, k: F.when(found.isNotNull(), found).otherwise(after(k)))
+
+    return once(match_form(F.coalesce(col(text), empty())), lambda norm: once(F.lower(norm), lambda low: first(norm, low)))
 
 
 def _best_token(after: Column) -> Column:
     tokens = F.filter(F.split(after, r"\s+"), lambda t: t != "")
-    return F.element_at(F.transform(F.array(tokens), _best_of), 1)
+    return once(tokens, _best_of)
 
 
 def _best_of(tokens: Column) -> Column:
@@ -84,20 +88,22 @@ def _best_of(tokens: Column) -> Column:
     def currency(t: Column) -> Column:
         return F.upper(F.regexp_replace(t, r"[^A-Za-z$€£¥₹₩₽]", "")).isin(*sorted(markers))
 
-    def read(t: Column, i: Column) -> Column:
+    def read(x: Column) -> Column:
+        i, t = x["i"], x["t"]
         before, after, after2 = at(i - 1), at(i + 1), at(i + 2)
         opened = t.rlike(r"[(\[]") | before.rlike(r"^[(\[]")
         closed = t.rlike(r"[)\]]") | after.rlike(r"[)\]]$")
         group = F.regexp_replace(t, r"[^0-9,.'’]", "")
         return F.struct(
-            i.alias("i"), parse_number(t).alias("v"), F.length(F.regexp_replace(t, "[^0-9]", "")).alias("digits"),
+            i.alias("i"), x["v"].alias("v"), F.length(F.regexp_replace(t, "[^0-9]", "")).alias("digits"),
             (t.rlike(r"[-−]") | (opened & closed)).alias("neg"),
             t.rlike(r"[.,  '’]").alias("sep"), t.rlike("[$€£¥₹₩₽]").alias("cur"),
             group.rlike(r"^\d{1,3}([,.'’]\d{3})+").alias("grouped"),
             (wordy(before) & (wordy(after) | wordy(after2)) & ~(currency(before) | currency(after))).alias("prose"),
             F.when(t.startswith("(") | t.endswith(")"), 1).otherwise(0).alias("block"))
 
-    numbers = F.filter(F.transform(F.slice(tokens, 1, REACH_TOKENS), read), lambda x: x["v"].isNotNull())
+    parsed = F.transform(F.slice(tokens, 1, REACH_TOKENS), lambda t, i: F.struct(i.alias("i"), t.alias("t"), parse_number(t).alias("v")))
+    numbers = F.transform(F.filter(parsed, lambda x: x["v"].isNotNull()), read)
 
     def strong(x: Column) -> Column:
         return (x["digits"] >= 3) | x["sep"] | x["cur"] | x["neg"] | (x["block"] == 1)
@@ -196,9 +202,8 @@ def row_numbers(row: Column) -> Column:
         before, after = strip(F.coalesce(F.get(cells, i - 1), empty())), strip(F.coalesce(F.get(cells, i + 1), empty()))
         opened = strip(c).startswith("(") | (before.startswith("(") & ~before.contains(")"))
         closes = strip(c).endswith(")") & strip(c).contains("(")
-        value = parse_number(c)
         minus = opened | closes | (after.endswith(")") & ~after.contains("("))
-        return F.struct(i.alias("i"), F.when((value >= 0) & minus, -value).otherwise(value).alias("v"))
+        return F.struct(i.alias("i"), once(parse_number(c), lambda v: F.when((v >= 0) & minus, -v).otherwise(v)).alias("v"))
 
     return F.filter(F.transform(cells, read), lambda x: x["v"].isNotNull())
 

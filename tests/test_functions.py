@@ -3,6 +3,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from capsieve.functions import dates, forms, numbers, text, urls
+from capsieve.operators import statements
 
 QUICK = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -82,3 +83,20 @@ def test_empty_lists_match_nothing(spark):
     from capsieve.functions import text
     row = spark.range(1).select(text.contains_any(F.lit("x"), ()).alias("a"), text.starts_any(F.lit("x"), ()).alias("b")).first()
     assert (row.a, row.b) == (False, False)
+
+
+def test_number_patterns_run_once(spark):
+    """Inside lambdas every mention of an expression is computed, so each pattern may be named a single time."""
+    rows = spark.createDataFrame([("(1,234.5)",), ("no digit",), (None,), ("−7",), ("1.234,5 EUR",)], "t string")
+    found = rows.select(numbers.parse_number("t").alias("v"))
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert plan.count(numbers._NUMBER) == 1 and plan.count(numbers._MINUS) == 1
+    assert [r.v for r in found.collect()] == [-1234.5, None, None, -7.0, 1234.5]
+
+
+def test_captions_after_the_first_number_are_not_read(spark):
+    text = F.concat(F.lit("Net cash used in operating activities 5,000 net cash provided by operating activities "), F.col("id").cast("string"), F.lit(",000"))
+    out = spark.range(2).select(statements.caption_number(text, ["net cash provided by operating activities", "net cash used in operating activities"]).alias("v"),
+                                statements.caption_number(F.lit("cash held: none. total cash 1,200"), ["cash held", "total cash"]).alias("w"))
+    assert [r.v for r in out.collect()] == [0.0, 1000.0] and out.collect()[0].w == 1200.0
+    assert out._jdf.queryExecution().analyzed().toString().count(numbers._NUMBER) == 2
