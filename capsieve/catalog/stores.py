@@ -5,7 +5,6 @@ Each writes tables of the sample data to a fresh folder of the shared work folde
 
 from __future__ import annotations
 
-import os
 import time
 import uuid
 
@@ -145,11 +144,9 @@ SELECT page_id AS PageId, CAST(length(coalesce(html, '')) + 1 AS INTEGER) AS Cha
 """)
 def text_files(t: Tables) -> DataFrame:
     """Every page as a file of its own, read back as filing text (a line end is added by the writer)."""
-    path = f"{new_folder(t)}/pages"
-    pages = t.base("pages").select("page_id", F.coalesce("html", F.lit("")).alias("value"))
-    pages.repartition(8, "page_id").write.partitionBy("page_id").text(path)
-    files = tables.read_text_files(t.spark, os.path.join(path, "*", "*.txt"))
-    return files.select(F.regexp_extract("URL", "page_id=([0-9]+)/", 1).cast("bigint").alias("PageId"), F.length("Text").alias("Chars"),
+    pages = t.base("pages").select(F.concat(F.lit("page_id="), "page_id", F.lit(".txt")).alias("name"), F.col("html").alias("text"))
+    files = tables.read_listed_files(tables.write_text_files(pages, f"{new_folder(t)}/pages"))
+    return files.select(F.regexp_extract("URL", "page_id=([0-9]+)[.]txt$", 1).cast("bigint").alias("PageId"), F.length("Text").alias("Chars"),
                         F.md5(F.col("Text").cast("binary")).alias("Digest"))
 
 

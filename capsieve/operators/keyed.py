@@ -42,6 +42,17 @@ def evaluate_once(df: DataFrame, column: str) -> DataFrame:
     return df.select(*others, F.explode(F.array(F.col(f"`{column}`"))).alias(column)).select([F.col(f"`{c}`") for c in df.columns])
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Small rows whose later work is costly, dealt to at least three tasks a core by their keys.
+
+    A small file is read by one or two tasks, however much is computed from each row, and adaptive execution merges
+    small partitions; a stated number of them stays.
+    """
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
+    return df.repartition(tasks, *keys)
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], ordinal: str) -> DataFrame:
     return top_rows(df, keys, [F.asc(ordinal)])
 

@@ -4,15 +4,21 @@ from __future__ import annotations
 
 import datetime as dt
 import os
-from collections.abc import Iterable, Sequence
+import uuid
+from collections.abc import Iterable, Iterator, Sequence
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from capsieve.operators.keyed import align, keep_days, new_rows, one_per_key
+from capsieve.operators.keyed import align, keep_days, new_rows, one_per_key, spread
 from capsieve.schemas import schema
+from capsieve.session import stored_once
+
+FILES_PER_FOLDER, BATCH_BYTES = 4096, 8 << 20
 
 
 class MissingTable(RuntimeError):
@@ -154,9 +160,73 @@ def stage_counts(tables: dict[str, DataFrame | None], spark: SparkSession) -> Da
 
 def read_text_files(spark: SparkSession, path: str) -> DataFrame:
     """``(URL, Text)`` of filing files; undecodable bytes are dropped."""
-    files = spark.read.format("binaryFile").load(path)
+    return _texts(spark.read.format("binaryFile").load(path).select(F.col("path").alias("URL"), "content"))
+
+
+def _texts(files: DataFrame) -> DataFrame:
     text = F.replace(F.make_valid_utf8(F.col("content").cast("string")), F.lit("\ufffd"), F.lit(""))
-    return files.select(F.regexp_replace("path", "^file:/+", "file:///").alias("URL"), text.alias("Text"))
+    return files.select(F.regexp_replace("URL", "^file:/+", "file:///").alias("URL"), text.alias("Text"))
+
+
+def _store(uri: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a link as Hadoop writes it (``file:/x``, ``s3a://``)."""
+    return fs.FileSystem.from_uri("/" + uri[5:].lstrip("/") if uri.startswith("file:") else uri.replace("s3a://", "s3://", 1))
+
+
+def write_text_files(texts: DataFrame, folder: str) -> DataFrame:
+    """``texts (name, text)``, each as a file of its own with a line end; returns the written table of their links (``URL``).
+
+    Tasks write the files at their final places, into folders of their own, and the list of links is a table. Nothing is
+    moved or listed by the driver, so its work does not grow with the files. What a lost attempt has written is in no list.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        attempt, count = uuid.uuid4().hex, 0
+        store, root = _store(folder)
+        for batch in batches:
+            links = []
+            for name, text in zip(batch.column(0), batch.column(1)):
+                place = f"{attempt}-{count // FILES_PER_FOLDER}"
+                if count % FILES_PER_FOLDER == 0:
+                    store.create_dir(f"{root}/{place}", recursive=True)
+                with store.open_output_stream(f"{root}/{place}/{name.as_py()}") as out:
+                    out.write(text.as_py().encode() + b"\n")
+                links.append(f"{folder}/{place}/{name.as_py()}")
+                count += 1
+            yield pa.RecordBatch.from_arrays([pa.array(links, pa.string())], ["URL"])
+
+    whole = texts.select("name", F.coalesce("text", F.lit("")).alias("text"))
+    return stored_once(whole.mapInArrow(run, "URL string"), "text-files")
+
+
+def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def batch(links: list[str], found: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(links, pa.string()), pa.array(found, pa.binary())], ["URL", "content"])
+
+    store, root, before = None, "", 0
+    for given in batches:
+        links, found, size = [], [], 0
+        for link in given.column(0).to_pylist():
+            if link is None:
+                continue
+            if not root or not link.startswith(root):  # one file system per scheme and host
+                store, path = _store(link)
+                before = len(link) - len(path)
+                root = link[:before] if link.endswith(path) else link
+            else:
+                path = link[before:]
+            with store.open_input_stream(path) as file:
+                found.append(file.read())
+            links.append(link)
+            size += len(found[-1])
+            if size >= BATCH_BYTES:
+                yield batch(links, found)
+                links, found, size = [], [], 0
+        yield batch(links, found)
+
+
+def read_listed_files(files: DataFrame) -> DataFrame:
+    """:func:`read_text_files` of the files whose links are listed in a table (``URL``): tasks open them, the driver lists nothing."""
+    return _texts(spread(files.select("URL"), "URL").mapInArrow(_contents, "URL string, content binary"))
 
 
 def tail(log: DataFrame, rows: int = 500, ts: str = "ts", ordinal: str | None = None) -> DataFrame:

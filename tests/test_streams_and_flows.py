@@ -5,7 +5,9 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
+from capsieve.catalog import stores
 from capsieve.plans import flows
+from capsieve.plans.standins import Tables
 from capsieve.rules import Rules
 from capsieve.session import work_dir
 from capsieve.sources import accumulated, tables
@@ -267,3 +269,22 @@ def test_text_files(spark):
         handle.write(b"Cash \xff and more")
     row = tables.read_text_files(spark, folder).collect()[0]
     assert row["URL"].endswith("a.htm") and row["URL"].startswith("file:///") and row["Text"] == "Cash  and more"
+
+
+def test_files_of_their_own_are_written_and_listed_by_tasks(spark):
+    """More texts than a folder holds, nulls and line ends; no path goes through the driver."""
+    folder = tempfile.mkdtemp(prefix="spark-")
+    rows = spark.range(0, 5000, 1, 2).select(F.concat(F.col("id").cast("string"), F.lit(".txt")).alias("name"),
+                                             F.when(F.col("id") % 7 != 0, F.concat(F.lit("Käse\r\n "), "id")).alias("text"))
+    files = tables.write_text_files(rows, folder)
+    found = tables.read_listed_files(files)
+    number = F.regexp_extract("URL", "/([0-9]+)[.]txt$", 1).cast("long")
+    wrong = found.where(~F.col("Text").eqNullSafe(F.concat(F.when(number % 7 != 0, F.concat(F.lit("Käse\r\n "), number)).otherwise(""), F.lit("\n"))))
+    assert found.count() == found.select("URL").distinct().count() == 5000 and wrong.count() == 0
+    assert found.where("URL NOT LIKE 'file:///%' AND URL NOT LIKE '/%'").count() == 0
+    assert "BinaryFile" not in found._jdf.queryExecution().toString() and files.columns == ["URL"]
+
+
+def test_pages_as_files_go_through_no_listing(spark):
+    plan = stores.text_files(Tables(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().toString()
+    assert "text-files" in plan and "binaryFile" not in plan
