@@ -9,7 +9,7 @@ from capsieve.catalog.base import query
 from capsieve.functions import numbers
 from capsieve.operators import runway as rw
 from capsieve.operators import runway_rules as rr
-from capsieve.operators import resolution, scoring, statements
+from capsieve.operators import keyed, resolution, scoring, statements
 from capsieve.plans.standins import FILINGS_AS_OF, Tables
 
 # cash, operating cash flow, months and print scale of a made-up company per supplier
@@ -21,7 +21,8 @@ SELECT s_suppkey AS k, s_name AS name, (s_suppkey + 1) * 1000 AS cash, (s_suppke
 
 
 def companies(t: Tables) -> DataFrame:
-    return t.sql(COMPANY)
+    """Rows of a few numbers that become whole documents, so they are dealt to all tasks first."""
+    return keyed.spread(t.sql(COMPANY), "k")
 
 
 def _n(c: str) -> Column:

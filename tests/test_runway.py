@@ -2,10 +2,12 @@ import pytest
 from conftest import one
 from pyspark.sql import functions as F
 
+from capsieve.catalog import runway as runway_catalog
 from capsieve.operators import resolution as rs
 from capsieve.operators import runway as rw
 from capsieve.operators import runway_rules as rr
 from capsieve.operators import statements
+from capsieve.plans.standins import Tables
 
 
 def verdict(spark, cash, ocf, months, form="10-Q", quarterly=None):
@@ -187,3 +189,13 @@ def test_facts_never_pair_filings_with_facts(spark):
     filings = spark.createDataFrame([("u1", "10-Q", "1", "a1"), ("u3", "10-Q", "1", "zz")], "URL string, Form string, CIK string, Accn string")
     got = {r["URL"]: r["result"]["cash_raw"] for r in rw.facts_runway(filings, facts, "ord", parse_url=False).collect()}
     assert got == {"u1": 10.0, "u3": 20.0}
+
+
+def task_count(df):
+    return df.select(F.spark_partition_id().alias("p")).distinct().count()
+
+
+def test_statements_of_a_small_file_are_parsed_by_many_tasks(spark):
+    companies = runway_catalog.companies(Tables(spark, "/root/testdata/sf0.01"))
+    parsed = statements.parse_statements(companies.withColumn("html", runway_catalog.statement_html()))
+    assert task_count(parsed) >= 8 and parsed.count() == spark.read.parquet("/root/testdata/sf0.01/supplier.parquet").count()
