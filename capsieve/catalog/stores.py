@@ -17,6 +17,7 @@ from capsieve.functions.urls import form_from_url
 from capsieve.operators import evidence as ev
 from capsieve.operators import runway as rw
 from capsieve.operators import statements
+from capsieve.operators.keyed import numbered
 from capsieve.plans import flows
 from capsieve.plans.standins import FILINGS_AS_OF, Tables
 from capsieve.rules import INSIDER_LINK, OWNERSHIP_LINK
@@ -159,9 +160,9 @@ SELECT '8-K Events' AS Form, greatest(p, v + f) AS Parsed, v AS Valid, f AS Miss
 """)
 def eight_k_progress(t: Tables) -> DataFrame:
     """Latest counters of the 8-K lines of a log, one line per event."""
+    events = numbered(t.base("events").select("ts", "event_id", "event_type"), ["ts", "event_id"])
     lines = t.sql("""SELECT ts, event_id AS ord, CASE event_type WHEN 'view' THEN concat('eight_k: parsed ', n) WHEN 'error' THEN concat('eight_k: failed ', n)
-      ELSE concat('eight_k: (1.0%) processed ', n, '/', total) END AS message
-      FROM (SELECT *, row_number() OVER (ORDER BY ts, event_id) AS n, count(*) OVER () AS total FROM events) x""")
+      ELSE concat('eight_k: (1.0%) processed ', n, '/', total) END AS message FROM numbered_events""", numbered_events=events)
     return progress.progress(lines).where("form = '8-K Events'").select(
         F.col("form").alias("Form"), F.col("parsed").alias("Parsed"), F.col("valid").alias("Valid"), F.col("missing").alias("Missing"))
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from capsieve.functions.text import blank_to_null
+from capsieve.session import stored_once
 
 LINES_PER_PART = 10_000
 
@@ -48,9 +49,28 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     A small file is read by one or two tasks, however much is computed from each row, and adaptive execution merges
     small partitions; a stated number of them stays.
     """
+    return df.repartition(_tasks(df), *keys)
+
+
+def _tasks(df: DataFrame) -> int:
     spark = df.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
-    return df.repartition(tasks, *keys)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
+
+
+def numbered(df: DataFrame, order: Sequence[str], name: str = "n", total: str = "total") -> DataFrame:
+    """Rows numbered from 1 in a unique order over the whole table, and their total, without one task that sees them all.
+
+    Rows are dealt to tasks by ranges of the order and written, so that ranges and sizes are those of one run;
+    they are numbered inside each range, and the sizes of the ranges before it are added.
+    """
+    ranges = stored_once(df.repartitionByRange(4 * _tasks(df), *order).withColumn("__range", F.spark_partition_id()), "ranges")
+    sizes = ranges.groupBy("__range").agg(F.count("*").alias("__size"))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    sizes = sizes.select("__range", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__before"), F.sum("__size").over(every).alias(total))
+    inside = Window.partitionBy("__range").orderBy(*order)
+    return ranges.withColumn(name, F.row_number().over(inside)).join(sizes, "__range").withColumn(
+        name, F.col(name) + F.col("__before")).drop("__range", "__before")
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], ordinal: str) -> DataFrame:
