@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from capsieve.functions.text import col, empty, strip
+from capsieve.functions.text import col, empty, once, strip
 
 
 def as_date(as_of: dt.date | str | Column) -> Column:
@@ -17,7 +17,10 @@ def as_date(as_of: dt.date | str | Column) -> Column:
 
 def parse_date(c: Column | str) -> Column:
     """Day of a date text: ISO, ISO with a time, else day-first; null when unreadable."""
-    text = strip(F.coalesce(col(c).cast("string"), empty()))
+    return once(strip(F.coalesce(col(c).cast("string"), empty())), lambda text: F.when(text.rlike("^[0-9]"), _read_date(text)))
+
+
+def _read_date(text: Column) -> Column:
     iso_day = F.regexp_extract(text, r"^(\d{4}-\d{2}-\d{2})(?:[ T]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?Z?)?$", 1)
     # only texts of the right shape reach a parser: a failed parse is costly
     day_first = F.translate(F.regexp_extract(text, r"^(\d{1,2}[/.-]\d{1,2}[/.-]\d{4})$", 1), ".-", "//")
@@ -25,10 +28,10 @@ def parse_date(c: Column | str) -> Column:
     named = F.regexp_extract(text, r"^(\d{1,2} [A-Za-z]{3} \d{4})$", 1)
 
     def read(shaped: Column, pattern: str) -> Column:
-        return F.when(shaped != "", F.to_date(F.try_to_timestamp(shaped, F.lit(pattern))))
+        return once(shaped, lambda s: F.when(s != "", F.to_date(F.try_to_timestamp(s, F.lit(pattern)))))
 
     return F.coalesce(
-        F.when(iso_day != "", iso_day.try_cast("date")), read(day_first, "d/M/yyyy"), read(year_first, "yyyy/M/d"),
+        iso_day.try_cast("date"), read(day_first, "d/M/yyyy"), read(year_first, "yyyy/M/d"),
         read(named, "d MMM yyyy"))
 
 

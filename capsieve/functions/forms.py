@@ -6,15 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from capsieve import rules as R
-from capsieve.functions.text import empty, clean_text, col, lookup, squeeze, starts_any, upper_key
+from capsieve.functions.text import empty, clean_text, col, lookup, once, squeeze, starts_any, upper_key
 
 
 def form_in_text(c: Column | str) -> Column:
     """First form named in a text or link, in canonical spelling; null when none is."""
     found = F.upper(F.regexp_extract(F.coalesce(col(c), empty()), R.FORM_IN_TEXT, 1))
-    compact = F.regexp_replace(found, r"[\sX/_-]", "")
-    compact = F.regexp_replace(F.regexp_replace(compact, "QT", "Q"), "KT", "K")
-    return F.when(found != "", lookup(compact, R.FORM_TEXT_NAMES, compact))
+
+    def spelled(name: Column) -> Column:
+        compact = F.regexp_replace(F.regexp_replace(F.regexp_replace(name, r"[\sX/_-]", ""), "QT", "Q"), "KT", "K")
+        return F.when(name != "", once(compact, lambda short: lookup(short, R.FORM_TEXT_NAMES, short)))
+
+    return once(found, spelled)
 
 
 def canonical_form(c: Column | str) -> Column:

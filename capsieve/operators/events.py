@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from capsieve import rules as R
 from capsieve.functions.dates import iso, parse_date
 from capsieve.functions.text import (
-    blank_to_null, cik, clean_text, col, contains_any, empty, first_nonblank, quote, starts_any,
+    blank_to_null, cik, clean_text, col, contains_any, empty, first_nonblank, once, quote, starts_any,
     strip, strip_tags, ticker, upper_key, url_key, urls_in,
 )
 from capsieve.functions.urls import accession_token
 from capsieve.operators.keyed import last_per_key, top_rows
+from capsieve.session import stored_once
 
 Lexicon = Sequence[tuple[str, Sequence[str]]]
 ITEM = r"(?i)item\s+(\d+\.\d{2})"
@@ -36,7 +37,10 @@ def classify(text: Column | str, items: Column, lexicon: Lexicon = R.EVENT_LEXIC
     ``match='substring'`` also finds short words inside longer ones ("atm" in
     "treatment"), which is the published behaviour; ``'word'`` does not.
     """
-    low = F.lower(F.coalesce(col(text), empty()))
+    return once(F.lower(F.coalesce(col(text), empty())), lambda low: _classified(low, items, lexicon, match))
+
+
+def _classified(low: Column, items: Column, lexicon: Lexicon, match: str) -> Column:
     kind, tier = F.when(F.lit(False), ""), F.when(F.lit(False), "")
     for name, words in lexicon:
         found = _mentions(low, words, match)
@@ -68,7 +72,7 @@ def best_tier(*tiers: Column) -> Column:
 def dilution_tags(text: Column) -> Column:
     """Tags of the dilution phrases in a lower-case text, in lexicon order."""
     pairs = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(t).alias("t")) for w, t in R.DILUTION_TAGS])
-    return F.transform(F.filter(pairs, lambda p: F.contains(text, p["w"])), lambda p: p["t"])
+    return once(text, lambda low: F.transform(F.filter(pairs, lambda p: F.contains(low, p["w"])), lambda p: p["t"]))
 
 
 def _has_item(items: Column, prefixes: Sequence[str]) -> Column:
@@ -94,10 +98,9 @@ def parse_8k(filings: DataFrame, text: str = "Text") -> DataFrame:
 
     press = optional("PressReleases", "array<string>")
     exhibits = optional("Exhibits", "array<struct<document_type:string,document:string>>")
-    body = strip_tags(text)
-    sections = F.zip_with(
+    sections = once(strip_tags(text), lambda body: F.zip_with(
         F.regexp_extract_all(body, F.lit(ITEM), F.lit(1)), F.slice(F.split(body, ITEM), 2, 1 << 30),
-        lambda i, t: F.struct(i.alias("item"), strip(t).alias("text")))
+        lambda i, t: F.struct(i.alias("item"), strip(t).alias("text"))))
     parsed = filings.withColumns({"__sections": sections, "__press": press, "__exhibits": exhibits})
     spoken = F.transform(F.filter("__sections", lambda s: ~s["item"].startswith("9.01")), lambda s: s["text"])
     spoken = F.concat(spoken, F.transform("__press", strip))
@@ -280,36 +283,38 @@ def match_events(rows: DataFrame, events: DataFrame, row_id: str, links: Column
 
     ``links`` is an array of the row, or a table (row_id, pos, link).
 
-    Every lookup is reduced to one row per key before it is joined, and the link
-    steps run on exploded links reduced to the first hit per row.
+    The events are written once, as four lookups are made of them. Every lookup is reduced to one row per key before
+    it is joined, those by link and folder to keys that a row names, and the link steps run on exploded links
+    reduced to the first hit per row.
     """
     fields = [c for c in events.columns if c != ordinal]
-    packed = events.select(
+    packed = stored_once(events.select(
         F.struct(*fields).alias("event"), url_key("FilingURL").alias("k_url"), cik("CIK").alias("k_cik"),
         ticker("Ticker").alias("k_ticker"), accession_token("FilingURL").alias("k_acc"),
         F.coalesce("FilingDate", empty()).alias("o_date"), F.coalesce("FilingURL", empty()).alias("o_url"),
-        F.col(ordinal).alias("o_ord"))
+        F.col(ordinal).alias("o_ord")), "events")
     newest = [F.desc("o_date"), F.desc("o_url"), F.asc("o_ord")]
 
-    def table(key: str, order: Sequence[Column], name: str) -> DataFrame:
-        best = top_rows(packed.where(F.col(key) != ""), [key], order)
-        return best.select(key, F.col("event").alias(name))
+    def table(key: str, order: Sequence[Column], name: str, asked: DataFrame | None = None) -> DataFrame:
+        known = packed.where(F.col(key) != "")
+        if asked is not None:
+            known = known.join(asked.select(key).distinct(), key, "left_semi")
+        return top_rows(known, [key], order).select(key, F.col("event").alias(name))
 
-    by_url = table("k_url", [F.asc("o_ord")], "e_url")
     by_cik = table("k_cik", newest, "e_cik")
     by_ticker = table("k_ticker", newest, "e_ticker")
-    by_folder = table("k_acc", [F.desc("o_date"), F.asc("o_ord")], "e_acc")
 
     exploded = links if isinstance(links, DataFrame) else rows.select(row_id, F.posexplode(links).alias("pos", "link"))
 
-    def first_hit(keyed: DataFrame, lookup: DataFrame, key: str, name: str) -> DataFrame:
-        hits = keyed.where(F.col(key) != "").join(lookup, key)
+    def first_hit(keyed: DataFrame, order: Sequence[Column], key: str, name: str) -> DataFrame:
+        keyed = keyed.where(F.col(key) != "")
+        hits = keyed.join(table(key, order, name, keyed), key)
         return top_rows(hits, [row_id], [F.asc("pos")]).select(row_id, name)
 
     out = rows.withColumns({"k_cik": cik("CIK"), "k_ticker": ticker("Ticker")})
-    out = out.join(first_hit(exploded.withColumn("k_url", url_key("link")), by_url, "k_url", "e_url"), row_id, "left")
-    out = out.join(first_hit(exploded.withColumn("k_acc", accession_token("link")), by_folder, "k_acc", "e_acc"),
-                   row_id, "left")
+    out = out.join(first_hit(exploded.withColumn("k_url", url_key("link")), [F.asc("o_ord")], "k_url", "e_url"), row_id, "left")
+    by_folder = first_hit(exploded.withColumn("k_acc", accession_token("link")), [F.desc("o_date"), F.asc("o_ord")], "k_acc", "e_acc")
+    out = out.join(by_folder, row_id, "left")
     out = out.join(by_cik, "k_cik", "left").join(by_ticker, "k_ticker", "left")
     event = F.coalesce("e_url", "e_cik", "e_ticker", "e_acc")
     return out.withColumn("event", event).drop("k_cik", "k_ticker", "e_url", "e_acc", "e_cik", "e_ticker")

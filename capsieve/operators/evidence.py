@@ -16,7 +16,7 @@ from capsieve import rules as R
 from capsieve.functions.dates import age_days, iso, parse_date
 from capsieve.functions.forms import is_dilution_only_form, is_manager_form
 from capsieve.functions.text import (
-    clean_text, col, contains_any, empty, first_url, squeeze, starts_any, string_array, strip, urls_in,
+    clean_text, col, contains_any, empty, first_url, once, squeeze, starts_any, string_array, strip, urls_in,
 )
 from capsieve.functions.urls import url_matches_form
 
@@ -32,13 +32,12 @@ def entries(cell: Column | str) -> Column:
     def parse(raw: Column) -> Column:
         day = F.regexp_extract(raw, r"(20\d{2}-\d{2}-\d{2})", 1)
         after = F.regexp_extract(raw, r"(?s)20\d{2}-\d{2}-\d{2}[ |]*(.*)$", 1)
-        rest = F.when(after != "", after).otherwise(raw)
+        rest = once(after, lambda a: F.when(a != "", a).otherwise(raw))
         head = strip(F.regexp_replace(strip(F.regexp_extract(rest, r"^([^|]*)", 1)), "(?is)http.*$", ""))
-        form = squeeze(F.upper(F.regexp_extract(head, r"^([A-Za-z0-9./-]+(?:\s+[A-Za-z0-9.-]+)?)", 1)))
-        leading = parse_date(F.regexp_extract(head, r"^(\S+)", 1))
-        return F.struct(
-            raw.alias("raw"), F.coalesce(day.try_cast("date"), leading).alias("date"), form.alias("form"),
-            first_url(raw).alias("url"), F.lower(raw).alias("lower"))
+        return once(head, lambda h: F.struct(
+            raw.alias("raw"), F.coalesce(day.try_cast("date"), parse_date(F.regexp_extract(h, r"^(\S+)", 1))).alias("date"),
+            squeeze(F.upper(F.regexp_extract(h, r"^([A-Za-z0-9./-]+(?:\s+[A-Za-z0-9.-]+)?)", 1))).alias("form"),
+            first_url(raw).alias("url"), F.lower(raw).alias("lower")))
 
     pieces = F.filter(F.transform(F.split(F.coalesce(col(cell), empty()), r"[;\n]+"), strip), lambda x: x != "")
     return F.transform(pieces, parse)
@@ -107,10 +106,13 @@ def summary_of(entry: Column, as_of: object) -> Column:
 
 def guarded_entry(items: Column) -> Column:
     """Primary entry, replaced by the first consistent one when its link does not fit its form."""
-    best = primary_entry(items)
     fits = F.filter(items, lambda e: (e["form"] != "") & (e["url"] != "") & url_matches_form(e["form"], e["url"]))
-    bad = (best["form"] != "") & (best["url"] != "") & ~url_matches_form(best["form"], best["url"])
-    return F.when(bad, F.coalesce(F.try_element_at(fits, F.lit(1)), best)).otherwise(best)
+
+    def guarded(best: Column) -> Column:
+        bad = (best["form"] != "") & (best["url"] != "") & ~url_matches_form(best["form"], best["url"])
+        return F.when(bad, F.coalesce(F.try_element_at(fits, F.lit(1)), best)).otherwise(best)
+
+    return once(primary_entry(items), guarded)
 
 
 # ---------------------------------------------------------------- dilution
