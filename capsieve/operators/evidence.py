@@ -119,15 +119,16 @@ def guarded_entry(items: Column) -> Column:
 
 def dilution_line(raw: Column) -> Column:
     """``struct(form, link, hit)`` of one ``date | form | link`` line."""
-    parts = F.transform(F.split(raw, r"\|"), strip)
-    form = clean_text(F.coalesce(F.try_element_at(parts, F.lit(2)), empty()))
-    links = F.filter(parts, lambda p: F.lower(p).startswith("http"))
-    tokens = F.filter(F.split(F.replace(raw, F.lit("|"), F.lit(" ")), r"\s+"), lambda p: F.lower(p).startswith("http"))
-    link = F.coalesce(F.try_element_at(links, F.lit(-1)), F.try_element_at(tokens, F.lit(-1)), empty())
-    name = F.upper(form)
-    hit = contains_any(name, R.RESEARCH_DILUTION_FORMS) | (
-        (name == "8-K") & contains_any(F.lower(raw), R.RESEARCH_DILUTION_WORDS))
-    return F.struct(form.alias("form"), link.alias("link"), hit.alias("hit"))
+    def read(parts: Column, form: Column) -> Column:
+        links = F.filter(parts, lambda p: F.lower(p).startswith("http"))
+        tokens = F.filter(F.split(F.replace(raw, F.lit("|"), F.lit(" ")), r"\s+"), lambda p: F.lower(p).startswith("http"))
+        link = F.coalesce(F.try_element_at(links, F.lit(-1)), F.try_element_at(tokens, F.lit(-1)), empty())
+        hit = once(F.upper(form), lambda name: contains_any(name, R.RESEARCH_DILUTION_FORMS) | (
+            (name == "8-K") & contains_any(F.lower(raw), R.RESEARCH_DILUTION_WORDS)))
+        return F.struct(form.alias("form"), link.alias("link"), hit.alias("hit"))
+
+    return once(F.transform(F.split(raw, r"\|"), strip), lambda parts: once(
+        clean_text(F.coalesce(F.try_element_at(parts, F.lit(2)), empty())), lambda form: read(parts, form)))
 
 
 def dilution_notes(forms: Column) -> Column:

@@ -17,7 +17,7 @@ from capsieve.functions.urls import is_primary_source
 from capsieve.operators.events import catalyst_by_form, catalyst_event, primary_event, tier_rank
 from capsieve.operators.evidence import dilution_line, dilution_notes
 from capsieve.operators.filings import FDA_CELLS, FILING_CELLS, fda_line, latest_per_cik, within_retention
-from capsieve.operators.keyed import backfill, one_per_key, one_row_each, or_key_join, text_parts, top_rows, with_parts
+from capsieve.operators.keyed import backfill, evaluate_once, one_per_key, one_row_each, or_key_join, text_parts, top_rows, with_parts
 from capsieve.operators.lines import first_seen, pieces, place_of, placed_cells, split_cells
 from capsieve.operators.runway_rules import text_runway
 from capsieve.rules import RULES, Rules
@@ -452,7 +452,7 @@ def bundle(core: DataFrame, lines: DataFrame, key: str = "CIK", lines_per_part:
     primary = F.when(fda != "", text("FDA_URL")).otherwise(text("FilingURL"))
     lines = stored_once(lines.select(key, "Cell", "place", "Text"), "bundle-lines")
     summary = lines.where("Cell = 'FilingsSummary'").select(key, "place", F.explode(pieces(F.col("Text"))).alias("Text")).where("lower(Text) <> 'nan'")
-    hits = summary.select(key, "place", dilution_line(F.col("Text")).alias("d")).where("d.hit").select(key, "place", "d.form", "d.link")
+    hits = evaluate_once(summary.select(key, "place", dilution_line(F.col("Text")).alias("d")), "d").where("d.hit").select(key, "place", "d.form", "d.link")
     forms = hits.where("form <> ''").groupBy(key, "form").agg(F.min("place").alias("place"))
     forms = forms.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "form"))), lambda x: x["form"]).alias("__forms"))
 
@@ -465,7 +465,8 @@ def bundle(core: DataFrame, lines: DataFrame, key: str = "CIK", lines_per_part:
     union = first.where("Text <> ''").unionByName(moved("FDA_URLsAll", 1)).unionByName(moved("FilingURLsAll", 2))
     links = union.withColumn("Cell", F.lit(BUNDLE_CELLS[0])).unionByName(
         hits.where("link <> ''").select(key, "place", F.col("link").alias("Text"), F.lit("DilutionLinks").alias("Cell")))
-    printed = first_seen(links, [key]).unionByName(lines.select(key, "Cell", "Text", "place"))
+    # counted, cut into parts and joined: three passes over what is printed
+    printed = stored_once(first_seen(links, [key]).unionByName(lines.select(key, "Cell", "Text", "place")), "bundle-printed")
     cells = placed_cells(printed, [key], BUNDLE_CELLS, {"FilingsSummary": "\n", "FDA_Summary": "\n"}, lines_per_part)
 
     rows = with_parts(core.join(forms, key, "left"), cells, [key], BUNDLE_CELLS)
