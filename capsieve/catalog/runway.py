@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from capsieve import rules as R
 from capsieve.catalog.base import query
 from capsieve.functions import numbers
+from capsieve.functions.text import starts_any, upper_key
 from capsieve.operators import runway as rw
 from capsieve.operators import runway_rules as rr
 from capsieve.operators import keyed, resolution, scoring, statements
@@ -212,7 +214,6 @@ def caption_number(t: Tables) -> DataFrame:
         .when(k == 1, F.concat(lit("NET CASH USED IN OPERATING ACTIVITIES 12 ("), n, lit(") (5,000)")))
         .when(k == 2, F.concat(lit("Net  cash provided by operating activities 4 "), F.format_number(F.col("p_size") * 1000 + 7, 0), lit(" 2023")))
         .otherwise(F.concat(lit("no caption here but "), n)))
-    from capsieve import rules as R
     return t.base("part").select(
         F.col("p_partkey").alias("PartKey"),
         statements.caption_number(text, [*R.OCF_CAPTIONS_BURN, *R.OCF_CAPTIONS_PROVIDED]).alias("Value"))
@@ -486,7 +487,8 @@ def extracted(t: Tables, drop: bool) -> DataFrame:
     cash = F.when(F.col("ord") % 3 != 0, (F.col("ord") % 50 + 1) * F.lit(1000.0))
     ocf = F.when(F.col("ord") % 5 != 0, F.lit(-800.0))
     verdict = rr.finalize(cash, ocf, F.lit(3), F.col("Form"), ocf)
-    results = f.select("URL", F.when(F.col("ord") % 7 != 0, verdict).alias("result"))
+    # as of resolution.runway_results: links that can carry a runway have a verdict, other forms have none
+    results = f.where(starts_any(upper_key("Form"), R.RUNWAY_FORMS)).select("URL", F.when(F.col("ord") % 7 != 0, verdict).alias("result"))
     return rw.extract_runway(t.profiles().select("Ticker", "CIK"), f, results, FILINGS_AS_OF, "ord", drop)
 
 

@@ -256,6 +256,11 @@ def form_of(url: Column, text: Column | None = None, hint: Column | None = None)
     return F.coalesce(*options)
 
 
+#: Fields of a verdict that the runway columns show.
+PRINTED = ("status", "note", "complete", "cash", "cash_raw", "quarterly_burn", "quarterly_burn_raw", "runway_quarters", "runway_quarters_raw",
+           "estimate", "form_type", "assumption", "period_months", "ocf_raw", "units_scale")
+
+
 def extract_runway(companies: DataFrame, filings: DataFrame, results: DataFrame, as_of: AsOf, ordinal: str = "ord",
                    drop_if_incomplete: bool = False) -> DataFrame:
     """Runway columns per company: the newest complete filing, else the best partial one.
@@ -268,7 +273,9 @@ def extract_runway(companies: DataFrame, filings: DataFrame, results: DataFrame,
     filed = filings.where(starts_any(upper_key("Form"), R.RUNWAY_FORMS) & F.col("FiledAt").isNotNull()).select(
         cik("CIK").alias("CIK"), "FiledAt", with_scheme("URL").alias("URL"), family.alias("form"),
         form_priority(family).alias("priority"), F.col(ordinal).alias("ord"))
-    rows = filed.where("CIK != ''").join(results.select("URL", "result"), "URL", "left")
+    # only what is printed of a verdict is shuffled
+    slim = F.when(F.col("result").isNotNull(), F.struct(*[F.col(f"result.{c}").alias(c) for c in PRINTED]))
+    rows = filed.where("CIK != ''").join(results.select("URL", slim.alias("result")), "URL", "left")
     linked = F.col("URL") != ""
     named = url_names_form("form", "URL")
     verdict = F.when(linked & named, F.col("result"))
