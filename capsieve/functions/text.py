@@ -201,7 +201,8 @@ _ENTITIES = (
 
 def unescape_entities(c: Column | str) -> Column:
     """Decode the entities above; '&amp;' last so nothing is decoded twice."""
-    return reduce(lambda acc, e: F.replace(acc, F.lit(e[0]), F.lit(e[1])), _ENTITIES, col(c))
+    text = col(c)
+    return F.when(F.contains(text, F.lit("&")), reduce(lambda acc, e: F.replace(acc, F.lit(e[0]), F.lit(e[1])), _ENTITIES, text)).otherwise(text)
 
 
 def match_form(c: Column | str) -> Column:

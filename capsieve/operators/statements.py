@@ -187,7 +187,8 @@ def latest_year_column(rows: Column) -> Column:
     """Value column (0-based, after the label) of the latest year in the first row naming years, else -1."""
     def years(r: Column) -> Column:
         cells = F.transform(F.slice(r, 2, F.greatest(F.size(r) - 1, F.lit(0))), lambda c, i: F.struct(
-            F.regexp_extract(match_form(c), r"((?:19|20)\d{2})", 1).try_cast("int").alias("y"), (-i).alias("i")))
+            # a failed cast is costly
+            F.nullif(F.regexp_extract(match_form(c), r"((?:19|20)\d{2})", 1), empty()).try_cast("int").alias("y"), (-i).alias("i")))
         return F.filter(cells, lambda c: c["y"].isNotNull())
 
     headed = F.filter(F.transform(rows, years), lambda r: F.size(r) > 0)
@@ -268,7 +269,7 @@ def cash_flow_from_rows(rows: Column, column: Column, sign: str = "reported") ->
 
 def _first_key(text: Column, keys: Column) -> Column:
     """Position (1-based) of the first caption found in a text, 0 without one."""
-    return F.array_position(F.transform(keys, lambda k: F.contains(text, k)), True)
+    return once(text, lambda low: F.array_position(F.transform(keys, lambda k: F.contains(low, k)), True))
 
 
 def _read_tables(tables: Column, html: Column, sign: str) -> Column:
