@@ -269,16 +269,15 @@ def extract_runway(companies: DataFrame, filings: DataFrame, results: DataFrame,
     picks all filings of interest; the notes of the filings tried, up to the first
     complete one, are joined as bounded cells (``EvidencePart`` as elsewhere).
     """
-    family = canonical_form("Form")
-    filed = filings.where(starts_any(upper_key("Form"), R.RUNWAY_FORMS) & F.col("FiledAt").isNotNull()).select(
-        cik("CIK").alias("CIK"), "FiledAt", with_scheme("URL").alias("URL"), family.alias("form"),
-        form_priority(family).alias("priority"), F.col(ordinal).alias("ord"))
+    filed = filings.where(starts_any(upper_key("Form"), R.RUNWAY_FORMS) & F.col("FiledAt").isNotNull() & F.col("CIK").cast("string").rlike("[0-9]")).select(
+        cik("CIK").alias("CIK"), "FiledAt", with_scheme("URL").alias("URL"), canonical_form("Form").alias("form"), F.col(ordinal).alias("ord"))
+    # named by verdict, status and note, but computed once, before the join
+    filed = filed.withColumns({"priority": form_priority(F.col("form")), "__named": url_names_form("form", "URL")})
     # only what is printed of a verdict is shuffled
     slim = F.when(F.col("result").isNotNull(), F.struct(*[F.col(f"result.{c}").alias(c) for c in PRINTED]))
-    rows = filed.where("CIK != ''").join(results.select("URL", slim.alias("result")), "URL", "left")
-    linked = F.col("URL") != ""
-    named = url_names_form("form", "URL")
-    verdict = F.when(linked & named, F.col("result"))
+    rows = filed.join(results.select("URL", slim.alias("result")), "URL", "left")
+    linked, named, verdict = F.col("URL") != "", F.col("__named"), F.col("__v")
+    rows = rows.withColumn("__v", F.when(linked & named, F.col("result")))
     when = F.concat(iso("FiledAt"), F.lit("T00:00:00"))
     status = (
         F.when(~linked, "Fetch error").when(~named, "Form/URL mismatch").when(verdict.isNull(), "Fetch error")
@@ -288,7 +287,7 @@ def extract_runway(companies: DataFrame, filings: DataFrame, results: DataFrame,
         .when(~named, F.concat(F.col("form"), F.lit(" URL mismatch: "), F.col("URL")))
         .when(verdict.isNull(), F.concat(F.col("form"), F.lit(" parser returned no data")))
         .otherwise(first_nonblank(verdict["note"], verdict["status"], F.lit("OK"))))
-    rows = rows.withColumns({"__v": verdict, "__status": status, "__note": note})
+    rows = rows.withColumns({"__status": status, "__note": note})
     rows = rows.withColumn("__place", F.struct(F.col("FiledAt").alias("d"), (-F.col("priority")).alias("p"), (-F.col("ord")).alias("o")))
     rows = stored_once(rows.select("CIK", "FiledAt", "form", "URL", "priority", "ord", "__v", "__status", "__note", "__place"), "runway-rows")
     info = F.struct("FiledAt", "form", "URL", F.col("__v").alias("v"))
@@ -305,6 +304,7 @@ def extract_runway(companies: DataFrame, filings: DataFrame, results: DataFrame,
     tried = rows.select("CIK", "FiledAt", "__place", "__note", (F.col("priority").cast("bigint") * F.lit(1 << 59) + F.col("ord")).alias("__seq"))
     tried = tried.join(picks.select("CIK", "__stop"), "CIK").where(F.col("__stop").isNull() | (F.col("__place") >= F.col("__stop")))
     tried = top_rows(tried.where("__note != ''"), ["CIK", "__note"], [F.desc("FiledAt"), F.asc("__seq")])
+    tried = stored_once(tried.select("CIK", "FiledAt", "__note", "__seq"), "runway-notes")
     notes = text_parts(tried, ["CIK"], "__seq", "__note", "__notes", "FiledAt", separator=" | ")
 
     kept = [c for c in companies.columns if not c.startswith("Runway") and c != "EvidencePart"]

@@ -1,11 +1,15 @@
 """Costly steps stand once in a plan, and tables used several times are read where they were written."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from capsieve.catalog import research
 from capsieve.catalog import runway as runway_catalog
 from capsieve.functions import dates, urls
 from capsieve.operators import events as evt
+from capsieve.operators import runway as rw
+from capsieve.operators import runway_rules as rr
 from capsieve.plans.standins import Tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -44,6 +48,35 @@ def test_unprinted_fields_of_a_verdict_are_not_joined(spark):
     assert "source_tags" not in verdict.names and {"cash", "status", "complete"} <= set(verdict.names)
 
 
+def test_link_checks_and_verdicts_of_the_runway_choice_are_computed_once(spark, monkeypatch):
+    written, store = {}, rw.stored_once
+
+    def spy(df, name):
+        written[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return store(df, name)
+
+    monkeypatch.setattr(rw, "stored_once", spy)
+    runway_catalog.extracted(Tables(spark, FOLDER), False)
+    assert written["runway-rows"].count("UrlCodec.decode") == 1
+    assert written["runway-rows"].count("-800.0") == 1
+    # notes are chosen once, not for each of the counts over them
+    assert "runway-notes" in written
+
+
+def test_only_companies_with_a_key_and_named_links_have_a_runway(spark):
+    day = dt.date(2024, 1, 2)
+    files = spark.createDataFrame([
+        ("1", "10-Q", day, "https://www.sec.gov/x/10q.htm", 1), ("n/a", "10-Q", day, "https://www.sec.gov/y/10q.htm", 2),
+        (None, "10-K", day, "https://www.sec.gov/z/10k.htm", 3), ("CIK 2", "10-K/A", day, "https://other.example/z", 4), ("3", "6-K", day, " ", 5)],
+        "CIK string, Form string, FiledAt date, URL string, ord long")
+    verdict = rr.finalize(F.lit(800.0), F.lit(-400.0), F.lit(3), F.lit("10-Q"))
+    results = files.select("URL", F.when(F.col("URL") != " ", verdict).alias("result"))
+    companies = spark.createDataFrame([("A", "1"), ("B", "2"), ("C", "3"), ("D", "")], "Ticker string, CIK string")
+    out = {r.Ticker: (r.RunwayStatus, r.RunwayQuarters) for r in rw.extract_runway(companies, files, results, "2024-01-31").collect()}
+    assert out == {"A": ("OK", "2.00"), "B": ("Form/URL mismatch", ""), "C": ("Fetch error", ""), "D": ("No eligible filing", "")}
+
+
+
 def test_links_and_dates_name_each_pattern_once(spark):
     rows = spark.createDataFrame([("https://www.sec.gov/ix?doc=/Archives/edgar/data/1/000000000000000002/a.htm",), (None,), ("x",)], "u string")
     out = rows.select(urls.sec_url("u").alias("s"), urls.viewer_document("u").alias("v"), urls.filing_ids("u").alias("i"), dates.parse_date("u").alias("d"))
