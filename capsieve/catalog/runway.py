@@ -13,6 +13,7 @@ from capsieve.operators import runway as rw
 from capsieve.operators import runway_rules as rr
 from capsieve.operators import keyed, resolution, scoring, statements
 from capsieve.plans.standins import FILINGS_AS_OF, Tables
+from capsieve.session import stored_once
 
 # cash, operating cash flow, months and print scale of a made-up company per supplier
 COMPANY = """
@@ -353,7 +354,7 @@ SELECT k AS SupplierId, 'https://www.sec.gov/Archives/edgar/data/' || k || '/acc
 """)
 def exhibit_follow(t: Tables) -> DataFrame:
     """The best-ranked exhibit is often empty here, so the next one that has a statement is taken."""
-    candidates = ranked_exhibits(t)
+    candidates = stored_once(ranked_exhibits(t), "exhibit-links")
     pages = filing_pages(t).withColumn("html", statement_html())
     good = pages.select(F.regexp_replace("url", "main", "ex99-1").alias("exhibit_url"), "html")
     bad = pages.select(F.concat(F.lit("https://www.sec.gov/files/"), "k", F.lit("/x_ex99-2.htm")).alias("exhibit_url"), F.lit("<p>nothing</p>").alias("html"))

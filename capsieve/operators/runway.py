@@ -17,7 +17,7 @@ from capsieve.functions.text import (
     unescape_entities, upper_key,
 )
 from capsieve.functions.urls import filing_ids, form_from_url, is_image, path, url_names_form, with_scheme
-from capsieve.operators.keyed import evaluate_once, text_parts, top_rows
+from capsieve.operators.keyed import evaluate_once, spread, text_parts, top_rows
 from capsieve.operators.runway_rules import (
     finalize, months_in_column, months_of_fact, quarterly, quarterly_tag, text_runway, valid_months,
 )
@@ -192,11 +192,13 @@ def exhibit_rank_order() -> list[Column]:
 def follow_exhibits(candidates: DataFrame, exhibits: DataFrame, url: str, form: Column) -> DataFrame:
     """Per filing the best-ranked exhibit with cash, cash flow and a period.
 
-    ``exhibits (exhibit_url, html)``. Only exhibits that a candidate names are parsed, and only their small
-    statements are shuffled further. Of differing copies the one with the greatest SHA-256 counts.
+    ``exhibits (exhibit_url, html)``. Only exhibits that a candidate names are parsed; they are dealt to all tasks first,
+    as adaptive execution cuts the tasks of the join by bytes, and only their small statements are shuffled further. Of
+    differing copies the one with the greatest SHA-256 counts.
     """
-    exhibits = exhibits.join(candidates.select("exhibit_url").distinct(), "exhibit_url", "left_semi")
-    parsed = parse_statements(exhibits.select("exhibit_url", "html", F.sha2(F.coalesce("html", empty()), 256).alias("__copy"))).drop("html")
+    wanted = exhibits.join(candidates.select("exhibit_url").distinct(), "exhibit_url", "left_semi")
+    wanted = spread(wanted.select("exhibit_url", "html"), "exhibit_url", "html")
+    parsed = parse_statements(wanted.select("exhibit_url", "html", F.sha2(F.coalesce("html", empty()), 256).alias("__copy"))).drop("html")
     parsed = parsed.groupBy("exhibit_url").agg(F.max_by("statement", "__copy").alias("statement"))
     found = candidates.withColumn("__form", form).join(parsed, "exhibit_url")
     months = F.coalesce(F.when(valid_months(F.col("statement.months")), F.col("statement.months")), default_months(F.col("__form")))

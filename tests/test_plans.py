@@ -93,3 +93,17 @@ def test_dates_of_all_shapes(spark):
     rows = spark.createDataFrame([(i, g) for i, g in enumerate(given)], "i int, t string").orderBy("i")
     assert [str(r.d) for r in rows.select(F.col("i"), dates.parse_date("t").alias("d")).collect()] == [
         "2024-01-02", "2024-01-02", "2024-04-03", "2024-04-03", "2024-05-06", "2024-08-07", "None", "None", "None", "None"]
+
+
+def test_exhibits_are_dealt_to_all_tasks_and_index_pages_read_once(spark):
+    text = runway_catalog.exhibit_follow(Tables(spark, FOLDER))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Press release" not in text  # rows of index pages come from a written table
+    candidates = spark.createDataFrame([("u", "a", "EX-99.1", "a.htm", 90, 1), ("u", "b", "EX-99.2", "b.htm", 50, 2), ("v", "a", "EX-99.1", "a.htm", 90, 1)],
+                                       "url string, exhibit_url string, doc_type string, filename string, score int, seq int")
+    page = ("<p>CONSOLIDATED BALANCE SHEETS</p><table><tr><td>Cash and cash equivalents</td><td>$ {0}</td></tr></table><h2>Consolidated Statements of Cash Flows</h2>"
+            "<p>Three months ended</p><table><tr><td>Net cash used in operating activities</td><td>({0})</td></tr></table>")
+    pages = spark.createDataFrame([("a", "<p>none</p>"), ("b", page.format("5,000")), ("b", page.format("5,000")), ("c", page.format("7,000")), (None, "x"), ("a", None)],
+                                  "exhibit_url string, html string").coalesce(1)
+    best = rw.follow_exhibits(candidates, pages, "url", F.lit("6-K"))
+    assert "REPARTITION_BY_NUM" in best._jdf.queryExecution().executedPlan().toString()
+    assert [(r.url, r.exhibit_url, r.cash, r.ocf, r.months) for r in best.collect()] == [("u", "b", 5000.0, -5000.0, 3)]
