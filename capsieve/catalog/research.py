@@ -225,9 +225,9 @@ SELECT h.Ticker, CASE WHEN FDA_EventType IS NOT NULL THEN FDA_EventType WHEN con
 FROM hyd h LEFT JOIN df ON df.cik = h.CIK LEFT JOIN dl ON dl.cik = h.CIK LEFT JOIN ll ON ll.cik = h.CIK
 """)
 def research_bundle(t: Tables) -> DataFrame:
-    lines = fil.company_evidence(t.filings(), t.fda()).withColumn("place", place_of("Day", "Seq"))
+    lines = fil.company_evidence(t.filings(), t.fda(), every_link=True).withColumn("place", place_of("Day", "Seq"))
     core = fil.hydrate_core(t.profiles(), company_prices(t), t.filings(), t.fda(), "ord")
-    return scoring.bundle(core, lines).select(
+    return scoring.bundle(core, lines, cells=("CatalystEvidencePrimaryLinks", "DilutionLinks")).select(
         "Ticker", "CatalystType", "CatalystDate", "CatalystPrimaryLink", "CatalystEvidencePrimaryLinks", "HasDilutionFlag", "DilutionForms",
         "DilutionLinks", "DilutionNotes")
 

@@ -13,7 +13,7 @@ from capsieve.functions.dates import age_days, as_date, iso
 from capsieve.functions.text import (
     blank_to_null, cik, cik_raw, country, detail_text, empty, lookup, starts_any, strip, ticker, upper_key,
 )
-from capsieve.operators.keyed import cells_by_part, fill_missing, first_per_key, last_per_key, top_rows
+from capsieve.operators.keyed import cells_by_part, evaluate_once, fill_missing, first_per_key, last_per_key, top_rows
 from capsieve.rules import RULES, Rules
 from capsieve.session import stored_once
 
@@ -204,15 +204,23 @@ def fda_line(pieces: Sequence[str] = ("EventType", "Product", "URL")) -> Column:
     return F.concat_ws(" | ", blank_to_null(iso("DecisionDate")), *[blank_to_null(strip(p)) for p in pieces])
 
 
-def evidence_lines(df: DataFrame, line: Column, date: str, url: str, ordinal: str, summary: str, links: str) -> DataFrame:
+def evidence_lines(df: DataFrame, line: Column, date: str, url: str, ordinal: str, summary: str, links: str,
+                   every_link: bool = False) -> DataFrame:
     """``(CIK, Cell, Day, Seq, Text, Form)``: evidence as a long table, one row per line and per distinct link.
 
     `Cell` names the cell that a row is printed in. A link stands where it is seen first, newest day first. One pass: a
     window per (CIK, link) marks the first row of each link.
+
+    ``every_link`` leaves a link at all its places, for callers that look for first places themselves: nothing is
+    shuffled, and a caller that reads one cell computes no other.
     """
     rows = df.where(F.col("CIK").isNotNull()).select(
         "CIK", F.col(date).alias("Day"), F.col(ordinal).alias("Seq"), line.alias("__line"), strip(F.col(url)).alias("__url"),
         (upper_key("Form") if "Form" in df.columns else empty()).alias("Form"))
+    if every_link:
+        cells = [evaluate_once(rows.select("CIK", F.lit(c).alias("Cell"), F.col(t).alias("Text"), "Day", "Seq", "Form"), "Text")
+                 for c, t in ((summary, "__line"), (links, "__url"))]
+        return cells[0].unionByName(cells[1]).where(F.coalesce("Text", empty()) != "")
     # rows without a link need not meet each other
     apart = F.when(F.coalesce("__url", empty()) == "", F.col("Seq"))
     first = Window.partitionBy("CIK", "__url", apart).orderBy(F.desc_nulls_last("Day"), F.asc("Seq"))
@@ -226,11 +234,11 @@ FILING_CELLS = ("FilingsSummary", "FilingURLsAll")
 FDA_CELLS = ("FDA_Summary", "FDA_URLsAll")
 
 
-def company_evidence(filings: DataFrame, fda: DataFrame | None = None, ordinal: str = "ord") -> DataFrame:
+def company_evidence(filings: DataFrame, fda: DataFrame | None = None, ordinal: str = "ord", every_link: bool = False) -> DataFrame:
     """:func:`evidence_lines` of filings and clearances."""
-    rows = evidence_lines(filings, filing_line(filings), "FiledAt", "URL", ordinal, *FILING_CELLS)
+    rows = evidence_lines(filings, filing_line(filings), "FiledAt", "URL", ordinal, *FILING_CELLS, every_link)
     if fda is not None:
-        rows = rows.unionByName(evidence_lines(fda, fda_line(), "DecisionDate", "URL", ordinal, *FDA_CELLS))
+        rows = rows.unionByName(evidence_lines(fda, fda_line(), "DecisionDate", "URL", ordinal, *FDA_CELLS, every_link))
     return rows
 
 

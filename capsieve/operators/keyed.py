@@ -166,7 +166,8 @@ def or_key_join(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix:
 
 
 def text_parts(lines: DataFrame, keys: Sequence[str], ordinal: str, text: str, name: str, day: str | None = None,
-               lines_per_part: int = LINES_PER_PART, separator: str = "\n", age: str | None = None) -> DataFrame:
+               lines_per_part: int = LINES_PER_PART, separator: str = "\n", age: str | None = None,
+               dealt: Sequence[str] | None = None) -> DataFrame:
     """Join the lines of each key into cells of bounded length.
 
     Lines are ordered newest ``day`` first (undated last), or by a number ``age``, then by ``ordinal``,
@@ -179,11 +180,18 @@ def text_parts(lines: DataFrame, keys: Sequence[str], ordinal: str, text: str, n
     ``lines_per_part`` consecutive ordinals of a day, which cannot hold more lines than that; a part is a run of whole
     bins. The windows run over the counts only: bins of a (key, day), and days of a key. Where no key is that long,
     adaptive execution finds the bins empty and the text is shuffled once.
+
+    ``dealt`` is for lines that are read from a written table and names the keys by which the cells are used next. Long keys and
+    their parts are then written first, so that lines meet them where they are read, and lines are shuffled once only, by
+    these keys and their part.
     """
     order = F.col(age) if age else F.coalesce(-F.unix_date(day), F.lit(1 << 30)) if day else F.lit(0)
     rows = lines.withColumn("__age", order)
     rows = rows.withColumn("__bin", F.call_function("div", F.col(ordinal), F.lit(lines_per_part)))
-    long = rows.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > lines_per_part).select(*keys)
+    counted = rows if dealt is None else _crowded(rows, keys, lines_per_part)
+    long = counted.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > lines_per_part).select(*keys)
+    if dealt is not None:
+        long = stored_once(long, "long-keys")
     counts = rows.select(*keys, "__age", "__bin").join(long, list(keys), "left_semi").groupBy(*keys, "__age", "__bin").agg(F.count("*").alias("__n"))
     in_day = Window.partitionBy(*keys, "__age").orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
     in_key = Window.partitionBy(*keys).orderBy("__age").rowsBetween(Window.unboundedPreceding, -1)
@@ -192,16 +200,30 @@ def text_parts(lines: DataFrame, keys: Sequence[str], ordinal: str, text: str, n
     bins = counts.withColumn("__bins", F.coalesce(F.sum("__n").over(in_day), F.lit(0))).drop("__n").join(days, [*keys, "__age"])
     part = F.floor((F.col("__days") + F.col("__bins")) / F.lit(lines_per_part)).cast("bigint")
     bins = bins.select(*keys, "__age", "__bin", part.alias("__part"))
+    if dealt is not None:
+        bins = stored_once(bins, "long-bins")
     entry = F.struct(F.col("__age").alias("age"), F.col(ordinal).alias("o"), F.col(text).alias("t"))
+    placed = rows.join(bins, [*keys, "__age", "__bin"], "left").withColumn("EvidencePart", F.coalesce("__part", F.lit(0)).cast("bigint"))
+    if dealt is not None:
+        placed = placed.select(*keys, "EvidencePart", "__age", ordinal, text).repartition(*dealt, "EvidencePart")
     return (
-        rows.join(bins, [*keys, "__age", "__bin"], "left")
-        .groupBy(*keys, F.coalesce("__part", F.lit(0)).cast("bigint").alias("EvidencePart"))
+        placed.groupBy(*keys, "EvidencePart")
         .agg(F.array_sort(F.collect_list(entry)).alias("__cell"))
         .select(*keys, "EvidencePart",
                 F.array_join(F.transform("__cell", lambda x: x["t"]), separator).alias(name))
     )
 
 
+def _crowded(rows: DataFrame, keys: Sequence[str], least: int, buckets: int = 1 << 16) -> DataFrame:
+    """Rows whose keys share a bucket with more than ``least`` rows: all rows of any key with that many, and few others.
+
+    Counts per bucket shrink before they are shuffled, which counts per key don't when a key has few rows.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+    full = rows.groupBy(bucket.alias("__bucket")).agg(F.count("*").alias("__n")).where(F.col("__n") > least).select("__bucket")
+    return rows.withColumn("__bucket", bucket).join(stored_once(full, "full-buckets"), "__bucket", "left_semi")
+
+
 def cells_by_part(lines: DataFrame, keys: Sequence[str], column: str, names: Sequence[str], ordinal: str, text: str,
                   day: str | None = None, lines_per_part: int | None = None, separators: dict[str, str] | None = None) -> DataFrame:
     """``(*keys, EvidencePart, *names)``: the lines of several named cells, told apart by ``column``, joined in one pass.

@@ -41,12 +41,15 @@ def split_cells(df: DataFrame, keys: Sequence[str], cells: Sequence[str]) -> Dat
 
 
 def placed_cells(lines: DataFrame, keys: Sequence[str], names: Sequence[str], separators: dict[str, str] | None = None,
-                 lines_per_part: int | None = None) -> DataFrame:
-    """Lines (keys, Cell, place, Text) as cells beside each other: ``(*keys, EvidencePart, *names)``."""
+                 lines_per_part: int | None = None, written: bool = False) -> DataFrame:
+    """Lines (keys, Cell, place, Text) as cells beside each other: ``(*keys, EvidencePart, *names)``.
+
+    Lines that are read from a written table (``written``) are shuffled once, by key and part, for their cells and for the rows made of these.
+    """
     size = {} if lines_per_part is None else {"lines_per_part": lines_per_part}
     rows = lines.select(*keys, "Cell", F.col("place.a").alias("__age"), F.col("place.b").alias("__seq"), "Text")
     mark = "\x1f"
-    found = text_parts(rows, [*keys, "Cell"], "__seq", "Text", "__text", age="__age", separator=mark, **size)
+    found = text_parts(rows, [*keys, "Cell"], "__seq", "Text", "__text", age="__age", separator=mark, dealt=keys if written else None, **size)
     cell = {n: F.replace(F.col("__text"), F.lit(mark), F.lit((separators or {}).get(n, "; "))) for n in names}
     return found.groupBy(*keys, "EvidencePart").agg(*[F.max(F.when(F.col("Cell") == n, cell[n])).alias(n) for n in names])
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -431,6 +432,7 @@ def reason_counts(excluded: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- older research tables
 
 BUNDLE_CELLS = ("CatalystEvidencePrimaryLinks", "DilutionLinks", "FilingsSummary", "FilingURLsAll", "FDA_URLsAll", "FDA_Summary")
+_BUNDLE_CORE = ("Ticker", "Company", "CIK", "Sector", "LatestForm", "FiledAt", "FilingURL", "FDA_EventType", "FDA_Date", "FDA_URL")
 
 
 def research_bundle(hydrated: DataFrame) -> DataFrame:
@@ -439,20 +441,27 @@ def research_bundle(hydrated: DataFrame) -> DataFrame:
     return bundle(one_row_each(key, EVIDENCE_CELLS), split_cells(key, ["Ticker"], EVIDENCE_CELLS), "Ticker")
 
 
-def bundle(core: DataFrame, lines: DataFrame, key: str = "CIK", lines_per_part: int | None = None) -> DataFrame:
+def bundle(core: DataFrame, lines: DataFrame, key: str = "CIK", lines_per_part: int | None = None,
+           cells: Sequence[str] = BUNDLE_CELLS) -> DataFrame:
     """:func:`research_bundle` from core rows and evidence lines ``(key, Cell, place, Text)``.
 
     Flag, forms and notes are aggregates over all lines of a company. The cells, which may continue over several rows
-    (EvidencePart), are made last.
+    (EvidencePart), are made last. Without the cells that print lines as they are, these may hold a link at several places
+    (``every_link`` of :func:`filings.evidence_lines`), are read once for each use and not written.
     """
     def text(name: str) -> Column:
         return clean_text(F.col(name).cast("string")) if name in core.columns else empty()
 
     fda = text("FDA_EventType")
     primary = F.when(fda != "", text("FDA_URL")).otherwise(text("FilingURL"))
-    lines = stored_once(lines.select(key, "Cell", "place", "Text"), "bundle-lines")
+    core = stored_once(core.select(*[c for c in dict.fromkeys((key, *_BUNDLE_CORE)) if c in core.columns]), "bundle-core")
+    plain = [c for c in cells if c not in BUNDLE_CELLS[:2]]
+    lines = lines.select(key, "Cell", "place", "Text")
+    if plain:
+        lines = stored_once(lines, "bundle-lines")
     summary = lines.where("Cell = 'FilingsSummary'").select(key, "place", F.explode(pieces(F.col("Text"))).alias("Text")).where("lower(Text) <> 'nan'")
     hits = evaluate_once(summary.select(key, "place", dilution_line(F.col("Text")).alias("d")), "d").where("d.hit").select(key, "place", "d.form", "d.link")
+    hits = stored_once(hits, "bundle-hits")
     forms = hits.where("form <> ''").groupBy(key, "form").agg(F.min("place").alias("place"))
     forms = forms.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "form"))), lambda x: x["form"]).alias("__forms"))
 
@@ -465,27 +474,30 @@ def bundle(core: DataFrame, lines: DataFrame, key: str = "CIK", lines_per_part:
     union = first.where("Text <> ''").unionByName(moved("FDA_URLsAll", 1)).unionByName(moved("FilingURLsAll", 2))
     links = union.withColumn("Cell", F.lit(BUNDLE_CELLS[0])).unionByName(
         hits.where("link <> ''").select(key, "place", F.col("link").alias("Text"), F.lit("DilutionLinks").alias("Cell")))
-    # counted, cut into parts and joined: three passes over what is printed
-    printed = stored_once(first_seen(links, [key]).unionByName(lines.select(key, "Cell", "Text", "place")), "bundle-printed")
-    cells = placed_cells(printed, [key], BUNDLE_CELLS, {"FilingsSummary": "\n", "FDA_Summary": "\n"}, lines_per_part)
-
-    rows = with_parts(core.join(forms, key, "left"), cells, [key], BUNDLE_CELLS)
+    # counted, then joined: two passes over what is printed
+    printed = first_seen(links.where(F.col("Cell").isin(*cells)), [key])
+    if plain:
+        printed = printed.unionByName(lines.where(F.col("Cell").isin(*plain)).select(key, "Cell", "Text", "place"))
+    printed = stored_once(printed, "bundle-printed")
+    found = placed_cells(printed, [key], cells, {"FilingsSummary": "\n", "FDA_Summary": "\n"}, lines_per_part, written=True)
+
+    rows = with_parts(core.join(forms, key, "left"), found, [key], cells)
     none = F.coalesce("__forms", F.array().cast("array<string>"))
-    cell = {c: F.coalesce(c, empty()).alias(c) for c in BUNDLE_CELLS}
+    cell = {c: [F.coalesce(c, empty()).alias(c)] if c in cells else [] for c in BUNDLE_CELLS}
     return rows.select(
         text("Ticker").alias("Ticker"), "EvidencePart",
         text("Company").alias("Company"), text("CIK").alias("CIK"), text("Sector").alias("Sector"),
         catalyst_by_form(text("LatestForm"), fda).alias("CatalystType"),
         first_nonblank(text("FDA_Date"), text("FiledAt")).alias("CatalystDate"),
-        primary.alias("CatalystPrimaryLink"), cell["CatalystEvidencePrimaryLinks"],
+        primary.alias("CatalystPrimaryLink"), *cell["CatalystEvidencePrimaryLinks"],
         empty().alias("CatalystEvidenceSecondaryLinks"),
         F.when(F.size(none) > 0, "TRUE").otherwise("FALSE").alias("HasDilutionFlag"),
-        F.array_join(none, "; ").alias("DilutionForms"), cell["DilutionLinks"], dilution_notes(none).alias("DilutionNotes"),
+        F.array_join(none, "; ").alias("DilutionForms"), *cell["DilutionLinks"], dilution_notes(none).alias("DilutionNotes"),
         *[empty().alias(c) for c in ("RunwayCash", "RunwayQuarterlyBurn", "RunwayQuarters")],
         F.lit("TODO: parse 10-Q/10-K to compute runway").alias("RunwayNotes"),  # fixed value: the next step fills it
         text("LatestForm").alias("LatestForm"), text("FiledAt").alias("FiledAt"), text("FilingURL").alias("FilingURL"),
-        cell["FilingsSummary"], cell["FilingURLsAll"], fda.alias("FDA_EventType"), text("FDA_Date").alias("FDA_Date"),
-        text("FDA_URL").alias("FDA_URL"), cell["FDA_URLsAll"], cell["FDA_Summary"])
+        *cell["FilingsSummary"], *cell["FilingURLsAll"], fda.alias("FDA_EventType"), text("FDA_Date").alias("FDA_Date"),
+        text("FDA_URL").alias("FDA_URL"), *cell["FDA_URLsAll"], *cell["FDA_Summary"])
 
 
 _CATEGORIES = {

@@ -37,6 +37,24 @@ def test_one_verdict_for_many_lines(spark):
     assert {r["Ticker"]: (r["HasDilutionFlag"], r["EvidencePart"]) for r in got if r["Ticker"] != "BIG"} == {"One": ("FALSE", 0), "Bare": ("FALSE", 0)}
 
 
+def test_bundle_of_wanted_cells_only(spark):
+    """Links left at all their places, in any number of parts, give the cells that distinct lines give."""
+    t = Tables(spark, FOLDER)
+    again = t.filings().unionByName(t.filings().withColumn("FiledAt", F.date_sub("FiledAt", 400)).withColumn("ord", F.col("ord") + 1_000_000))
+    few, found = ("CatalystEvidencePrimaryLinks", "DilutionLinks"), []
+    for every, cells in ((False, scoring.BUNDLE_CELLS), (True, few)):
+        evidence = fil.company_evidence(again, t.fda(), every_link=every).withColumn("place", lines.place_of("Day", "Seq"))
+        parts = t.profiles().withColumns({c: F.lit(None).cast("string") for c in ("LatestForm", "FiledAt", "FDA_EventType", "FDA_Date", "FDA_URL")})
+        got = scoring.bundle(parts.withColumn("FilingURL", F.lit("https://primary")), evidence, lines_per_part=3, cells=cells)
+        assert [c for c in scoring.BUNDLE_CELLS if c in got.columns] == list(cells)
+        order = {c: {} for c in few}
+        for r in sorted(got.collect(), key=lambda r: r["EvidencePart"]):
+            for c in few:
+                order[c].setdefault(r["Ticker"], []).extend(r[c].split("; ") if r[c] else [])
+        found.append((order, {(r["Ticker"], r["HasDilutionFlag"], r["DilutionForms"], r["DilutionNotes"]) for r in got.collect()}))
+    assert found[0] == found[1] and max(len(v) for v in found[0][0][few[0]].values()) > 6
+
+
 def test_bundle_of_stored_cells(spark):
     """Printed rows, cut into parts or not, give the same verdicts and the same links."""
     t = Tables(spark, FOLDER)

@@ -10,6 +10,8 @@ from capsieve.functions import dates, urls
 from capsieve.operators import events as evt
 from capsieve.operators import runway as rw
 from capsieve.operators import runway_rules as rr
+from capsieve.operators import scoring
+from capsieve.operators import scoring
 from capsieve.plans.standins import Tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -41,6 +43,40 @@ def test_lines_of_a_bundle_are_printed_from_one_table(spark):
     assert "Union" not in text
 
 
+def test_a_bundle_writes_and_shuffles_only_what_is_printed(spark, monkeypatch):
+    written, store = {}, scoring.stored_once
+
+    def spy(df, name):
+        written[name] = store(df, name)
+        return written[name]
+
+    monkeypatch.setattr(scoring, "stored_once", spy)
+    out = research.research_bundle(Tables(spark, FOLDER))
+    assert "bundle-lines" not in written
+    assert {r.Cell for r in written["bundle-printed"].select("Cell").distinct().collect()} == {"CatalystEvidencePrimaryLinks", "DilutionLinks"}
+    # prices, filings and clearances are ranked once, for both uses of the core rows
+    assert "bundle-core" in written and "Window" not in out._jdf.queryExecution().optimizedPlan().toString().replace("LogicalWindow", "Window").split("bundle")[0]
+    # lines pass one shuffle, by company and part, on their way to the cells
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert text.count("REPARTITION_BY_COL") == 1 and text.count("ObjectHashAggregate") <= 4
+
+
+def test_a_bundle_writes_and_shuffles_only_what_is_printed(spark, monkeypatch):
+    written, store = {}, scoring.stored_once
+
+    def spy(df, name):
+        written[name] = store(df, name)
+        return written[name]
+
+    monkeypatch.setattr(scoring, "stored_once", spy)
+    out = research.research_bundle(Tables(spark, FOLDER))
+    assert set(written) == {"bundle-core", "bundle-hits", "bundle-printed"}
+    assert {r.Cell for r in written["bundle-printed"].select("Cell").distinct().collect()} == {"CatalystEvidencePrimaryLinks", "DilutionLinks"}
+    # prices, filings and clearances are ranked once, for both uses of the core rows; lines pass one shuffle on their way to the cells
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" not in text and text.count("Exchange hashpartitioning") == 5 and text.count("REPARTITION_BY_COL") == 1
+
+
 def test_unprinted_fields_of_a_verdict_are_not_joined(spark):
     files = runway_catalog.extracted(Tables(spark, FOLDER), False)
     stored = [f for f in files.inputFiles() if "runway-rows" in f]

@@ -61,6 +61,21 @@ def test_text_parts_are_whole_and_bounded(spark):
     assert len(hot) > 10 and max(len(c.split("\n")) for c in hot) <= 120
 
 
+def test_parts_of_written_lines_equal_the_others(spark):
+    """Long keys that are found by buckets first are cut as before, and lines are dealt by the key that the cells are used by."""
+    rows = [("hot", f"c{i % 2}", None if i % 3 else dt.date(2024, 1, 1 + i % 9), i, f"t{i}") for i in range(400)]
+    rows += [(f"k{i}", "c0", dt.date(2024, 1, 1), i, f"s{i}") for i in range(300)] + [("edge", "c1", None, i, f"e{i}") for i in range(41)]
+    df = spark.createDataFrame(rows, "k string, c string, day date, o bigint, t string")
+    found = []
+    for dealt in (None, ["k"]):
+        parts = keyed.text_parts(df, ["k", "c"], "o", "t", "cell", "day", lines_per_part=40, dealt=dealt)
+        found.append(sorted(tuple(r) for r in parts.select("k", "c", "EvidencePart", "cell").collect()))
+    assert found[0] == found[1] and len(found[0]) > 310
+    crowded = keyed._crowded(df, ["k", "c"], 40, buckets=7)
+    assert crowded.where("k IN ('hot', 'edge')").count() == 441
+    assert keyed._crowded(df, ["k", "c"], 40).where("k IN ('hot', 'edge')").count() == 441
+
+
 def test_adv_needs_twenty_bars_with_volume(spark):
     rows = [("A", dt.date(2024, 1, 1) + dt.timedelta(i), float(i), 10.0) for i in range(25)]
     rows += [("B", dt.date(2024, 1, 1) + dt.timedelta(i), 1.0, None if i == 20 else 5.0) for i in range(25)]
