@@ -372,6 +372,31 @@ def test_footers_stay(spark, share):
     assert found_terms(spark, rows) == brute_terms(rows) == set()
 
 
+def common_entity_rows(n, share, rng):
+    """A share of the texts names an address; names stand nearly only, often or not beside it, words anywhere."""
+    words = [f"{a}{b}" for a in ("ban", "dor", "kel", "mir", "tov") for b in ("ix", "um", "ea", "os")]
+    rows = []
+    for i in range(n):
+        text = [rng.choice(words) for _ in range(rng.randint(4, 12))]
+        holds = rng.random() < share
+        put = [("Zorblax", 0.7, 0.01), ("Quuxly", 0.6, 0.2), ("Plinthe", 0.3, 0.3), ("Rarely", 0.05, 0.0)]
+        text += [name for name, inside, outside in put if rng.random() < (inside if holds else outside)]
+        rng.shuffle(text)
+        rows.append((i, " ".join([*text, "desk@news.example"] if holds else text)))
+    return rows
+
+
+@pytest.mark.parametrize("share", [0.2, 0.45, 0.6, 0.8])
+def test_common_entities_are_not_left_out(spark, monkeypatch, share):
+    """An address in 49 to 195 of 240 documents is disclosed by the terms that inform about it, by the rule without any bound on the entity."""
+    rows = common_entity_rows(240, share, random.Random(int(share * 100)))
+    with monkeypatch.context() as unbounded:
+        unbounded.setattr(pii, "SURPRISE", -100.0)
+        want = brute_terms(rows)
+    assert found_terms(spark, rows) == want
+    assert {t for _, _, t in want} == {0.2: {"zorblax"}, 0.45: {"zorblax", "quuxly"}, 0.6: {"zorblax", "quuxly"}, 0.8: set()}[share]
+
+
 def test_near_copies_lose_no_words(spark):
     rows = [(1, "quarzel umbrod vintex a@b.cd plinth"), (2, "quarzel umbrod vintex a@b.cd plinth two"), *[(i, f"other text number {i}") for i in range(3, 40)]]
     assert found_terms(spark, rows) == brute_terms(rows) == set()
